@@ -1,6 +1,6 @@
 """Aggregate measures, built from sums so that partial results can be added up again.
 
-``single_line_parts`` or ``line_sums`` give the additive parts of one line or of many,
+``single_line_parts`` gives the additive parts of one line (``order_totals`` sums them over many),
 ``open_order_parts`` those that need the order, and ``finance_columns`` the published measures.
 Parts may be summed early (per order) without changing any measure, which keeps a hot order from
 becoming a hot shuffle partition.
@@ -32,12 +32,10 @@ def finance_columns() -> list[Column]:
         F.round(F.sum("discount_sum"), 2).alias("total_discounts"),
         F.round(F.sum("receivable_sum"), 2).alias("accounts_receivable"),
         F.sum("line_count").alias("order_count"),
-        F.round(net / F.nullif(F.sum("net_count"), F.lit(0)), 2).alias("average_order_value"),
+        mean("net_sum", "net_count").alias("average_order_value"),
         F.round(margin, 2).alias("estimated_margin"),
         F.round(margin / F.nullif(net, F.lit(0)) * 100, 2).alias("margin_percentage"),
-        F.round(F.sum("open_age_sum") / F.nullif(F.sum("open_count"), F.lit(0)), 1).alias(
-            "avg_open_order_age"
-        ),
+        mean("open_age_sum", "open_count", 1).alias("avg_open_order_age"),
     ]
 
 
@@ -58,21 +56,6 @@ def single_line_parts() -> list[Column]:
     ]
 
 
-def line_sums(
-    net: Column, tax: Column, discount: Column, price: Column, key: Column
-) -> list[Column]:
-    """The same parts summed over many lines."""
-    return [
-        F.sum(net).alias("net_sum"),
-        F.sum(tax).alias("tax_sum"),
-        F.sum(discount).alias("discount_sum"),
-        F.sum(price).alias("list_sum"),
-        F.count(key).alias("line_count"),
-        F.count(net).alias("net_count"),
-        F.count(F.lit(1)).alias("row_count"),
-    ]
-
-
 def open_order_parts(as_of: date | None = None) -> list[Column]:
     """Receivables and open-order age of rows that hold the parts above."""
     open_order = is_open("order_status")
@@ -86,7 +69,16 @@ def open_order_parts(as_of: date | None = None) -> list[Column]:
     ]
 
 
+def mean(total: str, count: str, digits: int = 2) -> Column:
+    """Mean from summed parts; NULL when nothing was counted."""
+    return F.round(F.sum(total) / F.nullif(F.sum(count), F.lit(0)), digits)
+
+
+def share(hits: str) -> Column:
+    """Percentage of rows from summed parts."""
+    return F.round(F.sum(hits) * 100 / F.sum("row_count"), PERCENT_DIGITS)
+
+
 def percentage(condition: Column) -> Column:
-    """Share of rows for which the condition holds; an unknown condition counts as no."""
-    hits, rows = F.count_if(condition), F.count(F.lit(1))
-    return F.round(hits * 100 / rows, PERCENT_DIGITS)
+    """Percentage of rows for which the condition holds; an unknown condition counts as no."""
+    return F.round(F.count_if(condition) * 100 / F.count(F.lit(1)), PERCENT_DIGITS)

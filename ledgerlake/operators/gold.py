@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from ledgerlake.functions import line_metrics as m
 from ledgerlake.functions import measures
 from ledgerlake.operators.joins import join_dimension
+from ledgerlake.operators.order_totals import (
+    order_totals,
+    orders_with_totals,
+    weighted_order_totals,
+)
 from ledgerlake.operators.silver import order_line_columns
 
 # Columns the dimensions add to an order line (keys and stamps stay out).
@@ -43,6 +48,10 @@ _PART_COLUMNS = (
 _GROUP = ("date", "customer_nation", "customer_region")
 
 
+def _day():
+    return F.date_format("order_date", "yyyy-MM-dd")
+
+
 def _customer_side(customer: DataFrame) -> DataFrame:
     return customer.select(F.col("customer_key").alias("dim_customer_key"), *_CUSTOMER_COLUMNS)
 
@@ -55,21 +64,35 @@ def _part_side(part: DataFrame, part_only: bool) -> DataFrame:
 
 
 def wide_order_details(
-    fct: DataFrame, customer: DataFrame, part: DataFrame, part_only: bool = False
+    fct: DataFrame,
+    customer: DataFrame,
+    part: DataFrame,
+    part_only: bool = False,
+    customer_keys: DataFrame | None = None,
+    part_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Order lines with their customer and their part as supplied by the line's supplier.
 
     ``part_only`` joins the part dimension on the part alone, which repeats a line once per
-    supplier of its part (the historical behaviour).
+    supplier of its part (the historical behaviour). When ``fct`` is not a stored table,
+    ``customer_keys`` and ``part_keys`` are cheaper frames to find its hot keys in.
     """
     lines = fct.drop("etl_inserted")
     on = {"part_key": "dim_part_key"}
     if not part_only:
         on["supplier_key"] = "dim_supplier_key"
     located = join_dimension(
-        lines, _customer_side(customer), {"customer_key": "dim_customer_key"}, skew_source=fct
+        lines,
+        _customer_side(customer),
+        {"customer_key": "dim_customer_key"},
+        skew_source=fct if customer_keys is None else customer_keys,
+    )
+    wide = join_dimension(
+        located,
+        _part_side(part, part_only),
+        on,
+        skew_source=fct if part_keys is None else part_keys,
     )
-    wide = join_dimension(located, _part_side(part, part_only), on, skew_source=fct)
     return wide.select(*lines.columns, *_CUSTOMER_COLUMNS, *_PART_COLUMNS)
 
 
@@ -167,7 +190,7 @@ def finance_metrics(wide: DataFrame, as_of: date | None = None) -> DataFrame:
     """
     return _finance(
         wide.select(
-            F.date_format("order_date", "yyyy-MM-dd").alias("date"),
+            _day().alias("date"),
             "customer_nation",
             "customer_region",
             "order_date",
@@ -183,6 +206,21 @@ def _finance(summed: DataFrame, as_of: date | None) -> DataFrame:
     return parts.groupBy(*_GROUP).agg(*measures.finance_columns())
 
 
+def _located_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Orders with the place and segment of their customer."""
+    return join_dimension(
+        orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"),
+        customer.select(
+            F.col("customer_key").alias("dim_customer_key"),
+            F.col("nation_name").alias("customer_nation"),
+            F.col("region_name").alias("customer_region"),
+            "market_segment",
+        ),
+        {"o_custkey": "dim_customer_key"},
+        skew_source=orders,
+    )
+
+
 def finance_metrics_from_sources(
     orders: DataFrame,
     lineitem: DataFrame,
@@ -192,84 +230,22 @@ def finance_metrics_from_sources(
 ) -> DataFrame:
     """``finance_metrics`` straight from orders, lines and the customer dimension.
 
-    Lines are summed per order before they meet the orders: a hot order shrinks to one partial
-    row per task, and the shuffle carries orders instead of lines. No finance measure uses a
-    part column, so parts are not joined. Passing ``partsupp`` weighs every line by the number
-    of suppliers of its part, which equals the historical fan-out without building its rows.
+    No finance measure uses a part column, so parts are not joined. Passing ``partsupp`` gives
+    the historical results, where a line counted once per supplier of its part.
     """
-    price, discount, tax = "l_extendedprice", "l_discount", "l_tax"
-    columns = {
-        "net": m.net_amount(price, discount, tax),
-        "tax": m.tax_amount(price, discount, tax),
-        "discount": m.discount_amount(price, discount),
-        "listed": F.col(price),
-    }
     if partsupp is None:
-        lines = lineitem.select("l_orderkey", *[c.alias(n) for n, c in columns.items()])
-        sums = measures.line_sums(
-            *map(F.col, ("net", "tax", "discount", "listed", "l_orderkey"))
-        )
+        totals = order_totals(lineitem)
     else:
-        lines = _weighted(lineitem, partsupp).select(
-            "l_orderkey",
-            *[(c * F.col("weight")).alias(n) for n, c in columns.items()],
-            "weight",
-        )
-        weight = F.sum("weight")
-        sums = [
-            F.sum("net").alias("net_sum"),
-            F.sum("tax").alias("tax_sum"),
-            F.sum("discount").alias("discount_sum"),
-            F.sum("listed").alias("list_sum"),
-            weight.alias("line_count"),
-            F.sum(F.when(F.col("net").isNotNull(), F.col("weight")).otherwise(0)).alias("net_count"),
-            weight.alias("row_count"),
-        ]
-    per_order = lines.groupBy("l_orderkey").agg(*sums)
-    located = join_dimension(
-        orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"),
-        customer.select("customer_key", "nation_name", "region_name"),
-        {"o_custkey": "customer_key"},
-        skew_source=orders,
-    )
-    joined = located.join(per_order, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
-        F.col("nation_name").alias("customer_nation"),
-        F.col("region_name").alias("customer_region"),
-        F.col("o_orderdate").alias("order_date"),
-        F.col("o_orderstatus").alias("order_status"),
-        *[c for c in per_order.columns if c != "l_orderkey"],
-    )
-    return _finance(joined, as_of)
-
-
-def _weighted(lineitem: DataFrame, partsupp: DataFrame) -> DataFrame:
-    """Lines with ``weight``: how many part-dimension rows a part-only join would give them."""
-    offers = partsupp.groupBy(F.col("ps_partkey").alias("offered_key")).agg(
-        F.count(F.lit(1)).alias("offers")
-    )
-    counted = join_dimension(
-        lineitem.drop("etl_inserted"), offers, {"l_partkey": "offered_key"}, skew_source=lineitem
-    )
-    return counted.withColumn("weight", F.coalesce("offers", F.lit(1)))
+        totals = weighted_order_totals(lineitem, partsupp)
+    summed = orders_with_totals(_located_orders(orders, customer), totals)
+    return _finance(summed.withColumn("date", _day()), as_of)
 
 
 def fanout_by_date(orders: DataFrame, lineitem: DataFrame, partsupp: DataFrame) -> DataFrame:
-    """Row count and sums per order date of the part-only wide table, from weights."""
-    price, discount, tax = "l_extendedprice", "l_discount", "l_tax"
-    per_order = (
-        _weighted(lineitem, partsupp)
-        .groupBy("l_orderkey")
-        .agg(
-            F.sum("weight").alias("row_count"),
-            F.sum(m.net_amount(price, discount, tax) * F.col("weight")).alias("net_sum"),
-            F.sum(F.col(price) * F.col("weight")).alias("list_sum"),
-        )
-    )
-    joined = orders.select("o_orderkey", "o_orderdate").join(
-        per_order, F.col("o_orderkey") == F.col("l_orderkey")
-    )
-    return joined.groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date")).agg(
+    """Row count and sums per order date of the part-only wide table, without building it."""
+    totals = weighted_order_totals(lineitem, partsupp)
+    summed = orders_with_totals(orders.select("o_orderkey", "o_orderdate"), totals)
+    return summed.groupBy(_day().alias("date")).agg(
         F.sum("row_count").alias("row_count"),
         F.sum("net_sum").alias("net_amount"),
         F.sum("list_sum").alias("extended_price"),
@@ -295,27 +271,85 @@ SALES_READ_COLUMNS = {
 }
 
 
+_SALES_GROUP = ("date", "market_segment", "customer_region")
+
+
 def daily_sales_metrics(wide: DataFrame) -> DataFrame:
     """Daily sales by market segment and customer region.
 
-    Needs ``customer_key`` and ``part_key`` besides the published wide columns, so it reads the
-    stored table. Items are lines; orders, customers and products are exact distinct counts.
+    Needs ``customer_key`` and ``part_key`` besides the published wide columns. Items are
+    lines; orders, customers and products are exact distinct counts.
+    """
+    lines = wide.withColumn("date", _day())
+    orders = lines.groupBy(*_SALES_GROUP, "order_key", "customer_key").agg(
+        F.sum("net_amount").alias("net_sum"),
+        F.count("net_amount").alias("net_count"),
+        F.sum("discount_amount").alias("discount_sum"),
+        F.count("order_key").alias("line_count"),
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum("shipping_delay_days").alias("shipping_sum"),
+        F.count("shipping_delay_days").alias("shipping_count"),
+        F.sum("delivery_delay_days").alias("delivery_sum"),
+        F.count("delivery_delay_days").alias("delivery_count"),
+        F.count_if("is_late_delivery").alias("late_count"),
+        F.count_if(F.col("order_status") == m.CLOSED).alias("closed_count"),
+    )
+    return _sales(orders, lines.select(*_SALES_GROUP, "part_key"))
+
+
+def daily_sales_metrics_from_sources(
+    orders: DataFrame, lineitem: DataFrame, customer: DataFrame
+) -> DataFrame:
+    """``daily_sales_metrics`` straight from orders, lines and the customer dimension."""
+    located = _located_orders(orders, customer).withColumn(
+        "date", F.date_format("o_orderdate", "yyyy-MM-dd")
+    )
+    summed = with_order_measures(orders_with_totals(located, order_totals(lineitem)))
+    sold = join_dimension(
+        lineitem.select("l_orderkey", F.col("l_partkey").alias("part_key")),
+        located.select("o_orderkey", *_SALES_GROUP),
+        {"l_orderkey": "o_orderkey"},
+        "inner",
+        skew_source=lineitem,
+    )
+    return _sales(summed, sold)
+
+
+def with_order_measures(summed: DataFrame) -> DataFrame:
+    """Adds the parts that combine line totals with the order's date and status."""
+    day, dated = F.unix_date("order_date"), F.col("order_date").isNotNull()
+    closed = F.col("order_status") == m.CLOSED
+    ship_days, ships = F.col("ship_day_sum"), F.col("ship_day_count")
+    return summed.select(
+        "*",
+        (ship_days - ships * day).alias("shipping_sum"),
+        F.when(dated, ships).otherwise(0).alias("shipping_count"),
+        F.when(closed, F.col("row_count")).otherwise(0).alias("closed_count"),
+    )
+
+
+def _sales(orders: DataFrame, sold: DataFrame) -> DataFrame:
+    """Measures of order rows holding line totals, joined with the distinct parts sold.
+
+    Only the part count needs lines, so the other distinct counts work on order rows.
     """
-    late, closed = F.col("is_late_delivery"), F.col("order_status") == m.CLOSED
-    return wide.groupBy(
-        F.date_format("order_date", "yyyy-MM-dd").alias("date"),
-        "market_segment",
-        "customer_region",
-    ).agg(
-        F.round(F.sum("net_amount"), 2).alias("total_sales"),
-        F.round(F.sum("discount_amount"), 2).alias("total_discounts"),
-        F.round(F.avg("net_amount"), 2).alias("average_order_value"),
+    measured = orders.groupBy(*_SALES_GROUP).agg(
+        F.round(F.sum("net_sum"), 2).alias("total_sales"),
+        F.round(F.sum("discount_sum"), 2).alias("total_discounts"),
+        measures.mean("net_sum", "net_count").alias("average_order_value"),
         F.count_distinct("order_key").alias("number_of_orders"),
-        F.count("order_key").alias("number_of_items"),
-        F.round(F.avg("shipping_delay_days"), 2).alias("avg_shipping_delay"),
-        F.round(F.avg("delivery_delay_days"), 2).alias("avg_delivery_delay"),
-        measures.percentage(late).alias("late_delivery_percentage"),
+        F.sum("line_count").alias("number_of_items"),
+        measures.mean("shipping_sum", "shipping_count").alias("avg_shipping_delay"),
+        measures.mean("delivery_sum", "delivery_count").alias("avg_delivery_delay"),
+        measures.share("late_count").alias("late_delivery_percentage"),
         F.count_distinct("customer_key").alias("unique_customers"),
-        F.count_distinct("part_key").alias("unique_products"),
-        measures.percentage(closed).alias("fulfillment_rate"),
+        measures.share("closed_count").alias("fulfillment_rate"),
+    )
+    products = sold.groupBy(*[F.col(c).alias(f"sold_{c}") for c in _SALES_GROUP]).agg(
+        F.count_distinct("part_key").alias("unique_products")
+    )
+    # unknown segments and regions are groups of their own on both sides
+    same_group = [F.col(c).eqNullSafe(F.col(f"sold_{c}")) for c in _SALES_GROUP]
+    return measured.join(products, same_group).select(
+        *_SALES_GROUP, *[c for c in SALES_READ_COLUMNS if c not in ("region", *_SALES_GROUP)]
     )

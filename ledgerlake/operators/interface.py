@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import line_metrics as m
-from ledgerlake.functions.measures import percentage
-from ledgerlake.operators.joins import join_dimension
+from ledgerlake.functions.measures import mean, percentage, share
+from ledgerlake.operators.gold import with_order_measures
+from ledgerlake.operators.order_totals import order_totals, orders_with_totals
 
 # Published label -> gold column.
 FINANCE_LABELS = {
@@ -70,6 +71,20 @@ def supply_chain_dashboard(fct: DataFrame) -> DataFrame:
     )
 
 
+def supply_chain_dashboard_from_sources(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """``supply_chain_dashboard`` straight from orders and lines."""
+    summed = with_order_measures(
+        orders_with_totals(
+            orders.select("o_orderkey", "o_orderstatus", "o_orderdate"), order_totals(lineitem)
+        )
+    )
+    return summed.groupBy(_order_day()).agg(
+        mean("shipping_sum", "shipping_count").alias("delai_moyen_expedition_jours"),
+        share("late_count").alias("livraisons_tardives_pct"),
+        share("closed_count").alias("taux_execution_commandes_pct"),
+    )
+
+
 def supplier_performance(fct: DataFrame, suppliers: DataFrame) -> DataFrame:
     """Delivery measures per supplier, with the supplier's name and place.
 
