@@ -1,0 +1,95 @@
+import json
+
+import pytest
+from conftest import RUN_TS
+
+from ledgerlake import schemas
+from ledgerlake.operators import quality
+from ledgerlake.plans import snapshots
+
+
+def stamped(tables, table):
+    return snapshots.stamp(tables[table], RUN_TS)
+
+
+@pytest.mark.parametrize("table", schemas.SOURCE_TABLES)
+def test_every_source_table_passes_its_suite(tables, table):
+    quality.validate(stamped(tables, table), table, RUN_TS)
+
+
+def test_sixteen_expectations():
+    assert len(quality.SUITES) == 8
+    assert quality.SUITES["partsupp"].not_null == ("ps_partkey",)
+    assert quality.SUITES["lineitem"].not_null == ("l_orderkey",)
+    assert [len(s.column_list) for s in quality.SUITES.values()] == [4, 5, 9, 8, 10, 6, 10, 17]
+    assert all(s.column_list[-1] == "etl_inserted" for s in quality.SUITES.values())
+
+
+def test_null_key_fails(spark, tables):
+    rows = tables["region"].union(spark.createDataFrame([(None, "X", "y")], tables["region"].schema))
+    with pytest.raises(quality.InvalidDataError, match="r_regionkey.*1 nulls"):
+        quality.validate(snapshots.stamp(rows, RUN_TS), "region", RUN_TS)
+
+
+def test_column_order_matters(tables):
+    swapped = stamped(tables, "region").select("r_name", "r_regionkey", "r_comment", "etl_inserted")
+    with pytest.raises(quality.InvalidDataError, match="ordered_list"):
+        quality.validate(swapped, "region", RUN_TS)
+
+
+def test_missing_column_fails_instead_of_crashing(tables):
+    with pytest.raises(quality.InvalidDataError, match="column missing"):
+        quality.validate(stamped(tables, "region").drop("r_regionkey"), "region", RUN_TS)
+
+
+def test_checks_that_cannot_run_count_as_failed(spark):
+    broken = spark.range(3).selectExpr("assert_true(id < 0) AS a", "id").select("id", "a")
+    suites = {"t": quality.Suite(not_null=("a", "id"))}
+    with pytest.raises(quality.InvalidDataError, match="could not run"):
+        quality.validate(broken, "t", RUN_TS, suites)
+
+
+def test_no_suite_is_valid(tables):
+    quality.validate(tables["region"], "fct_orders", RUN_TS)
+
+
+def test_suite_from_json(tables):
+    text = json.dumps(
+        {
+            "expectations": [
+                {
+                    "expectation_type": quality.COLUMNS_MATCH,
+                    "kwargs": {"column_list": ["r_regionkey", "r_name", "r_comment"]},
+                },
+                {"expectation_type": quality.NOT_NULL, "kwargs": {"column": "r_name"}},
+            ]
+        }
+    )
+    suite = quality.suite_from_json(text)
+    assert suite == quality.Suite(("r_regionkey", "r_name", "r_comment"), ("r_name",))
+    quality.validate(tables["region"], "region", RUN_TS, {"region": suite})
+    with pytest.raises(ValueError, match="unknown expectation"):
+        quality.suite_from_json('{"expectations": [{"expectation_type": "x", "kwargs": {}}]}')
+
+
+def test_results_are_kept_even_on_failure(spark, tables, tmp_path):
+    path = str(tmp_path / "results")
+    quality.validate(stamped(tables, "nation"), "nation", RUN_TS, results_path=path)
+    with pytest.raises(quality.InvalidDataError):
+        quality.validate(tables["region"], "region", RUN_TS, results_path=path)
+    kept = {(r["table"], r["expectation"]): r for r in spark.read.parquet(path).collect()}
+    assert len(kept) == 4
+    assert kept["nation", quality.NOT_NULL]["row_count"] == 4
+    assert not kept["region", quality.COLUMNS_MATCH]["success"]
+    assert kept["region", quality.NOT_NULL]["success"]
+
+
+def test_reports(spark, tables):
+    rows = tables["region"].union(spark.createDataFrame([(None, "X", "y")], tables["region"].schema))
+    nulls = quality.not_null_report(rows, "region", quality.SUITES["region"]).collect()
+    assert [tuple(r) for r in nulls] == [("region", "r_regionkey", 4, 1, False)]
+    both = quality.report(snapshots.stamp(rows, RUN_TS), "region", quality.SUITES["region"])
+    assert [tuple(r) for r in both.collect()] == [
+        ("region", quality.COLUMNS_MATCH, None, True, 4, 4),
+        ("region", quality.NOT_NULL, "r_regionkey", False, 1, 4),
+    ]
