@@ -72,15 +72,19 @@ def run_table(
     root: str,
     run_ts: datetime,
     keep: int = 1,
+    rebalance: bool = False,
     compact: bool = False,
     suites: dict[str, quality.Suite] | None = None,
     results_path: str | None = None,
 ) -> None:
-    """Stamp, check, write, and only then drop older snapshots beyond ``keep``."""
+    """Stamp, check, write, and only then drop older snapshots beyond ``keep``.
+
+    ``rebalance`` evens out the files of source tables, whose task sizes the source decides.
+    """
     stamped = snapshots.stamp(computed, run_ts)
     quality.validate(stamped, spec.name, run_ts, suites, results_path)
     path = spec.path(root)
-    snapshots.write_snapshot(computed, path, run_ts, spec.rebalance)
+    snapshots.write_snapshot(computed, path, run_ts, rebalance and spec.transform is None)
     if compact:
         snapshots.compact(spark, path, stored_schema(spark, spec.name))
     snapshots.retain(spark, path, keep)
@@ -144,6 +148,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--geo-key", default="n_regionkey")
     parser.add_argument("--part-only", action="store_true")
     parser.add_argument("--keep", type=int, default=1, help="snapshots to keep per table")
+    parser.add_argument(
+        "--rebalance", action="store_true", help="even out the files of source tables"
+    )
     args = parser.parse_args(argv)
     if args.source != "jdbc" and not args.directory:
         parser.error(f"--directory is required with --source {args.source}")
@@ -156,10 +163,11 @@ def main(argv: list[str] | None = None) -> None:
         make = {"parquet": parquet_source, "tbl": tbl_source, "sample": sample_source}
         source = make[args.source](spark, args.directory)
     options = Options(args.geo_key, args.part_only, args.as_of)
+    storing = {"keep": args.keep, "rebalance": args.rebalance}
     if args.target == "finance":
-        run_finance(spark, source, args.root, options, keep=args.keep)
+        run_finance(spark, source, args.root, options, **storing)
     else:
-        run(spark, args.target, source, args.root, options, keep=args.keep)
+        run(spark, args.target, source, args.root, options, **storing)
 
 
 if __name__ == "__main__":

@@ -38,7 +38,7 @@ class TableSpec:
     """One stored table.
 
     ``transform`` gets the upstream tables by name, as readers see them. ``read_columns`` maps
-    published to stored columns (None: as stored). ``rebalance`` asks for evenly sized files.
+    published to stored columns (None: as stored).
     """
 
     name: str
@@ -49,7 +49,6 @@ class TableSpec:
     read_columns: Mapping[str, str] | None = None
     jdbc_table: str | None = None
     jdbc_partition_column: str | None = None
-    rebalance: bool = False
     database: str = "tpchdb"
 
     def path(self, root: str) -> str:
@@ -79,7 +78,6 @@ def _bronze(table: str) -> TableSpec:
         jdbc_table=f"public.{table}",
         # the first key column splits the scan; nation and region are one task each
         jdbc_partition_column=None if small else schemas.PRIMARY_KEYS[table][0],
-        rebalance=not small,
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 from operator import and_
 from urllib.parse import unquote
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ledgerlake.schemas import STAMP
 
 PARTITION_KEYS = (STAMP,)
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 _METADATA_ONLY = "spark.sql.optimizer.metadataOnly"
 
 
@@ -58,15 +59,26 @@ def write_snapshot(df: DataFrame, path: str, run_ts: datetime, rebalance: bool =
     newest snapshot is the empty one and not the one before.
     """
     spark = df.sparkSession
-    stamped = stamp(df, run_ts)
-    write(stamped, path, rebalance=rebalance)
-    instant = F.lit(run_ts).cast("timestamp")
-    text, us = spark.range(1).select(instant.cast("string"), F.unix_micros(instant)).first()
-    if latest(spark, path) != us:
-        folder = f"{path}/{STAMP}={text.replace(':', '%3A')}"
+    write(stamp(df, run_ts), path, rebalance=rebalance)
+    folder = f"{path}/{STAMP}={_partition_text(spark, run_ts)}"
+    fs, location = _hadoop(spark, folder)
+    if not fs.exists(location):
         spark.createDataFrame([], df.drop(STAMP).schema).write.mode("overwrite").parquet(folder)
 
 
+def _partition_text(spark: SparkSession, run_ts: datetime) -> str:
+    """The stamp as partition folders spell it, in the session's time zone."""
+    micros = (run_ts.astimezone(timezone.utc) - _EPOCH) // timedelta(microseconds=1)
+    text = spark.sql(f"SELECT cast(timestamp_micros({micros}) AS string)").first()[0]
+    return text.replace(":", "%3A")
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system that holds ``path``, and the path as it knows it."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
 @contextmanager
 def _metadata_only(spark: SparkSession):
     """Answer queries over partition columns from the file listing instead of the files."""
@@ -151,9 +163,7 @@ def retain(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
     """
     if keep < 1:
         raise ValueError("keep must be at least 1")
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    table = hadoop.Path(path)
-    fs = table.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, table = _hadoop(spark, path)
     prefix = f"{STAMP}="
     stored = {}
     for status in fs.listStatus(table):
