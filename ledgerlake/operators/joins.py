@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SKEW_BYTES = 256 * 1024 * 1024  # below this Spark does not call a partition skewed either
 SKETCH_ITEMS = 16_384  # about 256 KB per sketch
 MERGE_TASKS = 256
 
@@ -15,13 +16,26 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Spark's size estimate of ``df``; None in a remote session, which has no plan statistics."""
+    if not hasattr(df, "_jdf"):
+        return None
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark's own size estimate lets it broadcast ``df``; False when it is unknown."""
-    if not hasattr(df, "_jdf"):  # a remote session has no plan statistics
+    size = estimated_bytes(df)
+    if size is None:
         return False
     conf = df.sparkSession._jsparkSession.sessionState().conf()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= conf.autoBroadcastJoinThreshold()
+    return size <= conf.autoBroadcastJoinThreshold()
+
+
+def may_skew(df: DataFrame) -> bool:
+    """Whether ``df`` is large enough for one key to fill a task; True when unknown."""
+    size = estimated_bytes(df)
+    return size is None or size > SKEW_BYTES
 
 
 def hot_keys(df: DataFrame, keys: list[str], partitions: int) -> list[tuple[int, int]]:
@@ -56,8 +70,8 @@ def join_dimension(
     """``fact`` inner- or left-joined to ``dim`` on ``{fact column: dim column}``.
 
     A dimension within Spark's broadcast threshold is joined as is: the fact is not shuffled,
-    so no key can be hot. Beyond it the fact's hot keys are looked up, and if there are any,
-    both sides are shuffled by key plus a salt. A fact row of a hot key takes one salt, the
+    so no key can be hot. Beyond it, unless the whole fact is small, its hot keys are looked up,
+    and if there are any, both sides are shuffled by key plus a salt. A fact row of a hot key takes one salt, the
     dimension rows of that key are repeated for every salt, so each pair still meets exactly
     once. The salts of all hot keys add up to at most two per shuffle partition, which bounds
     the repetition for dimensions with one row per key.
@@ -82,7 +96,7 @@ def join_dimension(
         return fact.join(dim, condition, how)
     spark = fact.sparkSession
     source = fact if skew_source is None else skew_source
-    hot = hot_keys(source, list(on), shuffle_partitions(spark))
+    hot = hot_keys(source, list(on), shuffle_partitions(spark)) if may_skew(source) else []
     if not hot:
         return fact.join(dim, condition, how)
 

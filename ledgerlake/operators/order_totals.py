@@ -6,7 +6,9 @@ shuffle carries orders instead of lines. Measures by order attributes then need
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import line_metrics as m
@@ -15,29 +17,45 @@ from ledgerlake.operators.joins import join_dimension
 _PRICE = ("l_extendedprice", "l_discount", "l_tax")
 
 
+def _cents(amount: Column) -> Column:
+    """An amount of two decimals as a whole number, which is summed several times faster."""
+    return (amount * 100).cast("bigint")
+
+
 def order_totals(lineitem: DataFrame) -> DataFrame:
-    """Additive parts of the lines of each order; readers' unused sums are pruned away."""
-    ship_day, net = F.unix_date("l_shipdate"), F.col("net")
+    """Additive parts of the lines of each order; readers' unused sums are pruned away.
+
+    Amounts are summed in 64-bit cents and handed out as decimals. An order beyond
+    92,000,000,000,000,000.00 stops the job (arithmetic overflow) rather than wrapping around.
+    """
+    net, ship_day = m.net_amount(*_PRICE), F.unix_date("l_shipdate")
     delay = m.delivery_delay_days("l_receiptdate", "l_shipdate")
-    late = m.is_late_delivery("l_receiptdate", "l_commitdate")
+    amounts = {
+        "net_sum": net,
+        "tax_sum": m.tax_amount(*_PRICE),
+        "discount_sum": m.discount_amount(*_PRICE[:2]),
+        "list_sum": F.col(_PRICE[0]),
+    }
     rows = F.count(F.lit(1))
-    return (
-        lineitem.withColumn("net", m.net_amount(*_PRICE))
-        .groupBy(F.col("l_orderkey").alias("totals_key"))
-        .agg(
-            F.sum(net).alias("net_sum"),
-            F.count(net).alias("net_count"),
-            F.sum(m.tax_amount(*_PRICE)).alias("tax_sum"),
-            F.sum(m.discount_amount(*_PRICE[:2])).alias("discount_sum"),
-            F.sum(_PRICE[0]).alias("list_sum"),
-            rows.alias("line_count"),
-            rows.alias("row_count"),
-            F.sum(ship_day).alias("ship_day_sum"),
-            F.count(ship_day).alias("ship_day_count"),
-            F.sum(delay).alias("delivery_sum"),
-            F.count(delay).alias("delivery_count"),
-            F.count_if(late).alias("late_count"),
-        )
+    counts = {
+        "net_count": F.count(net),
+        "line_count": rows,
+        "row_count": rows,
+        "ship_day_sum": F.sum(ship_day),
+        "ship_day_count": F.count(ship_day),
+        "delivery_sum": F.sum(delay),
+        "delivery_count": F.count(delay),
+        "late_count": F.count_if(m.is_late_delivery("l_receiptdate", "l_commitdate")),
+    }
+    summed = lineitem.groupBy(F.col("l_orderkey").alias("totals_key")).agg(
+        *[F.sum(_cents(amount)).alias(name) for name, amount in amounts.items()],
+        *[count.alias(name) for name, count in counts.items()],
+    )
+    hundredth = F.lit(Decimal("0.01"))
+    return summed.select(
+        "totals_key",
+        *[(F.col(name) * hundredth).cast("decimal(38,2)").alias(name) for name in amounts],
+        *counts,
     )
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STAMP = "etl_inserted"
@@ -147,18 +146,18 @@ def conform(df: DataFrame, table: str, lenient: bool = False) -> DataFrame:
     ``lenient`` turns values that do not fit their type into NULL instead of failing the
     job; the key checks then catch rows whose key was unreadable.
     """
-    missing = [c for c in columns(table) if c not in df.columns]
+    present = {f.name: f.dataType for f in df.schema}
+    missing = [c for c in columns(table) if c not in present]
     if missing:
         raise ValueError(f"{table}: source lacks columns {missing}")
-    present = {f.name: f.dataType for f in df.schema}
+    cast = "try_cast" if lenient else "cast"
 
-    def column(name: str, dtype: T.DataType):
-        value = F.col(name)
-        stored = _stored_type(dtype)
+    def expression(name: str, dtype: T.DataType) -> str:
+        stored, value = _stored_type(dtype), name
         if present[name] != stored:
-            value = value.try_cast(stored) if lenient else value.cast(stored)
+            value = f"{cast}({value} AS {stored.simpleString()})"
         if isinstance(dtype, _Char):
-            value = F.rtrim(value)
-        return value.alias(name)
+            value = f"rtrim({value})"
+        return f"{value} AS {name}"
 
-    return df.select(*[column(n, t) for n, t in _COLUMNS[table]])
+    return df.selectExpr(*[expression(n, t) for n, t in _COLUMNS[table]])

@@ -5,12 +5,15 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlake.operators import joins
 from ledgerlake.operators.joins import fits_broadcast, hot_keys, join_dimension
 
 
 @pytest.fixture
-def no_broadcast(setting):
+def no_broadcast(setting, monkeypatch):
+    """Treat every dimension as too large to broadcast and every fact as large."""
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(joins, "SKEW_BYTES", 0)
 
 
 @pytest.fixture
@@ -87,6 +90,12 @@ def test_even_keys_are_not_hot(spark):
     assert hot_keys(spark.range(10_000).withColumnRenamed("id", "k"), ["k"], 200) == []
 
 
+def test_small_facts_are_not_searched(spark, setting, monkeypatch):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(joins, "hot_keys", lambda *_: pytest.fail("searched"))
+    assert join_dimension(skewed(spark, 600), dimension(spark), {"k": "dk"}).count() == 600
+
+
 def test_no_salt_without_hot_keys(spark, no_broadcast):
     fact = spark.range(10_000).select(F.col("id").alias("k"))
     assert "_salt" not in plan_of(join_dimension(fact, dimension(spark), {"k": "dk"}))
