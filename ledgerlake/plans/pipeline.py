@@ -12,7 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlake import schemas
 from ledgerlake.operators import interface, quality
 from ledgerlake.plans import snapshots
-from ledgerlake.plans.registry import REGISTRY, Options, TableSpec, order_of, stored_schema
+from ledgerlake.plans.registry import (
+    PUBLISHED,
+    REGISTRY,
+    Options,
+    TableSpec,
+    order_of,
+    stored_schema,
+)
 from ledgerlake.session import build_session
 from ledgerlake.sources import files, jdbc, sample
 
@@ -108,38 +115,87 @@ def run(
     from the stored inputs. ``persist=False`` composes one lazy plan instead.
     """
     run_ts = run_ts or datetime.now(timezone.utc)
-    if not persist and run_upstream:
+    if persist:
+        tables = order_of(target) if run_upstream else [REGISTRY[target]]
+        _store(spark, tables, source, root, options, run_ts, **table_options)
+        return read_table(spark, root, target)
+    if run_upstream:
         return build(target, source, options, run_ts)
-    tables = order_of(target) if run_upstream else [REGISTRY[target]]
+    spec = REGISTRY[target]
+    computed = _compute(spark, spec, source, root, options)
+    return spec.published(snapshots.stamp(computed, run_ts))
+
+
+def _compute(
+    spark: SparkSession, spec: TableSpec, source: Source, root: str, options: Options
+) -> DataFrame:
+    """The table from its stored inputs, or from the source."""
+    if spec.transform is None:
+        return source(spec.name)
+    return spec.transform({u: read_table(spark, root, u) for u in spec.upstream}, options)
+
+
+def _store(
+    spark: SparkSession,
+    tables: list[TableSpec],
+    source: Source,
+    root: str,
+    options: Options,
+    run_ts: datetime,
+    **table_options,
+) -> None:
     for spec in tables:
-        if spec.transform:
-            inputs = {u: read_table(spark, root, u) for u in spec.upstream}
-            computed = spec.transform(inputs, options)
-        else:
-            computed = source(spec.name)
-        if not persist:
-            return spec.published(snapshots.stamp(computed, run_ts))
         log.info("writing %s", spec.name)
+        computed = _compute(spark, spec, source, root, options)
         run_table(spark, spec, computed, root, run_ts, **table_options)
-    return read_table(spark, root, target)
 
 
-def run_finance(
-    spark: SparkSession, source: Source, root: str, options: Options = Options(), **run_options
+def publish(
+    spark: SparkSession, name: str, root: str, options: Options = Options()
 ) -> DataFrame:
-    """The whole pipeline: finance metrics and upstream, then the published dashboard."""
-    finance = run(spark, "finance_metrics", source, root, options, **run_options)
-    path = f"{root.rstrip('/')}/interface/finance/dashboard"
-    interface.publish(interface.finance_dashboard(finance), path)
-    interface.register(spark, "finance", "finance_dashboard_view", path)
+    """Publish an output from the stored tables, under its folder and its catalog name."""
+    output = PUBLISHED[name]
+    inputs = {u: read_table(spark, root, u) for u in output.upstream}
+    path = output.path(root)
+    interface.publish(output.make(inputs, options), path)
+    interface.register(spark, output.schema, output.table, path)
     published = spark.read.parquet(path)
-    log.info("finance dashboard: %d rows", published.count())
+    log.info("%s.%s: %d rows", output.schema, output.table, published.count())
     return published
 
 
+def run_published(
+    spark: SparkSession,
+    names: list[str],
+    source: Source,
+    root: str,
+    options: Options = Options(),
+    run_ts: datetime | None = None,
+    **table_options,
+) -> dict[str, DataFrame]:
+    """Store every table the named outputs need, each once, then publish the outputs."""
+    run_ts = run_ts or datetime.now(timezone.utc)
+    needed = dict.fromkeys(u for name in names for u in PUBLISHED[name].upstream)
+    _store(spark, order_of(*needed), source, root, options, run_ts, **table_options)
+    return {name: publish(spark, name, root, options) for name in names}
+
+
+def run_finance(
+    spark: SparkSession, source: Source, root: str, options: Options = Options(), **run_options
+) -> DataFrame:
+    """The whole finance pipeline: finance metrics and upstream, then the dashboard."""
+    name = "finance_dashboard"
+    return run_published(spark, [name], source, root, options, **run_options)[name]
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Run the order-to-finance pipeline.")
-    parser.add_argument("target", nargs="?", default="finance", help="finance, or a table name")
+    parser.add_argument(
+        "target",
+        nargs="?",
+        default="finance",
+        help="finance, all (every published output), a published output, or a table",
+    )
     parser.add_argument("--root", required=True, help="where tables are stored")
     parser.add_argument("--source", choices=("jdbc", "parquet", "tbl", "sample"), default="jdbc")
     parser.add_argument("--directory", help="input folder of file sources")
@@ -164,8 +220,10 @@ def main(argv: list[str] | None = None) -> None:
         source = make[args.source](spark, args.directory)
     options = Options(args.geo_key, args.part_only, args.as_of)
     storing = {"keep": args.keep, "rebalance": args.rebalance}
-    if args.target == "finance":
-        run_finance(spark, source, args.root, options, **storing)
+    outputs = {"finance": ["finance_dashboard"], "all": list(PUBLISHED)}
+    outputs.update({name: [name] for name in PUBLISHED})
+    if args.target in outputs:
+        run_published(spark, outputs[args.target], source, args.root, options, **storing)
     else:
         run(spark, args.target, source, args.root, options, **storing)
 

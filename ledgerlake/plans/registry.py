@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake import schemas
-from ledgerlake.operators import gold, silver
+from ledgerlake.operators import gold, interface, silver
 
 
 @dataclass(frozen=True)
@@ -192,8 +192,66 @@ REGISTRY: dict[str, TableSpec] = {
 }
 
 
-def order_of(target: str) -> list[TableSpec]:
-    """The target and everything it is made from, upstream first, each table once."""
+@dataclass(frozen=True)
+class Published:
+    """A business-named output: the catalog name and folder it is published under."""
+
+    schema: str
+    table: str
+    folder: str
+    upstream: tuple[str, ...]
+    make: Callable[[Inputs, Options], DataFrame]
+
+    def path(self, root: str) -> str:
+        return f"{root.rstrip('/')}/interface/{self.folder}"
+
+
+def _supplier_performance(t: Inputs, o: Options) -> DataFrame:
+    suppliers = silver.supplier_enriched(t["supplier"].drop(schemas.STAMP), _geo(t, o))
+    return interface.supplier_performance(t["fct_orders"], suppliers)
+
+
+PUBLISHED: dict[str, Published] = {
+    "finance_dashboard": Published(
+        "finance",
+        "finance_dashboard_view",
+        "finance/dashboard",
+        ("finance_metrics",),
+        lambda t, o: interface.finance_dashboard(t["finance_metrics"]),
+    ),
+    "supply_chain_dashboard": Published(
+        "supply_chain",
+        "supply_chain_dashboard_view",
+        "supply_chain/dashboard",
+        ("fct_orders",),
+        lambda t, o: interface.supply_chain_dashboard(t["fct_orders"]),
+    ),
+    "supplier_performance": Published(
+        "supply_chain",
+        "supplier_performance_view",
+        "supply_chain/supplier_performance",
+        ("fct_orders", "supplier", "nation", "region"),
+        _supplier_performance,
+    ),
+    "inventory_analysis": Published(
+        "supply_chain",
+        "inventory_analysis_view",
+        "supply_chain/inventory_analysis",
+        ("fct_orders",),
+        lambda t, o: interface.inventory_analysis(t["fct_orders"]),
+    ),
+    "daily_sales_report": Published(
+        "general",
+        "daily_sales_report_view",
+        "daily_sales_report",
+        ("daily_sales_metrics",),
+        lambda t, o: interface.daily_sales_report(t["daily_sales_metrics"]),
+    ),
+}
+
+
+def order_of(*targets: str) -> list[TableSpec]:
+    """The targets and everything they are made from, upstream first, each table once."""
     done: dict[str, TableSpec] = {}
 
     def visit(name: str) -> None:
@@ -202,9 +260,10 @@ def order_of(target: str) -> list[TableSpec]:
                 visit(upstream)
             done[name] = REGISTRY[name]
 
-    if target not in REGISTRY:
-        raise KeyError(f"unknown table {target}; known: {', '.join(REGISTRY)}")
-    visit(target)
+    for target in targets:
+        if target not in REGISTRY:
+            raise KeyError(f"unknown table {target}; known: {', '.join(REGISTRY)}")
+        visit(target)
     return list(done.values())
 
 

@@ -18,6 +18,15 @@ R = TypeVar("R")
 TARGET_PARTITION_MB = 128
 
 
+@dataclass(frozen=True)
+class Retry:
+    """How often to try, and how long to wait: doubling from the first to the longest wait."""
+
+    max_retries: int = 5
+    initial_backoff: float = 1.0
+    max_backoff: float = 30.0
+
+
 @dataclass(frozen=True)
 class JdbcConnection:
     """Where and how to connect."""
@@ -27,6 +36,7 @@ class JdbcConnection:
     password: str | None = None
     driver: str = "org.postgresql.Driver"
     fetch_size: int = 10_000
+    retry: Retry = Retry()
 
     @classmethod
     def from_env(cls) -> JdbcConnection:
@@ -48,27 +58,22 @@ class JdbcConnection:
 
 
 def with_retry(
-    action: Callable[[], R],
-    max_retries: int = 5,
-    initial_backoff: float = 1.0,
-    max_backoff: float = 30.0,
-    sleep: Callable[[float], None] = time.sleep,
+    action: Callable[[], R], retry: Retry = Retry(), sleep: Callable[[float], None] = time.sleep
 ) -> R:
-    """Run ``action``, waiting longer after each failure (doubling, 20 % jitter, capped).
+    """Run ``action``, waiting longer after each failure, with 20 % jitter.
 
     Meant for the eager calls that set a scan up. Failures while reading rows are Spark task
     failures and are retried by the scheduler.
     """
-    for attempt in range(1, max_retries + 1):
+    for attempt in range(1, retry.max_retries + 1):
         try:
             return action()
         except Exception as error:
-            if attempt == max_retries:
+            if attempt == retry.max_retries:
                 raise
-            delay = initial_backoff * 2 ** (attempt - 1) * random.uniform(0.8, 1.2)
-            delay = min(delay, max_backoff)
-            log.warning("attempt %d of %d failed: %s", attempt, max_retries, error)
-            sleep(delay)
+            delay = retry.initial_backoff * 2 ** (attempt - 1) * random.uniform(0.8, 1.2)
+            log.warning("attempt %d of %d failed: %s", attempt, retry.max_retries, error)
+            sleep(min(delay, retry.max_backoff))
     raise ValueError("max_retries must be at least 1")
 
 
@@ -82,7 +87,8 @@ def plan_partitions(table_bytes: int | None, target_mb: int = TARGET_PARTITION_M
 def _one_row(spark: SparkSession, connection: JdbcConnection, select: str):
     query = f"({select}) answer"
     return with_retry(
-        lambda: spark.read.jdbc(connection.url, query, properties=connection.properties()).first()
+        lambda: spark.read.jdbc(connection.url, query, properties=connection.properties()).first(),
+        connection.retry,
     )
 
 
@@ -129,5 +135,6 @@ def read_jdbc(
     return with_retry(
         lambda: spark.read.jdbc(
             connection.url, table, properties=connection.properties(), **ranges
-        )
+        ),
+        connection.retry,
     )

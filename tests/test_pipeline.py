@@ -171,6 +171,33 @@ def test_whole_finance_run_publishes_the_dashboard(spark, source, tmp_path):
     spark.sql("DROP TABLE finance.finance_dashboard_view")
 
 
+def test_every_output_is_published_and_registered(spark, stored):
+    root = stored[0]
+    for name, output in registry.PUBLISHED.items():
+        published = pipeline.publish(spark, name, root, OPTIONS)
+        table = spark.table(f"{output.schema}.{output.table}")
+        assert table.columns == published.columns
+        assert rows_of(table) == rows_of(published)
+        assert table.count() > 0
+        spark.sql(f"DROP TABLE {output.schema}.{output.table}")
+
+
+def test_outputs_share_their_upstream_tables(spark, edge_tables, tmp_path):
+    asked = []
+
+    def source(table):
+        asked.append(table)
+        return edge_tables[table]
+
+    names = ["supply_chain_dashboard", "inventory_analysis", "supplier_performance"]
+    published = pipeline.run_published(spark, names, source, str(tmp_path), OPTIONS)
+    assert list(published) == names
+    assert sorted(asked) == ["lineitem", "nation", "orders", "region", "supplier"]
+    for name in names:
+        output = registry.PUBLISHED[name]
+        spark.sql(f"DROP TABLE {output.schema}.{output.table}")
+
+
 def test_command_line(spark, edge_tables, tmp_path, monkeypatch):
     folder = tmp_path / "in"
     for name, df in edge_tables.items():
@@ -180,6 +207,9 @@ def test_command_line(spark, edge_tables, tmp_path, monkeypatch):
     arguments = ["--root", root, "--source", "parquet", "--directory", str(folder)]
     pipeline.main(["dim_customer", *arguments])
     assert pipeline.read_table(spark, root, "dim_customer").count() == 6
+    pipeline.main(["inventory_analysis", *arguments])
+    assert spark.table("supply_chain.inventory_analysis_view").count() == 4
+    spark.sql("DROP TABLE supply_chain.inventory_analysis_view")
     with pytest.raises(SystemExit):
         pipeline.main(["--root", root, "--source", "tbl"])
 

@@ -89,7 +89,7 @@ def test_retry_waits_longer_each_time():
     waits = []
     reader = FakeReader(failures=4)
     got = jdbc.with_retry(
-        lambda: reader.jdbc("url", "t", {}), initial_backoff=1, max_backoff=3, sleep=waits.append
+        lambda: reader.jdbc("url", "t", {}), jdbc.Retry(5, 1, 3), sleep=waits.append
     )
     assert got is reader
     for wait, base in zip(waits, (1, 2, 4, 8), strict=True):
@@ -104,7 +104,7 @@ def test_retry_gives_up():
         raise ConnectionError("not reachable")
 
     with pytest.raises(ConnectionError):
-        jdbc.with_retry(fail, max_retries=3, sleep=waits.append)
+        jdbc.with_retry(fail, jdbc.Retry(max_retries=3), sleep=waits.append)
     assert (len(calls), len(waits)) == (3, 2)
 
 
