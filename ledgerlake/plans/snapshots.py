@@ -153,7 +153,8 @@ def compact(
     if stamp_us is None:
         return
     rows = _load(spark, path, schema, "parquet", merge_schema=False).filter(_at(stamp_us))
-    write(rows, path, rebalance=True)
+    # the stamp as a literal: the writer would sort by a partition column it had to read
+    write(rows.withColumn(STAMP, F.timestamp_micros(F.lit(stamp_us))), path, rebalance=True)
 
 
 def retain(spark: SparkSession, path: str, keep: int = 1) -> list[str]:

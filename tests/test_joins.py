@@ -13,6 +13,7 @@ from ledgerlake.operators.joins import fits_broadcast, hot_keys, join_dimension
 def no_broadcast(setting, monkeypatch):
     """Treat every dimension as too large to broadcast and every fact as large."""
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.shuffle.partitions", "8")
     monkeypatch.setattr(joins, "SKEW_BYTES", 0)
 
 
