@@ -47,14 +47,22 @@ def hot_keys(df: DataFrame, keys: list[str], partitions: int) -> list[tuple[int,
     about 0.01 % of the rows go unnoticed: that costs balance, which adaptive execution evens
     out, and never rows.
     """
+    tracked, listed = SKETCH_ITEMS, min(partitions, SKETCH_ITEMS)
+    share = f"least({partitions}, ceil(count * {partitions} / n))"
     found = (
         df.select(F.xxhash64(*keys).alias("k"), F.spark_partition_id().alias("task"))
         .groupBy(F.expr(f"task % {MERGE_TASKS}"))
-        .agg(F.expr(f"approx_top_k_accumulate(k, {SKETCH_ITEMS}) AS sketch"), F.expr("count(1) AS n"))
+        .agg(
+            F.expr(f"approx_top_k_accumulate(k, {tracked})").alias("sketch"),
+            F.count(F.lit(1)).alias("n"),
+        )
         .groupBy(F.lit("all"))  # a global aggregate cannot ship the sketch of a task without rows
-        .agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS}) AS sketch"), F.expr("sum(n) AS n"))
-        .selectExpr(f"inline(approx_top_k_estimate(sketch, {min(partitions, SKETCH_ITEMS)}))", "n")
-        .selectExpr("item", f"cast(least({partitions}, ceil(count * {partitions} / n)) AS int) AS salts")
+        .agg(
+            F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"),
+            F.sum("n").alias("n"),
+        )
+        .selectExpr(f"inline(approx_top_k_estimate(sketch, {listed}))", "n")
+        .selectExpr("item", f"cast({share} AS int) AS salts")
         .filter("salts > 1")
     )
     return [(row["item"], row["salts"]) for row in found.collect()]

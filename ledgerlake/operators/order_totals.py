@@ -91,7 +91,7 @@ def weighted_order_totals(lineitem: DataFrame, partsupp: DataFrame) -> DataFrame
 
 
 def orders_with_totals(orders: DataFrame, totals: DataFrame) -> DataFrame:
-    """Orders under their business names, with the totals of their lines; orders without drop out."""
+    """Orders under their business names with the totals of their lines; both sides must match."""
     business = {
         "o_orderkey": "order_key",
         "o_custkey": "customer_key",

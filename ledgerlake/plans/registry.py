@@ -49,7 +49,6 @@ class TableSpec:
     read_columns: Mapping[str, str] | None = None
     jdbc_table: str | None = None
     jdbc_partition_column: str | None = None
-    database: str = "tpchdb"
 
     def path(self, root: str) -> str:
         return f"{root.rstrip('/')}/{self.layer}/{self.name}"
@@ -102,6 +101,7 @@ def _wide(t: Inputs, o: Options) -> DataFrame:
     )
 
 
+# The columns readers of each stored table see.
 _DIM_CUSTOMER_READ = [
     "customer_key",
     "customer_name",

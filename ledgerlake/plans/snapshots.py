@@ -135,7 +135,8 @@ def read(
     """
     rows = _load(spark, path, schema, fmt, merge_schema)
     if partition_values:
-        rows = rows.filter(reduce(and_, (F.col(k) == F.lit(v) for k, v in partition_values.items())))
+        matches = (F.col(k) == F.lit(v) for k, v in partition_values.items())
+        rows = rows.filter(reduce(and_, matches))
     elif not every_snapshot:
         newest = latest(spark, path, fmt)
         rows = rows.filter(F.lit(False) if newest is None else _at(newest))

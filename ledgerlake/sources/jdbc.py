@@ -96,7 +96,8 @@ def jdbc_bounds(
     spark: SparkSession, connection: JdbcConnection, table: str, column: str
 ) -> tuple[int | None, int | None]:
     """Smallest and largest key, computed by the source; None for an empty table."""
-    row = _one_row(spark, connection, f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}")
+    select = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
+    row = _one_row(spark, connection, select)
     return row[0], row[1]
 
 
