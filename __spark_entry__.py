@@ -143,10 +143,65 @@ def _snapshot_compacted(spark: SparkSession, folder: str) -> DataFrame:
     return snapshots.read(spark, path, schema, every_snapshot=True)
 
 
-def _tbl_orders(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "orders.tbl")
-    files.write_tbl(sample.load(spark, folder, "orders"), path)
-    return files.read_tbl(spark, path, "orders")
+def _snapshot_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """A history whose older snapshot lacks a column, read with both snapshots' columns."""
+    rows = sample.load(spark, folder, "customer")
+    path = scratch_path(spark, "customer")
+    newer = datetime.now(timezone.utc)
+    snapshots.write_snapshot(rows.drop("c_comment"), path, newer - timedelta(days=1))
+    snapshots.write_snapshot(rows, path, newer)
+    return snapshots.read(spark, path, merge_schema=True, every_snapshot=True)
+
+
+def _tbl(table: str) -> Query:
+    """Write a table as delimited text and read it back."""
+
+    def round_trip(spark: SparkSession, folder: str) -> DataFrame:
+        path = scratch_path(spark, f"{table}.tbl")
+        files.write_tbl(sample.load(spark, folder, table), path)
+        return files.read_tbl(spark, path, table)
+
+    return round_trip
+
+
+def _dq_saved(spark: SparkSession, folder: str) -> DataFrame:
+    """Check every stamped source table, keep the results, read them back."""
+    run_ts, path = datetime.now(timezone.utc), scratch_path(spark, "checks")
+    tables = Tables(spark, folder)
+    for table in schemas.SOURCE_TABLES:
+        rows = snapshots.stamp(tables.source(table), run_ts)
+        quality.validate(rows, table, run_ts, results_path=path)
+    return spark.read.parquet(path).drop("run_ts", "observed")
+
+
+def _published_dashboard(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "dashboard")
+    dashboard = interface.finance_dashboard(Tables(spark, folder).finance())
+    interface.publish(snapshots.stamp(dashboard, datetime.now(timezone.utc)), path)
+    return spark.read.parquet(path)
+
+
+def _published_view(spark: SparkSession, folder: str) -> DataFrame:
+    report = interface.daily_sales_report(Tables(spark, folder).sales())
+    interface.publish_view(report, "daily_sales_report")
+    return spark.table("global_temp.daily_sales_report")
+
+
+def _sales_groups(tables: Tables) -> DataFrame:
+    """How many rows the sales report must have."""
+    lines = gold.located_order_lines(
+        tables.source("orders"), tables.source("lineitem"), tables.customers()
+    )
+    return (
+        lines.select("order_date", "market_segment", "region_name")
+        .distinct()
+        .agg(F.count(F.lit(1)).alias("group_count"))
+    )
+
+
+def _read(name: str) -> Query:
+    """A table as readers see it."""
+    return lambda spark, folder: pipeline.build(name, pipeline.sample_source(spark, folder))
 
 
 def _lazy_finance(spark: SparkSession, folder: str) -> DataFrame:
@@ -206,7 +261,16 @@ def queries() -> dict[str, Query]:
         "snapshot_latest": _snapshot_latest,
         "snapshot_by_partition": _snapshot_by_partition,
         "snapshot_compacted": _snapshot_compacted,
-        "tbl_orders": _tbl_orders,
+        "snapshot_merged_schema": _snapshot_merged,
+        "tbl_orders": _tbl("orders"),
+        "tbl_lineitem": _tbl("lineitem"),
+        "dq_results_saved": _dq_saved,
+        "dim_customer_read": _read("dim_customer"),
+        "dim_part_read": _read("dim_part"),
+        "wide_order_details_read": _modelled(lambda t: gold.wide_read(t.wide())),
+        "published_finance_dashboard": _published_dashboard,
+        "published_sales_view": _published_view,
+        "daily_sales_group_count": _modelled(_sales_groups),
         "lazy_pipeline_finance": _lazy_finance,
         "persisted_pipeline_finance": _persisted_finance,
     }

@@ -115,26 +115,18 @@ def check(
     suite = (SUITES if suites is None else suites).get(table)
     if suite is None:
         return []
-    results = []
-    if suite.column_list is not None:
-        results.append(
-            (
-                run_ts,
-                table,
-                COLUMNS_MATCH,
-                None,
-                columns_match(df, suite.column_list),
-                ", ".join(df.columns),
-                None,
-            )
-        )
     present = tuple(c for c in suite.not_null if c in df.columns)
     counts = not_null(df, present).first() if present else None
+    rows = counts["row_count"] if counts else None
+    results = []
+    if suite.column_list is not None:
+        matches = columns_match(df, suite.column_list)
+        seen = ", ".join(df.columns)
+        results.append((run_ts, table, COLUMNS_MATCH, None, matches, seen, rows))
     for name in suite.not_null:
         nulls = counts[name] if name in present else None
-        rows = counts["row_count"] if counts else None
-        observed = "column missing" if nulls is None else f"{nulls} nulls"
-        results.append((run_ts, table, NOT_NULL, name, nulls == 0, observed, rows))
+        seen = "column missing" if nulls is None else f"{nulls} nulls"
+        results.append((run_ts, table, NOT_NULL, name, nulls == 0, seen, rows))
     return results
 
 

@@ -330,6 +330,15 @@ def build() -> dict[str, str]:
                sum(extended_price)::double AS extended_price
         FROM wide GROUP BY ALL"""
     all_silver = ("geo", "suppliers", "parts", "customers", "supplied_parts", "fct", "wide")
+    wide_read = """
+        SELECT order_key, line_number, strftime(order_date, '%Y-%m-%d') AS order_date,
+               order_status, order_priority, extended_price::double AS extended_price,
+               net_amount::double AS net_amount, discount_amount::double AS discount_amount,
+               tax_amount::double AS tax_amount, customer_name, market_segment,
+               nation_name AS customer_nation, region_name AS customer_region, part_name,
+               manufacturer, brand, product_type, manufacturing_country, manufacturing_region,
+               shipping_delay_days, delivery_delay_days, is_late_delivery
+        FROM wide"""
     sales_report = """
         SELECT date AS "Date", market_segment AS "Market Segment", customer_region AS "Region",
                total_sales AS "Total Revenue", average_order_value AS "Average Order Value",
@@ -408,7 +417,43 @@ def build() -> dict[str, str]:
         "snapshot_latest": bronze["orders"],
         "snapshot_by_partition": bronze["customer"],
         "snapshot_compacted": bronze["orders"],
+        "snapshot_merged_schema": _query(
+            _portable(
+                "(SELECT * FROM b_customer UNION ALL"
+                " SELECT * REPLACE (NULL::varchar AS c_comment) FROM b_customer)",
+                ["c_acctbal"],
+                [],
+            )
+        ),
         "tbl_orders": bronze["orders"],
+        "tbl_lineitem": bronze["lineitem"],
+        "dq_results_saved": _query(
+            f"SELECT * EXCLUDE (observed) FROM ({_dq_report()})"
+        ),
+        "dim_customer_read": _query(
+            _portable("(SELECT * EXCLUDE (full_address) FROM customers)", ["account_balance"], []),
+            "geo",
+            "customers",
+        ),
+        "dim_part_read": _query(
+            _portable(
+                "(SELECT * EXCLUDE (ps_availqty, ps_supplycost, ps_comment, s_suppkey)"
+                " FROM supplied_parts)",
+                [c for c in _PART_MONEY if c != "ps_supplycost"],
+                [],
+            ),
+            "geo",
+            "suppliers",
+            "parts",
+            "supplied_parts",
+        ),
+        "wide_order_details_read": _query(wide_read, *all_silver),
+        "published_finance_dashboard": _lines_query(_finance(_FRENCH)),
+        "published_sales_view": _lines_query(sales_report),
+        "daily_sales_group_count": _lines_query(
+            "SELECT count(*) AS group_count FROM"
+            " (SELECT DISTINCT order_date, market_segment, region_name FROM lines)"
+        ),
         "lazy_pipeline_finance": finance,
         "persisted_pipeline_finance": finance,
     }
