@@ -20,7 +20,7 @@ from ledgerlake.plans.registry import (
     order_of,
     stored_schema,
 )
-from ledgerlake.session import build_session
+from ledgerlake.session import build_session, sized_for
 from ledgerlake.sources import files, jdbc, sample
 
 log = logging.getLogger(__name__)
@@ -207,12 +207,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument(
         "--rebalance", action="store_true", help="even out the files of source tables"
     )
+    parser.add_argument("--input-gb", type=int, help="size partitions for this much input")
     args = parser.parse_args(argv)
     if args.source != "jdbc" and not args.directory:
         parser.error(f"--directory is required with --source {args.source}")
 
     logging.basicConfig(level=logging.INFO)
-    spark = build_session()
+    spark = build_session(settings=sized_for(args.input_gb * 1024**3) if args.input_gb else None)
     if args.source == "jdbc":
         source = jdbc_source(spark, jdbc.JdbcConnection.from_env(), args.num_partitions)
     else:

@@ -17,9 +17,29 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "ledgerlake", **overrides: str) -> SparkSession:
+_MB, _GB, _TB = 1024**2, 1024**3, 1024**4
+
+
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Partition settings for a run over that much input.
+
+    Shuffles start with one partition per GB, which adaptive execution merges where less data
+    arrives; beyond 10 TB, scans take 512 MB per task to keep the number of shuffle blocks down.
+    """
+    partitions = min(100_000, max(200, -(-input_bytes // _GB)))
+    scan = 512 if input_bytes > 10 * _TB else 128
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": f"{scan * _MB}b",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{256 * _MB}b",
+    }
+
+
+def build_session(
+    app: str = "ledgerlake", settings: dict[str, str] | None = None
+) -> SparkSession:
     builder = SparkSession.builder.appName(app)
-    for key, value in {**SETTINGS, **overrides}.items():
+    for key, value in {**SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

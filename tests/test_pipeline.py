@@ -202,7 +202,7 @@ def test_command_line(spark, edge_tables, tmp_path, monkeypatch):
     folder = tmp_path / "in"
     for name, df in edge_tables.items():
         df.write.parquet(str(folder / f"{name}.parquet"))
-    monkeypatch.setattr(pipeline, "build_session", lambda: spark)
+    monkeypatch.setattr(pipeline, "build_session", lambda settings: spark)
     root = str(tmp_path / "lake")
     arguments = ["--root", root, "--source", "parquet", "--directory", str(folder)]
     pipeline.main(["dim_customer", *arguments])
