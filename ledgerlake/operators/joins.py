@@ -16,26 +16,34 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Spark's size estimate of ``df``; None in a remote session, which has no plan statistics."""
-    if not hasattr(df, "_jdf"):
-        return None
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def _plan(df: DataFrame):
+    """The optimized plan, which carries size estimates; None in a remote session."""
+    return df._jdf.queryExecution().optimizedPlan() if hasattr(df, "_jdf") else None
+
+
+def _bytes(plan) -> int:
+    return int(str(plan.stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark's own size estimate lets it broadcast ``df``; False when it is unknown."""
-    size = estimated_bytes(df)
-    if size is None:
+    plan = _plan(df)
+    if plan is None:
         return False
     conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return size <= conf.autoBroadcastJoinThreshold()
+    return _bytes(plan) <= conf.autoBroadcastJoinThreshold()
 
 
 def may_skew(df: DataFrame) -> bool:
-    """Whether ``df`` is large enough for one key to fill a task; True when unknown."""
-    size = estimated_bytes(df)
-    return size is None or size > SKEW_BYTES
+    """Whether the tables ``df`` reads are large enough for one key to fill a task.
+
+    The tables count in full, whatever columns ``df`` takes of them. True when unknown.
+    """
+    plan = _plan(df)
+    if plan is None:
+        return True
+    tables = plan.collectLeaves()
+    return sum(_bytes(tables.apply(i)) for i in range(tables.size())) > SKEW_BYTES
 
 
 def hot_keys(df: DataFrame, keys: list[str], partitions: int) -> list[tuple[int, int]]:
