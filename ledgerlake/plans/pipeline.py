@@ -81,6 +81,7 @@ def run_table(
     keep: int = 1,
     rebalance: bool = False,
     compact: bool = False,
+    fmt: str = "parquet",
     suites: dict[str, quality.Suite] | None = None,
     results_path: str | None = None,
 ) -> None:
@@ -91,10 +92,11 @@ def run_table(
     stamped = snapshots.stamp(computed, run_ts)
     quality.validate(stamped, spec.name, run_ts, suites, results_path)
     path = spec.path(root)
-    snapshots.write_snapshot(computed, path, run_ts, rebalance and spec.transform is None)
+    snapshots.write_snapshot(computed, path, run_ts, rebalance and spec.transform is None, fmt)
     if compact:
-        snapshots.compact(spark, path, stored_schema(spark, spec.name))
-    snapshots.retain(spark, path, keep)
+        snapshots.compact(spark, path, stored_schema(spark, spec.name), fmt=fmt)
+    if fmt in snapshots.FILE_FORMATS:
+        snapshots.retain(spark, path, keep)
 
 
 def run(
@@ -106,6 +108,7 @@ def run(
     run_upstream: bool = True,
     persist: bool = True,
     run_ts: datetime | None = None,
+    fmt: str = "parquet",
     **table_options,
 ) -> DataFrame:
     """Compute ``target`` and return it as readers see it.
@@ -117,22 +120,23 @@ def run(
     run_ts = run_ts or datetime.now(timezone.utc)
     if persist:
         tables = order_of(target) if run_upstream else [REGISTRY[target]]
-        _store(spark, tables, source, root, options, run_ts, **table_options)
-        return read_table(spark, root, target)
+        _store(spark, tables, source, root, options, run_ts, fmt, **table_options)
+        return read_table(spark, root, target, fmt=fmt)
     if run_upstream:
         return build(target, source, options, run_ts)
     spec = REGISTRY[target]
-    computed = _compute(spark, spec, source, root, options)
+    computed = _compute(spark, spec, source, root, options, fmt)
     return spec.published(snapshots.stamp(computed, run_ts))
 
 
 def _compute(
-    spark: SparkSession, spec: TableSpec, source: Source, root: str, options: Options
+    spark: SparkSession, spec: TableSpec, source: Source, root: str, options: Options, fmt: str
 ) -> DataFrame:
     """The table from its stored inputs, or from the source."""
     if spec.transform is None:
         return source(spec.name)
-    return spec.transform({u: read_table(spark, root, u) for u in spec.upstream}, options)
+    inputs = {u: read_table(spark, root, u, fmt=fmt) for u in spec.upstream}
+    return spec.transform(inputs, options)
 
 
 def _store(
@@ -142,24 +146,25 @@ def _store(
     root: str,
     options: Options,
     run_ts: datetime,
+    fmt: str,
     **table_options,
 ) -> None:
     for spec in tables:
         log.info("writing %s", spec.name)
-        computed = _compute(spark, spec, source, root, options)
-        run_table(spark, spec, computed, root, run_ts, **table_options)
+        computed = _compute(spark, spec, source, root, options, fmt)
+        run_table(spark, spec, computed, root, run_ts, fmt=fmt, **table_options)
 
 
 def publish(
-    spark: SparkSession, name: str, root: str, options: Options = Options()
+    spark: SparkSession, name: str, root: str, options: Options = Options(), fmt: str = "parquet"
 ) -> DataFrame:
     """Publish an output from the stored tables, under its folder and its catalog name."""
     output = PUBLISHED[name]
-    inputs = {u: read_table(spark, root, u) for u in output.upstream}
+    inputs = {u: read_table(spark, root, u, fmt=fmt) for u in output.upstream}
     path = output.path(root)
-    interface.publish(output.make(inputs, options), path)
-    interface.register(spark, output.schema, output.table, path)
-    published = spark.read.parquet(path)
+    interface.publish(output.make(inputs, options), path, fmt)
+    interface.register(spark, output.schema, output.table, path, fmt)
+    published = spark.read.format(fmt).load(path)
     log.info("%s.%s: %d rows", output.schema, output.table, published.count())
     return published
 
@@ -171,13 +176,14 @@ def run_published(
     root: str,
     options: Options = Options(),
     run_ts: datetime | None = None,
+    fmt: str = "parquet",
     **table_options,
 ) -> dict[str, DataFrame]:
     """Store every table the named outputs need, each once, then publish the outputs."""
     run_ts = run_ts or datetime.now(timezone.utc)
     needed = dict.fromkeys(u for name in names for u in PUBLISHED[name].upstream)
-    _store(spark, order_of(*needed), source, root, options, run_ts, **table_options)
-    return {name: publish(spark, name, root, options) for name in names}
+    _store(spark, order_of(*needed), source, root, options, run_ts, fmt, **table_options)
+    return {name: publish(spark, name, root, options, fmt) for name in names}
 
 
 def run_finance(
@@ -203,6 +209,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--as-of", type=date.fromisoformat, help="day to age open orders to")
     parser.add_argument("--geo-key", default="n_regionkey")
     parser.add_argument("--part-only", action="store_true")
+    parser.add_argument("--format", default="parquet", help="storage format of the tables")
     parser.add_argument("--keep", type=int, default=1, help="snapshots to keep per table")
     parser.add_argument(
         "--rebalance", action="store_true", help="even out the files of source tables"
@@ -220,7 +227,7 @@ def main(argv: list[str] | None = None) -> None:
         make = {"parquet": parquet_source, "tbl": tbl_source, "sample": sample_source}
         source = make[args.source](spark, args.directory)
     options = Options(args.geo_key, args.part_only, args.as_of)
-    storing = {"keep": args.keep, "rebalance": args.rebalance}
+    storing = {"keep": args.keep, "rebalance": args.rebalance, "fmt": args.format}
     outputs = {"finance": ["finance_dashboard"], "all": list(PUBLISHED)}
     outputs.update({name: [name] for name in PUBLISHED})
     if args.target in outputs:

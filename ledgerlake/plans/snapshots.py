@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ledgerlake.schemas import STAMP
 
 PARTITION_KEYS = (STAMP,)
+FILE_FORMATS = ("parquet", "orc")  # others are table formats, which keep their own history
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 _METADATA_ONLY = "spark.sql.optimizer.metadataOnly"
 
@@ -45,25 +46,30 @@ def write(
     if rebalance:
         df = df.hint("rebalance")
     writer = df.write.format(fmt).mode("overwrite").partitionBy(*partition_keys)
-    if fmt == "parquet":
+    if fmt in FILE_FORMATS:
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    else:  # a table format keeps its own history and evolves its own schema
+    else:
         writer = writer.option("mergeSchema", "true")
     writer.save(path)
 
 
-def write_snapshot(df: DataFrame, path: str, run_ts: datetime, rebalance: bool = False) -> None:
-    """Store ``df`` as the parquet snapshot of ``run_ts``.
+def write_snapshot(
+    df: DataFrame, path: str, run_ts: datetime, rebalance: bool = False, fmt: str = "parquet"
+) -> None:
+    """Store ``df`` as the snapshot of ``run_ts``.
 
     A table without rows has no partition to write; an empty file stands for it, so that the
     newest snapshot is the empty one and not the one before.
     """
     spark = df.sparkSession
-    write(stamp(df, run_ts), path, rebalance=rebalance)
+    write(stamp(df, run_ts), path, fmt, rebalance=rebalance)
+    if fmt not in FILE_FORMATS:
+        return
     folder = f"{path}/{STAMP}={_partition_text(spark, run_ts)}"
     fs, location = _hadoop(spark, folder)
     if not fs.exists(location):
-        spark.createDataFrame([], df.drop(STAMP).schema).write.mode("overwrite").parquet(folder)
+        empty = spark.createDataFrame([], df.drop(STAMP).schema)
+        empty.write.format(fmt).mode("overwrite").save(folder)
 
 
 def _partition_text(spark: SparkSession, run_ts: datetime) -> str:
@@ -97,7 +103,7 @@ def _load(
     spark: SparkSession, path: str, schema: T.StructType | None, fmt: str, merge_schema: bool
 ) -> DataFrame:
     reader = spark.read.format(fmt)
-    if fmt != "parquet":
+    if fmt not in FILE_FORMATS:
         return reader.load(path)
     if merge_schema or schema is None:
         # inferred partition values may come back as text
@@ -144,22 +150,31 @@ def read(
 
 
 def compact(
-    spark: SparkSession, path: str, schema: T.StructType, stamp_us: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    stamp_us: int | None = None,
+    fmt: str = "parquet",
 ) -> None:
     """Rewrite one snapshot (the newest by default) into evenly sized files.
 
-    The new files are staged while the old ones are read; they change places on commit.
+    The new files are staged while the old ones are read; they change places on commit. A table
+    format compacts itself.
     """
-    stamp_us = latest(spark, path) if stamp_us is None else stamp_us
+    if fmt not in FILE_FORMATS:
+        spark.sql(f"OPTIMIZE {fmt}.`{path}`")
+        return
+    stamp_us = latest(spark, path, fmt) if stamp_us is None else stamp_us
     if stamp_us is None:
         return
-    rows = _load(spark, path, schema, "parquet", merge_schema=False).filter(_at(stamp_us))
+    rows = _load(spark, path, schema, fmt, merge_schema=False).filter(_at(stamp_us))
     # the stamp as a literal: the writer would sort by a partition column it had to read
-    write(rows.withColumn(STAMP, F.timestamp_micros(F.lit(stamp_us))), path, rebalance=True)
+    stamped = rows.withColumn(STAMP, F.timestamp_micros(F.lit(stamp_us)))
+    write(stamped, path, fmt, rebalance=True)
 
 
 def retain(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
-    """Delete all but the ``keep`` newest snapshots of a parquet table; returns their stamps.
+    """Delete all but the ``keep`` newest snapshots of a file table; returns their stamps.
 
     Folder names carry the stamp as text that sorts by time, so listing them is enough.
     """

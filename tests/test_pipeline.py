@@ -214,6 +214,17 @@ def test_command_line(spark, edge_tables, tmp_path, monkeypatch):
         pipeline.main(["--root", root, "--source", "tbl"])
 
 
+def test_other_file_format(spark, source, tmp_path):
+    published = pipeline.run_finance(
+        spark, source, str(tmp_path), OPTIONS, run_ts=RUN_TS, fmt="orc", compact=True
+    )
+    lazy = pipeline.build("finance_metrics", source, OPTIONS, RUN_TS)
+    assert published.count() == lazy.count()
+    assert list(tmp_path.rglob("*.orc"))
+    assert not list(tmp_path.rglob("*.parquet"))
+    spark.sql("DROP TABLE finance.finance_dashboard_view")
+
+
 def test_jdbc_source_splits_by_key(spark, edge_tables, monkeypatch):
     calls = []
 

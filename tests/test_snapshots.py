@@ -134,3 +134,15 @@ def test_failed_write_leaves_the_table_as_it_was(spark, store, tables):
         snapshots.write_snapshot(broken, store, RUN_TS + timedelta(days=1))
     assert snapshots.latest(spark, store) == micros(RUN_TS)
     assert snapshots.read(spark, store, SCHEMA).count() == 3
+
+
+def test_orc_tables(spark, tables, tmp_path):
+    path = str(tmp_path / "region")
+    snapshots.write_snapshot(tables["region"], path, RUN_TS - timedelta(days=1), fmt="orc")
+    snapshots.write_snapshot(tables["region"].repartition(3), path, RUN_TS, fmt="orc")
+    snapshots.compact(spark, path, SCHEMA, fmt="orc")
+    assert snapshots.read(spark, path, SCHEMA, fmt="orc", every_snapshot=True).count() == 6
+    snapshots.write_snapshot(tables["region"].limit(0), path, RUN_TS + timedelta(days=1), fmt="orc")
+    assert snapshots.read(spark, path, SCHEMA, fmt="orc").count() == 0
+    snapshots.retain(spark, path)
+    assert snapshots.read(spark, path, SCHEMA, fmt="orc", every_snapshot=True).count() == 0
