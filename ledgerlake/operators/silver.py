@@ -80,13 +80,13 @@ def dim_part(part: DataFrame, partsupp: DataFrame, suppliers: DataFrame) -> Data
     offers = partsupp.select(
         "ps_partkey", "ps_suppkey", "ps_availqty", "ps_supplycost", "ps_comment"
     )
-    supplied = join_dimension(offers, parts, {"ps_partkey": "part_key"}, "inner")
+    offered = join_dimension(offers, parts, {"ps_partkey": "part_key"}, "inner")
+    supplied = join_dimension(
+        offered, suppliers, {"ps_suppkey": "s_suppkey"}, skew_source=partsupp
+    )
     offered_keys = partsupp.select(F.col("ps_partkey").alias("offered_key")).distinct()
     unsupplied = parts.join(offered_keys, F.col("part_key") == F.col("offered_key"), "left_anti")
-    offered = supplied.unionByName(unsupplied, allowMissingColumns=True)
-    return join_dimension(
-        offered, suppliers, {"ps_suppkey": "s_suppkey"}, skew_source=partsupp
-    ).select(
+    return supplied.unionByName(unsupplied, allowMissingColumns=True).select(
         *parts.columns,
         "ps_availqty",
         "ps_supplycost",
