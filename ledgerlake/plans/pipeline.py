@@ -235,6 +235,3 @@ def main(argv: list[str] | None = None) -> None:
     else:
         run(spark, args.target, source, args.root, options, **storing)
 
-
-if __name__ == "__main__":
-    main()

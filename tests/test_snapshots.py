@@ -55,6 +55,13 @@ def test_read_by_partition(spark, store):
     ).count() == 1
 
 
+def test_partition_values_may_be_text(spark, store):
+    got = snapshots.read(
+        spark, store, SCHEMA, partition_values={"etl_inserted": "2023-01-31 12:30:15.00025"}
+    )
+    assert got.count() == 2
+
+
 def test_read_history_and_columns(spark, store):
     assert snapshots.read(spark, store, SCHEMA, every_snapshot=True).count() == 6
     assert snapshots.read(spark, store, SCHEMA, columns=["r_name"]).columns == ["r_name"]
