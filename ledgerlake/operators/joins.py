@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SKEW_BYTES = 256 * 1024 * 1024  # below this Spark does not call a partition skewed either
 SKETCH_ITEMS = 16_384  # about 256 KB per sketch
 MERGE_TASKS = 256
 
-_HASH, _SALTS, _SALT, _DIM_SALT = "_key_hash", "_salts", "_salt", "_dim_salt"
+_HASH, _SALTS, _SALT = "_key_hash", "_salts", "_salt"
+_SALTED, _DIM_SALTED = "_salted_key", "_dim_salted_key"
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -76,6 +80,11 @@ def hot_keys(df: DataFrame, keys: list[str], partitions: int) -> list[tuple[int,
     return [(row["item"], row["salts"]) for row in found.collect()]
 
 
+def _with_salt(salt: Column) -> Column:
+    """The key hash with a salt in its low bits: different for every salt of a key."""
+    return F.col(_HASH).bitwiseXOR(salt.cast("bigint"))
+
+
 def join_dimension(
     fact: DataFrame,
     dim: DataFrame,
@@ -119,17 +128,24 @@ def join_dimension(
     salts = F.coalesce(_SALTS, F.lit(1))
     # as many rows as there are hot keys: at most the number of shuffle partitions
     table = F.broadcast(spark.createDataFrame(hot, f"{_HASH} bigint, {_SALTS} int"))
+    fact_keys, dim_keys = list(on), list(on.values())
     salted_fact = (
-        fact.withColumn(_HASH, F.xxhash64(*on.keys()))
+        (fact if how == "left" else fact.dropna(subset=fact_keys))
+        .withColumn(_HASH, F.xxhash64(*fact_keys))
         .join(table, _HASH, "left")
-        .withColumn(_SALT, F.pmod(F.spark_partition_id(), salts))
+        .withColumn(_SALTED, _with_salt(F.pmod(F.spark_partition_id(), salts)))
         .drop(_HASH, _SALTS)
     )
     salted_dim = (
-        dim.withColumn(_HASH, F.xxhash64(*on.values()))
+        dim.dropna(subset=dim_keys)
+        .withColumn(_HASH, F.xxhash64(*dim_keys))
         .join(table, _HASH, "left")
-        .withColumn(_DIM_SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
-        .drop(_HASH, _SALTS)
+        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
+        .withColumn(_DIM_SALTED, _with_salt(F.col(_SALT)))
+        .drop(_HASH, _SALTS, _SALT)
     )
-    condition.append(F.col(_SALT) == F.col(_DIM_SALT))
-    return salted_fact.join(salted_dim, condition, how).drop(_SALT, _DIM_SALT)
+    # One 64-bit key sorts much faster than the keys and the salt would; the true keys are
+    # compared as well, wrapped so that Spark does not take them for sort keys again.
+    same_keys = F.coalesce(reduce(and_, condition), F.lit(False))
+    joined = salted_fact.join(salted_dim, (F.col(_SALTED) == F.col(_DIM_SALTED)) & same_keys, how)
+    return joined.drop(_SALTED, _DIM_SALTED)
