@@ -26,6 +26,17 @@ from ledgerlake.plans.registry import Options  # noqa: E402
 from ledgerlake.session import scratch_path  # noqa: E402
 from ledgerlake.sources import files, sample  # noqa: E402
 
+try:  # the package of training-data operators and its pipeline may be absent
+    import corpus_pipeline
+    from ledgerlake.llm import queries as llm_queries
+
+    LLM_QUERIES = llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    LLM_SQL = llm_queries.oracle_sql()
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "ledgerlake.llm"):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+
 AS_OF = date.fromisoformat(oracles.AS_OF)
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -278,11 +289,11 @@ def queries() -> dict[str, Query]:
     def portable(query: Query) -> Query:
         return lambda spark, folder: _portable(query(spark, folder))
 
-    return {name: portable(query) for name, query in found.items()}
+    return {name: portable(query) for name, query in found.items()} | LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.build()
+    return oracles.build() | LLM_SQL
 
 
 def entry(spark: SparkSession) -> DataFrame:
