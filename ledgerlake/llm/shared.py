@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,3 +55,22 @@ def drop_at_exit(spark: SparkSession, path: str) -> None:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(conf).deleteOnExit(at)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library's source to the executors, once per application.
+
+    Tasks that run Python import it there. The archive is made on the driver, from which Spark
+    hands it out.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = Path(__file__).resolve().parent.parent
+        base = str(Path(tempfile.mkdtemp()) / package.name)
+        spark.sparkContext.addPyFile(
+            shutil.make_archive(base, "zip", package.parent, package.name)
+        )
+        _shipped.add(application)
