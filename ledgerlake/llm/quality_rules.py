@@ -15,6 +15,8 @@ Other columns pass through whatever their names, because each row travels as one
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,8 +99,8 @@ def repeated_words(words: Column) -> Column:
     )
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """Each row as struct ``row`` with its counts, its language's key and both histograms."""
+def features(docs: DataFrame, carry: Sequence[str] | None = None) -> DataFrame:
+    """Each row's ``carry`` columns as struct ``row``, with its counts and its language's key."""
     lists = F.create_map(
         *[
             x
@@ -107,7 +109,9 @@ def features(docs: DataFrame) -> DataFrame:
         ]
     )
     df = docs.select(
-        F.struct("*").alias("row"), text_of("text").alias("text"), F.col("lang").alias("lang")
+        F.struct(*([f"`{c}`" for c in carry] if carry else ["*"])).alias("row"),
+        text_of("text").alias("text"),
+        F.col("lang").alias("lang"),
     ).select(
         "row",
         "text",
@@ -226,9 +230,12 @@ def js_distance(left: Column, right: Column) -> Column:
     return let(left, lambda a: let(right, lambda b: of(a, b)))
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """Every row as struct ``row`` with its counts, distances and the verdict ``kept``."""
-    judged = stored(_histograms(features(docs)), "quality")
+def judge(docs: DataFrame, carry: Sequence[str] | None = None) -> DataFrame:
+    """Every row as struct ``row`` with its counts, distances and the verdict ``kept``.
+
+    ``carry`` names the columns of ``row``, if not all are wanted.
+    """
+    judged = stored(_histograms(features(docs, carry)), "quality")
     # At most one row per word list and one more, so this side is bounded by the lists above.
     near = F.broadcast(references(judged))
     class_at = {name: F.get(F.col("classes"), F.lit(i)) for i, name in enumerate(CLASS_NAMES)}
