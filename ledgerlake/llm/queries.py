@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
+    decontaminate,
     host_reputation,
     html_extract,
     line_dedup,
@@ -18,6 +19,7 @@ from ledgerlake.llm import (
     secret_scan,
     sentencepiece_fst,
     simhash,
+    tool_calls,
     warc,
 )
 
@@ -53,6 +55,19 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.matched(docs, table(spark, folder, "benchmark"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), F.inline("matches")).select(
+        "doc_id",
+        "item_id",
+        "covered",
+        "n_tokens",
+        "n_tiles",
+        (F.col("covered") / F.col("n_tokens")).alias("coverage"),
+    )
+
+
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     machine = sentencepiece_fst.load(spark)
@@ -105,6 +120,10 @@ def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    return tool_calls.link(table(spark, folder, "conversations"))
+
+
 def op10_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
     """Pages are labelled by the labels of their id; bad is toxic or of low quality."""
     bad = F.when(F.col("toxic").isNotNull() | F.col("quality").isNotNull(), F.lit(0))
@@ -120,12 +139,14 @@ def op10_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
+        "op2_decontaminate": op2_decontaminate,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_simhash": op4_simhash,
         "op5_line_dedup": op5_line_dedup,
         "op6_html_extract": op6_html_extract,
         "op7_quality_rules": op7_quality_rules,
         "op8_warc": op8_warc,
+        "op9_tool_calls": op9_tool_calls,
         "op10_host_reputation": op10_host_reputation,
     }
 
