@@ -15,6 +15,7 @@ from ledgerlake.llm import (
     host_reputation,
     html_extract,
     line_dedup,
+    oracles,
     quality_rules,
     secret_scan,
     sentencepiece_fst,
@@ -152,4 +153,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.build()

@@ -16,8 +16,8 @@ conversation is ever gathered in one place. Everything is DataFrame functions.
 Defined results: null text is the empty text; other roles and system messages are plain text
 without call. Rows without conversation or turn are never linked. Of calls with the same
 identifier the one of the smallest turn (then name, then arguments) is linked and the others are
-reported, also where whole rows repeat. Calls in a cycle have no step, and neither have calls that
-build on one. Empty tables give no rows. Other columns do not matter.
+reported, also where whole rows repeat. Plain texts have no step, nor have results without call, calls in a
+cycle and calls that build on one. Empty tables give no rows. Other columns do not matter.
 """
 
 from __future__ import annotations
@@ -204,8 +204,8 @@ def canonical() -> Column:
 def link(turns: DataFrame, schemas: Schemas = SCHEMAS) -> DataFrame:
     """Every call, result and text with its order, link, problems and canonical JSON.
 
-    Columns: conv_id, turn, role, kind, call_id, step (null for texts and cycles), linked,
-    problems (joined by semicolons), json.
+    Columns: conv_id, turn, role, kind, call_id, step (-1 where there is none), linked, problems
+    (joined by semicolons), json.
     """
     keys = ["conv_id", "call_id"]
     said = messages(turns)
@@ -246,7 +246,9 @@ def link(turns: DataFrame, schemas: Schemas = SCHEMAS) -> DataFrame:
         "role",
         "kind",
         "call_id",
-        (2 * F.col("level") + F.when(is_result, 1).otherwise(0)).alias("step"),
+        F.coalesce(2 * F.col("level") + F.when(is_result, 1).otherwise(0), F.lit(-1)).alias(
+            "step"
+        ),
         F.coalesce(linked, F.lit(False)).alias("linked"),
         F.array_join(every, "; ").alias("problems"),
         canonical().alias("json"),
