@@ -91,13 +91,16 @@ def _strength(level: str, counts: DataFrame) -> DataFrame:
         F.sum(n * n).alias("squares"),
         F.sum(F.floor(k * k * UNIT / n)).alias("kk"),
     )
-    p = F.col("bad") / F.col("total")
+    total, fewer = F.col("total"), F.col("g") - 1
+    p = F.try_divide(F.col("bad"), total)
     spread = F.col("kk") / UNIT - p * F.col("bad")
-    pq, fewer = p * (1 - p), F.col("g") - 1
-    inner = (spread - pq * fewer) / (pq * (F.col("total") - F.col("squares") / F.col("total") - fewer))
+    pq = p * (1 - p)
+    between = total - F.try_divide(F.col("squares"), total) - fewer
+    inner = F.try_divide(spread - pq * fewer, pq * between)
     low, high = STRENGTHS
-    usable = (F.col("total") > 0) & (pq > 0) & inner.isNotNull() & (inner > 0)
-    strength = F.when(usable, F.greatest(F.lit(low), F.least(F.lit(high), (1 - inner) / inner)))
+    strength = F.when(
+        inner > 0, F.greatest(F.lit(low), F.least(F.lit(high), F.try_divide(1 - inner, inner)))
+    )
     return sums.select(
         F.lit(level).alias("level"),
         F.coalesce(strength, F.lit(high)).alias("strength"),

@@ -258,6 +258,9 @@ def threshold(values: Sequence[float]) -> float:
 
 def extract(html: str) -> str:
     """The main text of a page: its content blocks in page order, joined by two line ends."""
+    last = html.rfind("<")
+    if last >= 0 and ">" not in html[last:] and re.match(r"[/!?A-Za-z]", html[last + 1 :]):
+        html = html[:last]  # the page was cut off in a tag
     events = Events()
     events.feed(html)
     lines = [(text, line) for line in events.finished() if (text := line.text())]

@@ -275,7 +275,7 @@ def hex_of(print_column: str | Column) -> Column:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents that stay: of each component the one with the smallest id.
 
-    Rows of one id are one document and stay or go together.
+    Rows of one id are one document and stay or go together, and so do rows without one.
     """
     kept = stored(
         near_duplicates(docs)

@@ -1,0 +1,79 @@
+import random
+
+import brute
+import pytest
+
+from ledgerlake.llm import decontaminate as D
+
+
+def test_tiles_equal_brute_force():
+    random.seed(11)
+    for _ in range(1500):
+        item = [random.randint(1, 3) for _ in range(random.randint(0, 14))]
+        text = [random.randint(0, 3) for _ in range(random.randint(0, 18))]
+        least = random.randint(2, 4)
+        assert D.tile(item, text, least) == brute.tiles(item, text, least)
+
+
+def items():
+    random.seed(12)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(random.choices(words, k=random.randint(3, 40)))) for i in range(30)]
+    return [*rows, (100, None), (101, ""), (102, "only four tokens here"), (5, rows[5][1])]
+
+
+def corpus():
+    random.seed(13)
+    noise = [f"n{i}" for i in range(500)] + [f"w{i}" for i in range(60)]
+    docs = []
+    for i, (_, item) in enumerate(items()[:30]):
+        words = item.split()
+        cut = len(words) // 2
+        forms = [
+            words,
+            words[cut:] + ["between"] + words[:cut],  # moved passages
+            words[: max(1, len(words) // 3)],
+            [w for w in words if random.random() > 0.1],
+            [w.upper() + random.choice([",", ".", ""]) for w in words],
+        ]
+        around = random.choices(noise, k=60)
+        docs.append((i, " ".join(around[:30] + forms[i % 5] + around[30:])))
+    return [*docs, (500, None), (501, ""), (502, " ".join(random.choices(noise, k=5000)))]
+
+
+@pytest.mark.parametrize("block", [D.BLOCK_CHARS, 300])
+def test_equals_brute_force(spark, documents, clashing, monkeypatch, block):
+    monkeypatch.setattr(D, "BLOCK_CHARS", block)
+    docs, rows = corpus(), items()
+    frame = spark.createDataFrame([(*r, "x") for r in rows], "item_id long, text string, row string")
+    got = D.matched(documents(docs, clashing), frame).collect()
+    found = {r.row.doc_id: sorted(m.item_id for m in r.matches) for r in got}
+    assert found == {d: sorted(brute.contaminated(t, rows)) for d, t in docs}
+    assert any(len(m) > 1 for m in found.values()) and found[501] == []
+
+
+def test_moved_passages_count(spark, documents):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    moved = "zeta eta theta iota kappa, then alpha beta gamma delta epsilon"
+    frame = spark.createDataFrame([(1, item)], "item_id long, text string")
+    (row,) = D.matched(documents([(7, f"x {moved} y")]), frame).collect()
+    assert [tuple(m) for m in row.matches] == [(1, 10, 10, 2)]
+
+
+def test_clean_keeps_columns_and_clean_documents(spark, documents, clashing):
+    item = "alpha beta gamma delta epsilon zeta eta theta"
+    items_frame = spark.createDataFrame([(1, item)], "item_id long, text string")
+    frame = documents([(1, f"a {item}"), (2, "alpha beta gamma"), (2, "alpha beta gamma"), (3, None)],
+                      clashing)
+    kept = D.clean(frame, items_frame)
+    assert kept.columns == frame.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 2, 3]
+    assert D.clean(frame, items_frame.limit(0)).count() == 4
+    assert D.clean(documents([]), items_frame).count() == 0
+
+
+def test_a_passage_repeated_many_times():
+    words = [f"w{i}" for i in range(30)]
+    block = D.Items.of([(1, " ".join(words))])
+    (match,) = block.matches(" ".join(words * 300), 0.5)
+    assert match["covered"] == 30 and match["n_tiles"] == 1

@@ -1,0 +1,120 @@
+"""The registered queries against DuckDB, or against plain versions where SQL cannot say it."""
+
+import re
+from pathlib import Path
+
+import brute
+import duckdb
+import pytest
+import sentencepiece
+
+import __spark_entry__ as entry
+from ledgerlake.llm import html_extract, secret_scan, sentencepiece_fst
+
+FOLDER = "/root/testdata/sf0.001"
+TABLES = "documents pages benchmark labels conversations".split()
+
+
+@pytest.fixture(scope="module")
+def db():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    return connection
+
+
+def rows_of(db, sql):
+    return db.execute(sql).fetchall()
+
+
+def collected(spark, name):
+    return entry.queries()[name](spark, FOLDER).collect()
+
+
+def test_all_are_registered():
+    numbers = {m[1] for n in entry.queries() if (m := re.match(r"op(\d+)_", n))}
+    assert numbers == {str(n) for n in range(1, 11)} and "pipeline" in entry.queries()
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.LLM_SQL)))
+def test_query_equals_sql(spark, db, name):
+    cursor = db.execute(entry.LLM_SQL[name])
+    names = [c[0] for c in cursor.description]
+    got = entry.queries()[name](spark, FOLDER)
+    assert sorted(got.columns) == sorted(names)
+    want = [dict(zip(names, row, strict=True)) for row in cursor.fetchall()]
+    order = sorted(names)
+    assert sorted(repr([r[n] for n in order]) for r in got.collect()) == sorted(
+        repr([r[n] for n in order]) for r in want
+    )
+
+
+def test_op1(spark, db):
+    docs = dict(rows_of(db, "SELECT doc_id, text FROM documents"))
+    assign = re.compile(
+        r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        re.ASCII | re.IGNORECASE,
+    )
+    for r in collected(spark, "op1_secret_scan"):
+        text = docs[r.doc_id]
+        spans = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
+        for order, (pattern, least) in enumerate((("AKIA[A-Z0-9]+", 20), ("[0-9a-f]+", 24)), 1):
+            spans += [(m.start(), order, m.end()) for m in re.finditer(pattern, text)
+                      if len(m[0]) >= least]
+        names = secret_scan.BASE_KINDS
+        joined = ",".join(f"{names[k]}:{s}:{e}" for s, k, e in sorted(spans))
+        counts = tuple(sum(k == i for _, k, _ in spans) for i in range(3))
+        assert (r.n_assign, r.n_access, r.n_hex) == counts
+        assert r.base_sha256 == brute.sha256(joined)
+        assert set(filter(None, joined.split(","))) <= set(r.spans.split(","))
+
+
+def test_op2(spark, db):
+    items = rows_of(db, "SELECT item_id, text FROM benchmark")
+    docs = [d for d in rows_of(db, "SELECT doc_id, text FROM documents") if len(d[1]) < 3000]
+    got = {(r.doc_id, r.item_id) for r in collected(spark, "op2_decontaminate")}
+    holds = {
+        (d, i) for d, text in docs for i, item in items
+        if " ".join(re.findall(r"\w+", item.lower())) in " ".join(re.findall(r"\w+", text.lower()))
+    }
+    short = {d for d, _ in docs}
+    assert holds and holds <= got
+    for doc_id, item_id in {x for x in got if x[0] in short} - holds:
+        text = dict(docs)[doc_id]
+        assert item_id in brute.contaminated(text, [x for x in items if x[0] == item_id])
+
+
+def test_op3(spark, db):
+    library = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_fst.MODEL)
+    docs = dict(rows_of(db, "SELECT doc_id, text FROM documents"))
+    got = collected(spark, "op3_sentencepiece")
+    assert len(got) == len(docs)
+    for r in got:
+        ids = library.encode(docs[r.doc_id])
+        assert r.n_ids == len(ids) and r.given_back
+        assert r.ids_sha256 == brute.sha256(",".join(map(str, ids)))
+
+
+def test_op4(spark, db):
+    docs = rows_of(db, "SELECT doc_id, text FROM documents")
+    got = collected(spark, "op4_simhash")
+    assert {r.doc_id: r.fingerprint for r in got} == {
+        d: f"{brute.fingerprint(t):016x}" for d, t in docs
+    }
+    assert {r.doc_id: r.component_id for r in got} == brute.near_components(docs)
+
+
+def test_op6(spark, db):
+    pages = rows_of(db, "SELECT page_id, url, html FROM pages")
+    got = {r.page_id: (r.url, r.text, r.n_chars) for r in collected(spark, "op6_html_extract")}
+    assert got == {
+        p: (u, html_extract.extract(h), len(html_extract.extract(h))) for p, u, h in pages
+    }
+    assert not any("track(" in text or "&amp;" in text for _, text, _ in got.values())
+
+
+def test_package_is_guarded_in_one_place():
+    root = Path(entry.__file__).parent
+    for path in [root / "corpus_pipeline.py", *(root / "ledgerlake/llm").glob("*.py")]:
+        source = path.read_text()
+        assert "except ImportError" not in source and "ModuleNotFoundError" not in source
