@@ -22,7 +22,7 @@ import oracles  # noqa: E402
 from ledgerlake import schemas  # noqa: E402
 from ledgerlake.operators import gold, interface, quality, silver  # noqa: E402
 from ledgerlake.plans import pipeline, snapshots  # noqa: E402
-from ledgerlake.plans.registry import Options  # noqa: E402
+from ledgerlake.plans.registry import HISTORICAL, Options  # noqa: E402
 from ledgerlake.session import scratch_path  # noqa: E402
 from ledgerlake.sources import files, sample  # noqa: E402
 
@@ -82,7 +82,8 @@ class Tables:
         return gold.finance_metrics_from_sources(
             self.source("orders"),
             self.source("lineitem"),
-            self.customers(),
+            self.source("customer"),
+            self.geo(),
             AS_OF,
             self.source("partsupp") if historical else None,
         )
@@ -188,8 +189,18 @@ def _dq_saved(spark: SparkSession, folder: str) -> DataFrame:
 def _published_dashboard(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "dashboard")
     dashboard = interface.finance_dashboard(Tables(spark, folder).finance())
-    interface.publish(snapshots.stamp(dashboard, datetime.now(timezone.utc)), path)
-    return spark.read.parquet(path)
+    stamped = snapshots.stamp(dashboard, datetime.now(timezone.utc))
+    return spark.read.parquet(interface.publish(stamped, path))
+
+
+def _published_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """Publish part of a dashboard, then the whole one elsewhere, and read it by its name."""
+    dashboard = interface.finance_dashboard(Tables(spark, folder).finance())
+    name = ("finance", "finance_dashboard_view")
+    first = dashboard.limit(3)
+    interface.publish(first, scratch_path(spark, "first"), catalog_name=name)
+    interface.publish(dashboard, scratch_path(spark, "second"), catalog_name=name)
+    return spark.table(".".join(name))
 
 
 def _published_view(spark: SparkSession, folder: str) -> DataFrame:
@@ -220,10 +231,25 @@ def _lazy_finance(spark: SparkSession, folder: str) -> DataFrame:
     return pipeline.build("finance_metrics", source, Options(as_of=AS_OF))
 
 
-def _persisted_finance(spark: SparkSession, folder: str) -> DataFrame:
-    source = pipeline.sample_source(spark, folder)
-    root = scratch_path(spark, "pipeline")
-    return pipeline.run(spark, "finance_metrics", source, root, Options(as_of=AS_OF))
+def _persisted(name: str, options: Options = Options(as_of=AS_OF)) -> Query:
+    """A table computed through the stored snapshots of everything it is made from."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        source = pipeline.sample_source(spark, folder)
+        return pipeline.run(spark, name, source, scratch_path(spark, "pipeline"), options)
+
+    return run
+
+
+def _persisted_output(name: str) -> Query:
+    """A published output, from stored snapshots to the published files."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        source = pipeline.sample_source(spark, folder)
+        root = scratch_path(spark, "pipeline")
+        return pipeline.run_published(spark, [name], source, root, Options(as_of=AS_OF))[name]
+
+    return run
 
 
 def _bronze(table: str) -> Query:
@@ -278,12 +304,20 @@ def queries() -> dict[str, Query]:
         "dq_results_saved": _dq_saved,
         "dim_customer_read": _read("dim_customer"),
         "dim_part_read": _read("dim_part"),
-        "wide_order_details_read": _modelled(lambda t: gold.wide_read(t.wide())),
+        "wide_order_details_read": _persisted("wide_order_details"),
         "published_finance_dashboard": _published_dashboard,
+        "published_twice": _published_twice,
         "published_sales_view": _published_view,
         "daily_sales_group_count": _modelled(_sales_groups),
         "lazy_pipeline_finance": _lazy_finance,
-        "persisted_pipeline_finance": _persisted_finance,
+        "lazy_daily_sales_metrics": _read("daily_sales_metrics"),
+        "persisted_pipeline_finance": _persisted("finance_metrics"),
+        "persisted_finance_historical": _persisted(
+            "finance_metrics", Options(HISTORICAL.geo_key, HISTORICAL.part_only, AS_OF)
+        ),
+        "persisted_daily_sales_metrics": _persisted("daily_sales_metrics"),
+        "persisted_daily_sales_report": _persisted_output("daily_sales_report"),
+        "persisted_supply_chain_dashboard": _persisted_output("supply_chain_dashboard"),
     }
 
     def portable(query: Query) -> Query:

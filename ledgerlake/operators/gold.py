@@ -206,6 +206,13 @@ def _finance(summed: DataFrame, as_of: date | None) -> DataFrame:
     return parts.groupBy(*_GROUP).agg(*measures.finance_columns())
 
 
+#: The parts that finance measures are made from; sums of them can be summed again.
+_FINANCE_PARTS = (
+    "net_sum", "tax_sum", "discount_sum", "list_sum", "receivable_sum", "line_count", "net_count",
+    "open_age_sum", "open_count",
+)
+
+
 def _located_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """Orders with the place and segment of their customer."""
     return join_dimension(
@@ -225,20 +232,35 @@ def finance_metrics_from_sources(
     orders: DataFrame,
     lineitem: DataFrame,
     customer: DataFrame,
+    geography: DataFrame,
     as_of: date | None = None,
     partsupp: DataFrame | None = None,
 ) -> DataFrame:
-    """``finance_metrics`` straight from orders, lines and the customer dimension.
+    """``finance_metrics`` straight from orders, lines, customers and ``silver.geo``.
 
-    No finance measure uses a part column, so parts are not joined. Passing ``partsupp`` gives
-    the historical results, where a line counted once per supplier of its part.
+    No finance measure uses a part column, so parts are not joined. Of customers only the nation
+    key is, and the nations' names come in after the sums by day and nation. Passing ``partsupp``
+    gives the historical results, where a line counted once per supplier of its part.
     """
     if partsupp is None:
         totals = order_totals(lineitem)
     else:
         totals = weighted_order_totals(lineitem, partsupp)
-    summed = orders_with_totals(_located_orders(orders, customer), totals)
-    return _finance(summed.withColumn("date", _day()), as_of)
+    placed = join_dimension(
+        orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"),
+        customer.select("c_custkey", "c_nationkey"),
+        {"o_custkey": "c_custkey"},
+        skew_source=orders,
+    )
+    parts = orders_with_totals(placed, totals).select("*", *measures.open_order_parts(as_of))
+    by_nation = parts.groupBy(_day().alias("date"), "c_nationkey").agg(
+        *[F.sum(part).alias(part) for part in _FINANCE_PARTS]
+    )
+    named = join_dimension(by_nation, geography, {"c_nationkey": "geo_nationkey"})
+    groups = ("date", F.col("nation_name").alias("customer_nation"))
+    return named.groupBy(*groups, F.col("region_name").alias("customer_region")).agg(
+        *measures.finance_columns()
+    )
 
 
 def fanout_by_date(orders: DataFrame, lineitem: DataFrame, partsupp: DataFrame) -> DataFrame:
@@ -272,6 +294,11 @@ SALES_READ_COLUMNS = {
 
 
 _SALES_GROUP = ("date", "market_segment", "customer_region")
+#: The parts that sales measures are made from; sums of them can be summed again.
+_SALES_PARTS = (
+    "net_sum", "net_count", "discount_sum", "line_count", "row_count", "shipping_sum",
+    "shipping_count", "delivery_sum", "delivery_count", "late_count", "closed_count",
+)
 
 
 def daily_sales_metrics(wide: DataFrame) -> DataFrame:
@@ -331,18 +358,23 @@ def with_order_measures(summed: DataFrame) -> DataFrame:
 def _sales(orders: DataFrame, sold: DataFrame) -> DataFrame:
     """Measures of order rows holding line totals, joined with the distinct parts sold.
 
-    Only the part count needs lines, so the other distinct counts work on order rows.
+    Only the part count needs lines.
     """
-    measured = orders.groupBy(*_SALES_GROUP).agg(
+    # An order is one row here and has one customer, so one row per customer counts both.
+    per_customer = orders.groupBy(*_SALES_GROUP, "customer_key").agg(
+        *[F.sum(part).alias(part) for part in _SALES_PARTS],
+        F.count("order_key").alias("order_count"),
+    )
+    measured = per_customer.groupBy(*_SALES_GROUP).agg(
         F.round(F.sum("net_sum"), 2).alias("total_sales"),
         F.round(F.sum("discount_sum"), 2).alias("total_discounts"),
         measures.mean("net_sum", "net_count").alias("average_order_value"),
-        F.count_distinct("order_key").alias("number_of_orders"),
+        F.sum("order_count").alias("number_of_orders"),
         F.sum("line_count").alias("number_of_items"),
         measures.mean("shipping_sum", "shipping_count").alias("avg_shipping_delay"),
         measures.mean("delivery_sum", "delivery_count").alias("avg_delivery_delay"),
         measures.share("late_count").alias("late_delivery_percentage"),
-        F.count_distinct("customer_key").alias("unique_customers"),
+        F.count("customer_key").alias("unique_customers"),
         measures.share("closed_count").alias("fulfillment_rate"),
     )
     products = sold.groupBy(*[F.col(c).alias(f"sold_{c}") for c in _SALES_GROUP]).agg(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,11 +120,30 @@ def inventory_analysis(fct: DataFrame) -> DataFrame:
     )
 
 
-def publish(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
-    """Replace the published table at ``path``; the run stamp is not published."""
-    out = df.drop("etl_inserted")
-    out.write.format(fmt).mode("overwrite").save(path)
-    return out
+def publish(
+    df: DataFrame, path: str, fmt: str = "parquet", catalog_name: tuple[str, str] | None = None
+) -> str:
+    """Replace the published table under ``path``; the folder that holds it now.
+
+    The rows go to a new folder, the catalog's table is pointed there once it is complete, and
+    only then the older folders go. A publish that fails leaves the table as it was. The run
+    stamp is not published.
+    """
+    spark = df.sparkSession
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    older = [s.getPath() for s in fs.listStatus(location)] if fs.exists(location) else []
+    new = f"{path.rstrip('/')}/version-{uuid.uuid4().hex}"
+    try:
+        df.drop("etl_inserted").write.format(fmt).save(new)
+        if catalog_name:
+            register(spark, *catalog_name, new, fmt)
+    except Exception:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(new), True)
+        raise
+    for folder in older:
+        fs.delete(folder, True)
+    return new
 
 
 def publish_view(df: DataFrame, name: str) -> None:
@@ -131,10 +152,18 @@ def publish_view(df: DataFrame, name: str) -> None:
 
 
 def register(spark: SparkSession, schema: str, table: str, path: str, fmt: str = "parquet") -> None:
-    """Make a stored table queryable by name in the session catalog."""
+    """Make a stored table queryable by name in the session catalog.
+
+    A table of that name is pointed to ``path``; with other columns it is made anew. Its files
+    are not the catalog's to delete.
+    """
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
-    if not spark.catalog.tableExists(f"{schema}.{table}"):
-        location = path.replace("'", "\\'")
-        spark.sql(f"CREATE TABLE `{schema}`.`{table}` USING {fmt} LOCATION '{location}'")
-    else:
-        spark.catalog.refreshTable(f"{schema}.{table}")
+    name, location = f"`{schema}`.`{table}`", path.replace("'", "\\'")
+    if spark.catalog.tableExists(f"{schema}.{table}"):
+        stored = spark.read.format(fmt).load(path).dtypes
+        if spark.table(name).dtypes == stored:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+            spark.catalog.refreshTable(f"{schema}.{table}")
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{location}'")

@@ -8,8 +8,11 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SKEW_BYTES = 256 * 1024 * 1024  # below this Spark does not call a partition skewed either
-SKETCH_ITEMS = 16_384  # about 256 KB per sketch
+#: Session setting that asks for the search of hot keys: it reads the key columns of each large
+#: join's fact while the plan is made. Without it adaptive execution splits what it finds skewed.
+SEARCH = "ledgerlake.hotKeys.search"
+#: Session setting for the keys each sketch follows; by default four per shuffle partition.
+ITEMS = "ledgerlake.hotKeys.items"
 MERGE_TASKS = 256
 
 _HASH, _SALTS, _SALT = "_key_hash", "_salts", "_salt"
@@ -29,25 +32,32 @@ def _bytes(plan) -> int:
     return int(str(plan.stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate lets it broadcast ``df``; False when it is unknown."""
-    plan = _plan(df)
+def fits_broadcast(dim: DataFrame) -> bool:
+    """Whether a dimension is within Spark's broadcast threshold; False when it is unknown.
+
+    A dimension has about as many rows as the largest table it is made from, because it joins
+    tables by their keys. Spark's estimate multiplies the sizes of joined tables instead, so the
+    sum of the tables' own sizes decides where it is smaller.
+    """
+    plan = _plan(dim)
     if plan is None:
         return False
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return _bytes(plan) <= conf.autoBroadcastJoinThreshold()
+    tables = plan.collectLeaves()
+    read = sum(_bytes(tables.apply(i)) for i in range(tables.size()))
+    conf = dim.sparkSession._jsparkSession.sessionState().conf()
+    return min(read, _bytes(plan)) <= conf.autoBroadcastJoinThreshold()
+
 
+def search_wanted(spark: SparkSession) -> bool:
+    return spark.conf.get(SEARCH, "false").lower() == "true"
 
-def may_skew(df: DataFrame) -> bool:
-    """Whether the tables ``df`` reads are large enough for one key to fill a task.
 
-    The tables count in full, whatever columns ``df`` takes of them. True when unknown.
+def sketch_items(spark: SparkSession, partitions: int) -> int:
+    """Keys that a sketch follows: enough for every key that fills a quarter of a partition.
+
+    Spark's sketches follow a million keys at most.
     """
-    plan = _plan(df)
-    if plan is None:
-        return True
-    tables = plan.collectLeaves()
-    return sum(_bytes(tables.apply(i)) for i in range(tables.size())) > SKEW_BYTES
+    return int(spark.conf.get(ITEMS, None) or min(1_000_000, max(1_024, 4 * partitions)))
 
 
 def hot_keys(df: DataFrame, keys: list[str], partitions: int) -> list[tuple[int, int]]:
@@ -55,11 +65,11 @@ def hot_keys(df: DataFrame, keys: list[str], partitions: int) -> list[tuple[int,
 
     One pass over the key columns with a frequent-items sketch per task, merged in two steps so
     that no task receives every sketch; no row is shuffled by key. At most ``partitions`` pairs
-    come back. A NULL key has a hash like any other. The counts are estimates, and keys below
-    about 0.01 % of the rows go unnoticed: that costs balance, which adaptive execution evens
-    out, and never rows.
+    come back. A NULL key has a hash like any other. The counts are estimates, and a key that
+    goes unnoticed costs balance, which adaptive execution evens out, and never rows.
     """
-    tracked, listed = SKETCH_ITEMS, min(partitions, SKETCH_ITEMS)
+    tracked = sketch_items(df.sparkSession, partitions)
+    listed = min(partitions, tracked)
     share = f"least({partitions}, ceil(count * {partitions} / n))"
     found = (
         df.select(F.xxhash64(*keys).alias("k"), F.spark_partition_id().alias("task"))
@@ -94,12 +104,12 @@ def join_dimension(
 ) -> DataFrame:
     """``fact`` inner- or left-joined to ``dim`` on ``{fact column: dim column}``.
 
-    A dimension within Spark's broadcast threshold is joined as is: the fact is not shuffled,
-    so no key can be hot. Beyond it, unless the whole fact is small, its hot keys are looked up,
-    and if there are any, both sides are shuffled by key plus a salt. A fact row of a hot key takes one salt, the
-    dimension rows of that key are repeated for every salt, so each pair still meets exactly
-    once. The salts of all hot keys add up to at most two per shuffle partition, which bounds
-    the repetition for dimensions with one row per key.
+    A dimension within Spark's broadcast threshold is broadcast: the fact is not shuffled, so no
+    key can be hot. Beyond it the join is Spark's, unless the session asks for the search of hot
+    keys (``SEARCH``). If the search finds any, both sides are shuffled by key plus a salt. A
+    fact row of a hot key takes one salt, the dimension rows of that key are repeated for every
+    salt, so each pair still meets exactly once. The salts of all hot keys add up to at most two
+    per shuffle partition, which bounds the repetition for dimensions with one row per key.
 
     The hot keys are fixed when the plan is made, so both sides agree on them. The salt is the
     task's partition number: a retried task gets the same one, and exact copies of a row spread
@@ -118,10 +128,11 @@ def join_dimension(
 
     condition = [F.col(f) == F.col(d) for f, d in on.items()]
     if fits_broadcast(dim):
-        return fact.join(dim, condition, how)
+        return fact.join(F.broadcast(dim), condition, how)
     spark = fact.sparkSession
     source = fact if skew_source is None else skew_source
-    hot = hot_keys(source, list(on), shuffle_partitions(spark)) if may_skew(source) else []
+    search = search_wanted(spark)
+    hot = hot_keys(source, list(on), shuffle_partitions(spark)) if search else []
     if not hot:
         return fact.join(dim, condition, how)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,11 @@ def suite_from_json(text: str) -> Suite:
     return Suite(column_list, tuple(not_null))
 
 
+def suites_from_folder(folder: str) -> dict[str, Suite]:
+    """The suites of a folder on the driver: one ``<table>.json`` per table."""
+    return {path.stem: suite_from_json(path.read_text()) for path in Path(folder).glob("*.json")}
+
+
 # Each source table: its columns plus the stamp in order, and a first key column without NULLs.
 SUITES: dict[str, Suite] = {
     table: Suite((*columns(table), STAMP), (PRIMARY_KEYS[table][0],)) for table in SOURCE_TABLES

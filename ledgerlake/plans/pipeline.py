@@ -59,17 +59,24 @@ def build(
     """The target as readers see it, as one lazy plan over the source; nothing is stored."""
     run_ts = run_ts or datetime.now(timezone.utc)
     tables: dict[str, DataFrame] = {}
-    for spec in order_of(target):
-        computed = spec.transform(tables, options) if spec.transform else source(spec.name)
-        tables[spec.name] = spec.published(snapshots.stamp(computed, run_ts))
+    for spec in order_of(target, direct=True):
+        make = spec.direct or spec.transform
+        computed = make(tables, options) if make else source(spec.name)
+        stamped = snapshots.stamp(computed, run_ts)
+        tables[spec.name] = spec.published(stamped, internal=spec.name != target)
     return tables[target]
 
 
-def read_table(spark: SparkSession, root: str, name: str, **how) -> DataFrame:
-    """A stored table as readers see it; ``how`` goes to ``snapshots.read``."""
+def read_table(
+    spark: SparkSession, root: str, name: str, internal: bool = False, **how
+) -> DataFrame:
+    """A stored table as readers see it; ``how`` goes to ``snapshots.read``.
+
+    ``internal`` adds the columns that only other tables need.
+    """
     spec = REGISTRY[name]
     schema = None if how.get("merge_schema") else stored_schema(spark, name)
-    return spec.published(snapshots.read(spark, spec.path(root), schema, **how))
+    return spec.published(snapshots.read(spark, spec.path(root), schema, **how), internal)
 
 
 def run_table(
@@ -85,17 +92,29 @@ def run_table(
     suites: dict[str, quality.Suite] | None = None,
     results_path: str | None = None,
 ) -> None:
-    """Stamp, check, write, and only then drop older snapshots beyond ``keep``.
+    """Stage, check what was staged, put it in place, and only then drop older snapshots.
 
-    ``rebalance`` evens out the files of source tables, whose task sizes the source decides.
+    The source is read once, and what is checked is what is stored. ``rebalance`` evens out the
+    files of source tables, whose task sizes the source decides. ``keep`` snapshots stay.
     """
-    stamped = snapshots.stamp(computed, run_ts)
-    quality.validate(stamped, spec.name, run_ts, suites, results_path)
-    path = spec.path(root)
-    snapshots.write_snapshot(computed, path, run_ts, rebalance and spec.transform is None, fmt)
+    path, even = spec.path(root), rebalance and spec.transform is None
+    if snapshots.is_file_format(fmt):
+        staged = snapshots.stage(computed, path, fmt, even)
+        rows = spark.read.format(fmt).schema(computed.drop(schemas.STAMP).schema).load(staged)
+        try:
+            stamped = snapshots.stamp(rows, run_ts)
+            quality.validate(stamped, spec.name, run_ts, suites, results_path)
+        except Exception:
+            snapshots.discard(spark, staged)
+            raise
+        snapshots.install(spark, staged, path, snapshots.micros(run_ts))
+    else:
+        stamped = snapshots.stamp(computed, run_ts)
+        quality.validate(stamped, spec.name, run_ts, suites, results_path)
+        snapshots.write_snapshot(computed, path, run_ts, even, fmt)
     if compact:
         snapshots.compact(spark, path, stored_schema(spark, spec.name), fmt=fmt)
-    if fmt in snapshots.FILE_FORMATS:
+    if snapshots.is_file_format(fmt):
         snapshots.retain(spark, path, keep)
 
 
@@ -135,7 +154,7 @@ def _compute(
     """The table from its stored inputs, or from the source."""
     if spec.transform is None:
         return source(spec.name)
-    inputs = {u: read_table(spark, root, u, fmt=fmt) for u in spec.upstream}
+    inputs = {u: read_table(spark, root, u, internal=True, fmt=fmt) for u in spec.upstream}
     return spec.transform(inputs, options)
 
 
@@ -161,10 +180,11 @@ def publish(
     """Publish an output from the stored tables, under its folder and its catalog name."""
     output = PUBLISHED[name]
     inputs = {u: read_table(spark, root, u, fmt=fmt) for u in output.upstream}
-    path = output.path(root)
-    interface.publish(output.make(inputs, options), path, fmt)
-    interface.register(spark, output.schema, output.table, path, fmt)
-    published = spark.read.format(fmt).load(path)
+    made = output.make(inputs, options)
+    name_of = (output.schema, output.table)
+    published = spark.read.format(fmt).load(
+        interface.publish(made, output.path(root), fmt, name_of)
+    )
     log.info("%s.%s: %d rows", output.schema, output.table, published.count())
     return published
 
@@ -214,6 +234,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument(
         "--rebalance", action="store_true", help="even out the files of source tables"
     )
+    parser.add_argument("--compact", action="store_true", help="rewrite into even files")
+    parser.add_argument("--suites", help="folder of expectation suites, <table>.json each")
+    parser.add_argument("--results", help="where the outcome of checks is kept")
     parser.add_argument("--input-gb", type=int, help="size partitions for this much input")
     args = parser.parse_args(argv)
     if args.source != "jdbc" and not args.directory:
@@ -228,6 +251,9 @@ def main(argv: list[str] | None = None) -> None:
         source = make[args.source](spark, args.directory)
     options = Options(args.geo_key, args.part_only, args.as_of)
     storing = {"keep": args.keep, "rebalance": args.rebalance, "fmt": args.format}
+    storing |= {"compact": args.compact, "results_path": args.results}
+    if args.suites:
+        storing["suites"] = quality.SUITES | quality.suites_from_folder(args.suites)
     outputs = {"finance": ["finance_dashboard"], "all": list(PUBLISHED)}
     outputs.update({name: [name] for name in PUBLISHED})
     if args.target in outputs:

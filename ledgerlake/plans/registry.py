@@ -37,8 +37,10 @@ Inputs = Mapping[str, DataFrame]
 class TableSpec:
     """One stored table.
 
-    ``transform`` gets the upstream tables by name, as readers see them. ``read_columns`` maps
-    published to stored columns (None: as stored).
+    ``transform`` gets the upstream tables by name, as readers see them, with the
+    ``internal_columns`` that only other tables need. ``read_columns`` maps published to stored
+    columns (None: as stored). ``direct`` makes the table in one lazy plan from
+    ``direct_upstream``, where no stored table is wanted in between.
     """
 
     name: str
@@ -47,17 +49,22 @@ class TableSpec:
     upstream: tuple[str, ...] = ()
     transform: Callable[[Inputs, Options], DataFrame] | None = None
     read_columns: Mapping[str, str] | None = None
+    internal_columns: tuple[str, ...] = ()
+    direct_upstream: tuple[str, ...] = ()
+    direct: Callable[[Inputs, Options], DataFrame] | None = None
     jdbc_table: str | None = None
     jdbc_partition_column: str | None = None
 
     def path(self, root: str) -> str:
         return f"{root.rstrip('/')}/{self.layer}/{self.name}"
 
-    def published(self, stored: DataFrame) -> DataFrame:
+    def published(self, stored: DataFrame, internal: bool = False) -> DataFrame:
         """What readers see of a stored (or just computed) table."""
         if self.read_columns is None:
             return stored
         named = [F.col(source).alias(name) for name, source in self.read_columns.items()]
+        if internal:
+            named += [F.col(name) for name in self.internal_columns]
         if schemas.STAMP in stored.columns:
             named.append(F.col(schemas.STAMP))
         return stored.select(*named)
@@ -90,17 +97,31 @@ def _dim_part(t: Inputs, o: Options) -> DataFrame:
 
 
 def _wide(t: Inputs, o: Options) -> DataFrame:
-    keys = {}
-    if "orders" in t and "lineitem" in t:  # one lazy plan: look for hot keys in the sources
-        keys["customer_keys"] = t["orders"].select(F.col("o_custkey").alias("customer_key"))
-        keys["part_keys"] = t["lineitem"].select(
-            F.col("l_partkey").alias("part_key"), F.col("l_suppkey").alias("supplier_key")
-        )
     return gold.wide_order_details(
-        t["fct_orders"], t["dim_customer"], t["dim_part"], o.part_only, **keys
+        t["fct_orders"], t["dim_customer"], t["dim_part"], o.part_only
     )
 
 
+def _wide_direct(t: Inputs, o: Options) -> DataFrame:
+    return gold.wide_order_details_from_sources(
+        t["orders"], t["lineitem"], t["dim_customer"], t["dim_part"], o.part_only
+    )
+
+
+def _finance_direct(t: Inputs, o: Options) -> DataFrame:
+    offers = t["partsupp"] if o.part_only else None
+    return gold.finance_metrics_from_sources(
+        t["orders"], t["lineitem"], t["customer"], _geo(t, o), o.as_of, offers
+    )
+
+
+def _sales_direct(t: Inputs, o: Options) -> DataFrame:
+    if o.part_only:  # distinct parts and averages over the repeated lines
+        wide = _wide_direct(t, o).withColumnRenamed("region_name", "customer_region")
+        return gold.daily_sales_metrics(wide)
+    return gold.daily_sales_metrics_from_sources(t["orders"], t["lineitem"], t["dim_customer"])
+
+
 # The columns readers of each stored table see.
 _DIM_CUSTOMER_READ = [
     "customer_key",
@@ -135,9 +156,6 @@ _DIM_PART_READ = [
     "manufacturing_region",
 ]
 
-# Published wide columns plus the two keys the sales metrics count.
-_WIDE_READ = {**gold.WIDE_READ_COLUMNS, "customer_key": "customer_key", "part_key": "part_key"}
-
 REGISTRY: dict[str, TableSpec] = {
     spec.name: spec
     for spec in [
@@ -171,7 +189,10 @@ REGISTRY: dict[str, TableSpec] = {
             primary_keys=("order_key", "line_number"),
             upstream=("fct_orders", "dim_customer", "dim_part"),
             transform=_wide,
-            read_columns=_WIDE_READ,
+            read_columns=gold.WIDE_READ_COLUMNS,
+            internal_columns=("customer_key", "part_key"),  # the sales metrics count them
+            direct_upstream=("orders", "lineitem", "dim_customer", "dim_part"),
+            direct=_wide_direct,
         ),
         TableSpec(
             name="finance_metrics",
@@ -179,6 +200,8 @@ REGISTRY: dict[str, TableSpec] = {
             primary_keys=("date", "customer_nation", "customer_region"),
             upstream=("wide_order_details",),
             transform=lambda t, o: gold.finance_metrics(t["wide_order_details"], o.as_of),
+            direct_upstream=("orders", "lineitem", "customer", "nation", "region", "partsupp"),
+            direct=_finance_direct,
         ),
         TableSpec(
             name="daily_sales_metrics",
@@ -187,6 +210,8 @@ REGISTRY: dict[str, TableSpec] = {
             upstream=("wide_order_details",),
             transform=lambda t, o: gold.daily_sales_metrics(t["wide_order_details"]),
             read_columns=gold.SALES_READ_COLUMNS,
+            direct_upstream=("orders", "lineitem", "dim_customer", "dim_part"),
+            direct=_sales_direct,
         ),
     ]
 }
@@ -250,13 +275,17 @@ PUBLISHED: dict[str, Published] = {
 }
 
 
-def order_of(*targets: str) -> list[TableSpec]:
-    """The targets and everything they are made from, upstream first, each table once."""
+def order_of(*targets: str, direct: bool = False) -> list[TableSpec]:
+    """The targets and everything they are made from, upstream first, each table once.
+
+    ``direct`` follows the tables' direct plans where they have one.
+    """
     done: dict[str, TableSpec] = {}
 
     def visit(name: str) -> None:
         if name not in done:
-            for upstream in REGISTRY[name].upstream:
+            spec = REGISTRY[name]
+            for upstream in spec.direct_upstream if direct and spec.direct else spec.upstream:
                 visit(upstream)
             done[name] = REGISTRY[name]
 
@@ -277,7 +306,7 @@ def stored_schema(spark: SparkSession, name: str) -> T.StructType:
         return schemas.source_schema(name)
     if name not in _SCHEMAS:
         inputs = {
-            u: REGISTRY[u].published(spark.createDataFrame([], stored_schema(spark, u)))
+            u: REGISTRY[u].published(spark.createDataFrame([], stored_schema(spark, u)), True)
             for u in spec.upstream
         }
         _SCHEMAS[name] = spec.transform(inputs, Options()).schema

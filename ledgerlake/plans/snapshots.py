@@ -1,8 +1,13 @@
-"""Tables stored as time-stamped snapshots, one ``etl_inserted`` partition per run."""
+"""Tables stored as time-stamped snapshots, one ``etl_inserted`` folder per run.
+
+A folder's name spells its stamp in UTC, so it means the same instant in every session and sorts
+by time. Snapshots are found by listing these folders; only the files of those that are read are
+listed further.
+"""
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+import uuid
 from datetime import datetime, timedelta, timezone
 from functools import reduce
 from operator import and_
@@ -15,9 +20,18 @@ from pyspark.sql import types as T
 from ledgerlake.schemas import STAMP
 
 PARTITION_KEYS = (STAMP,)
-FILE_FORMATS = ("parquet", "orc")  # others are table formats, which keep their own history
+FILE_FORMATS = ("parquet", "orc")
+TABLE_FORMATS = ("delta", "iceberg", "hudi")  # these keep their own history
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
-_METADATA_ONLY = "spark.sql.optimizer.metadataOnly"
+_PREFIX = f"{STAMP}="
+
+
+def is_file_format(fmt: str) -> bool:
+    """Whether snapshots are folders of plain files; other formats must be known ones."""
+    if fmt not in (*FILE_FORMATS, *TABLE_FORMATS):
+        known = ", ".join((*FILE_FORMATS, *TABLE_FORMATS))
+        raise ValueError(f"tables cannot be stored as {fmt}; known formats: {known}")
+    return fmt in FILE_FORMATS
 
 
 def stamp(df: DataFrame, run_ts: datetime) -> DataFrame:
@@ -30,53 +44,20 @@ def stamped_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([*fields, T.StructField(STAMP, T.TimestampType())])
 
 
-def write(
-    df: DataFrame,
-    path: str,
-    fmt: str = "parquet",
-    partition_keys: tuple[str, ...] = PARTITION_KEYS,
-    rebalance: bool = False,
-) -> None:
-    """Write the partitions ``df`` holds; other partitions of the table stay.
+def micros(instant: datetime) -> int:
+    """Microseconds since the epoch; an instant without zone is in UTC."""
+    aware = instant if instant.tzinfo else instant.replace(tzinfo=timezone.utc)
+    return (aware - _EPOCH) // timedelta(microseconds=1)
 
-    Files are staged and put in place when the job commits, so a failed run changes nothing.
-    ``rebalance`` evens file sizes out with one more shuffle: worth it after a read with few or
-    uneven tasks, not after a join or aggregation, whose partitions are sized already.
-    """
-    if rebalance:
-        df = df.hint("rebalance")
-    writer = df.write.format(fmt).mode("overwrite").partitionBy(*partition_keys)
-    if fmt in FILE_FORMATS:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.option("mergeSchema", "true")
-    writer.save(path)
-
-
-def write_snapshot(
-    df: DataFrame, path: str, run_ts: datetime, rebalance: bool = False, fmt: str = "parquet"
-) -> None:
-    """Store ``df`` as the snapshot of ``run_ts``.
 
-    A table without rows has no partition to write; an empty file stands for it, so that the
-    newest snapshot is the empty one and not the one before.
-    """
-    spark = df.sparkSession
-    write(stamp(df, run_ts), path, fmt, rebalance=rebalance)
-    if fmt not in FILE_FORMATS:
-        return
-    folder = f"{path}/{STAMP}={_partition_text(spark, run_ts)}"
-    fs, location = _hadoop(spark, folder)
-    if not fs.exists(location):
-        empty = spark.createDataFrame([], df.drop(STAMP).schema)
-        empty.write.format(fmt).mode("overwrite").save(folder)
+def _text(stamp_us: int) -> str:
+    """A stamp as folders spell it."""
+    instant = _EPOCH + timedelta(microseconds=stamp_us)
+    return instant.strftime("%Y-%m-%d %H:%M:%S.%fZ")
 
 
-def _partition_text(spark: SparkSession, run_ts: datetime) -> str:
-    """The stamp as partition folders spell it, in the session's time zone."""
-    micros = (run_ts.astimezone(timezone.utc) - _EPOCH) // timedelta(microseconds=1)
-    text = spark.sql(f"SELECT cast(timestamp_micros({micros}) AS string)").first()[0]
-    return text.replace(":", "%3A")
+def _folder(path: str, stamp_us: int) -> str:
+    return f"{path.rstrip('/')}/{_PREFIX}{_text(stamp_us).replace(':', '%3A')}"
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -85,44 +66,109 @@ def _hadoop(spark: SparkSession, path: str):
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
 
 
-@contextmanager
-def _metadata_only(spark: SparkSession):
-    """Answer queries over partition columns from the file listing instead of the files."""
-    before = spark.conf.get(_METADATA_ONLY, None)
-    spark.conf.set(_METADATA_ONLY, "true")
+def stored_snapshots(spark: SparkSession, path: str) -> dict[int, str]:
+    """The table's snapshots, oldest first: stamp in microseconds and folder."""
+    fs, table = _hadoop(spark, path)
+    if not fs.exists(table):
+        return {}
+    found = {}
+    for status in fs.listStatus(table):
+        name = status.getPath().getName()
+        value = unquote(name.removeprefix(_PREFIX))
+        if name.startswith(_PREFIX) and value[:1].isdigit():
+            found[micros(datetime.fromisoformat(value))] = status.getPath().toString()
+    return dict(sorted(found.items()))
+
+
+def stage(df: DataFrame, path: str, fmt: str = "parquet", rebalance: bool = False) -> str:
+    """Write a table's rows beside its snapshots, where no reader looks; the staging folder.
+
+    ``rebalance`` evens file sizes out with one more shuffle: worth it after a read with few or
+    uneven tasks, not after a join or aggregation, whose partitions are sized already.
+    """
+    folder = f"{path.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+    rows = df.drop(STAMP)
     try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_METADATA_ONLY)
-        else:
-            spark.conf.set(_METADATA_ONLY, before)
+        (rows.hint("rebalance") if rebalance else rows).write.format(fmt).save(folder)
+    except Exception:
+        discard(df.sparkSession, folder)
+        raise
+    return folder
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    fs, location = _hadoop(spark, folder)
+    fs.delete(location, True)
+
+
+def install(spark: SparkSession, staged: str, path: str, stamp_us: int) -> None:
+    """Make staged files the snapshot of a stamp, in place of an older one of the same stamp."""
+    fs, source = _hadoop(spark, staged)
+    _, target = _hadoop(spark, _folder(path, stamp_us))
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"{staged} could not be renamed to {target}")
+
+
+def write_snapshot(
+    df: DataFrame, path: str, run_ts: datetime, rebalance: bool = False, fmt: str = "parquet"
+) -> None:
+    """Store ``df`` as the snapshot of ``run_ts``; other snapshots of the table stay.
+
+    Files are staged and renamed when all are written, so a failed run changes nothing. A table
+    without rows has a snapshot, too: a file without rows.
+    """
+    if is_file_format(fmt):
+        install(df.sparkSession, stage(df, path, fmt, rebalance), path, micros(run_ts))
+        return
+    rows = stamp(df.hint("rebalance") if rebalance else df, run_ts)
+    writer = rows.write.format(fmt).mode("overwrite").partitionBy(*PARTITION_KEYS)
+    writer.option("mergeSchema", "true").save(path)
 
 
 def _load(
-    spark: SparkSession, path: str, schema: T.StructType | None, fmt: str, merge_schema: bool
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None,
+    fmt: str,
+    merge_schema: bool,
+    folders: list[str] | None = None,
 ) -> DataFrame:
+    """The rows of a table, or of some of its snapshots' folders."""
     reader = spark.read.format(fmt)
-    if fmt not in FILE_FORMATS:
+    if not is_file_format(fmt):
         return reader.load(path)
+    reader = reader.option("basePath", path)
     if merge_schema or schema is None:
-        # inferred partition values may come back as text
-        rows = reader.option("mergeSchema", "true").load(path)
+        # inferred partition values come back as text
+        rows = reader.option("mergeSchema", "true").load(folders or path)
         return rows.withColumn(STAMP, F.col(STAMP).cast("timestamp"))
-    return reader.schema(stamped_schema(schema)).load(path)
+    stored = stamped_schema(schema)
+    if folders == []:
+        return spark.createDataFrame([], stored)
+    return reader.schema(stored).load(folders or path)
 
 
 def latest(spark: SparkSession, path: str, fmt: str = "parquet") -> int | None:
     """Stamp of the newest snapshot in microseconds since the epoch."""
-    rows = _load(spark, path, T.StructType([]), fmt, merge_schema=False)
-    with _metadata_only(spark):
-        return rows.agg(F.unix_micros(F.max(STAMP)).alias("us")).first()["us"]
+    if is_file_format(fmt):
+        return max(stored_snapshots(spark, path), default=None)
+    rows = spark.read.format(fmt).load(path)
+    return rows.agg(F.unix_micros(F.max(STAMP)).alias("us")).first()["us"]
 
 
 def _at(stamp_us: int) -> Column:
     return F.col(STAMP) == F.timestamp_micros(F.lit(stamp_us))
 
 
+def _asked(spark: SparkSession, value: object) -> int:
+    """A stamp as a caller gives it: an instant, or text in the session's time zone."""
+    if isinstance(value, datetime):
+        return micros(value)
+    return spark.range(1).select(F.unix_micros(F.lit(value).cast("timestamp"))).first()[0]
+
+
 def read(
     spark: SparkSession,
     path: str,
@@ -135,17 +181,27 @@ def read(
 ) -> DataFrame:
     """Read the newest snapshot, the named partitions, or with ``every_snapshot`` the history.
 
-    The stamp is looked up first and compared as a typed literal, so the scan opens the files
-    of that partition only. ``merge_schema`` takes the union of all files' columns instead of
-    ``schema``.
+    Only the files of the snapshots wanted are listed. ``merge_schema`` takes the union of all
+    files' columns instead of ``schema``.
     """
-    rows = _load(spark, path, schema, fmt, merge_schema)
-    if partition_values:
-        matches = (F.col(k) == F.lit(v) for k, v in partition_values.items())
-        rows = rows.filter(reduce(and_, matches))
-    elif not every_snapshot:
-        newest = latest(spark, path, fmt)
-        rows = rows.filter(F.lit(False) if newest is None else _at(newest))
+    values = dict(partition_values or {})
+    if is_file_format(fmt):
+        stored = stored_snapshots(spark, path)
+        if STAMP in values:
+            asked = _asked(spark, values.pop(STAMP))
+            folders = [stored[asked]] if asked in stored else []
+        elif values or every_snapshot or not stored:
+            folders = list(stored.values())
+        else:
+            folders = [stored[max(stored)]]
+        rows = _load(spark, path, schema, fmt, merge_schema, folders)
+    else:
+        rows = _load(spark, path, schema, fmt, merge_schema)
+        if not values and not every_snapshot:
+            newest = latest(spark, path, fmt)
+            rows = rows.filter(F.lit(False) if newest is None else _at(newest))
+    if values:
+        rows = rows.filter(reduce(and_, (F.col(k) == F.lit(v) for k, v in values.items())))
     return rows.select(*columns) if columns else rows
 
 
@@ -158,37 +214,26 @@ def compact(
 ) -> None:
     """Rewrite one snapshot (the newest by default) into evenly sized files.
 
-    The new files are staged while the old ones are read; they change places on commit. A table
-    format compacts itself.
+    The new files are staged while the old ones are read, and take their place when all are
+    written. A table format compacts itself.
     """
-    if fmt not in FILE_FORMATS:
+    if not is_file_format(fmt):
         spark.sql(f"OPTIMIZE {fmt}.`{path}`")
         return
-    stamp_us = latest(spark, path, fmt) if stamp_us is None else stamp_us
-    if stamp_us is None:
+    stored = stored_snapshots(spark, path)
+    stamp_us = max(stored, default=None) if stamp_us is None else stamp_us
+    if stamp_us not in stored:
         return
-    rows = _load(spark, path, schema, fmt, merge_schema=False).filter(_at(stamp_us))
-    # the stamp as a literal: the writer would sort by a partition column it had to read
-    stamped = rows.withColumn(STAMP, F.timestamp_micros(F.lit(stamp_us)))
-    write(stamped, path, fmt, rebalance=True)
+    rows = _load(spark, path, schema, fmt, False, [stored[stamp_us]])
+    install(spark, stage(rows, path, fmt, rebalance=True), path, stamp_us)
 
 
 def retain(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
-    """Delete all but the ``keep`` newest snapshots of a file table; returns their stamps.
-
-    Folder names carry the stamp as text that sorts by time, so listing them is enough.
-    """
+    """Delete all but the ``keep`` newest snapshots of a file table; returns their stamps."""
     if keep < 1:
         raise ValueError("keep must be at least 1")
-    fs, table = _hadoop(spark, path)
-    prefix = f"{STAMP}="
-    stored = {}
-    for status in fs.listStatus(table):
-        name = status.getPath().getName()
-        value = unquote(name.removeprefix(prefix))
-        if name.startswith(prefix) and value[:1].isdigit():
-            stored[value] = status.getPath()
+    stored = stored_snapshots(spark, path)
     dropped = sorted(stored, reverse=True)[keep:]
-    for value in dropped:
-        fs.delete(stored[value], True)
-    return dropped
+    for stamp_us in dropped:
+        discard(spark, stored[stamp_us])
+    return [_text(stamp_us) for stamp_us in dropped]

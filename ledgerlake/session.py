@@ -17,20 +17,19 @@ SETTINGS = {
 }
 
 
-_MB, _GB, _TB = 1024**2, 1024**3, 1024**4
+_MB, _GB = 1024**2, 1024**3
 
 
-def sized_for(input_bytes: int) -> dict[str, str]:
+def sized_for(input_bytes: int, scan_mb: int = 256) -> dict[str, str]:
     """Partition settings for a run over that much input.
 
     Shuffles start with one partition per GB, which adaptive execution merges where less data
-    arrives; beyond 10 TB, scans take 512 MB per task to keep the number of shuffle blocks down.
+    arrives. Scans take ``scan_mb`` per task; more of it means fewer shuffle blocks.
     """
-    partitions = min(100_000, max(200, -(-input_bytes // _GB)))
-    scan = 512 if input_bytes > 10 * _TB else 128
+    partitions = max(200, -(-input_bytes // _GB))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": f"{scan * _MB}b",
+        "spark.sql.files.maxPartitionBytes": f"{scan_mb * _MB}b",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{256 * _MB}b",
     }
 
@@ -45,10 +44,21 @@ def build_session(
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder the cluster names in ``spark.checkpoint.dir``."""
+    """A fresh path under the shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    What is stored there is removed when the application ends.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="ledgerlake-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    drop_at_exit(spark, path)
+    return path
+
+
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Let the file system remove a path when the application ends."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)

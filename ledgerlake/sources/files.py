@@ -15,8 +15,8 @@ _TRAILER = "_after_last_delimiter"
 def read_tbl(spark: SparkSession, path: str, table: str, mode: str = "FAILFAST") -> DataFrame:
     """Read generator output: ``|`` after every field, no quoting, empty field = NULL.
 
-    A missing file gives an empty table. An unreadable row fails the job, as a bulk load would;
-    ``mode`` takes Spark's other CSV modes.
+    A file missing from an existing folder gives an empty table; a missing folder is an error.
+    An unreadable row fails the job, as a bulk load would; ``mode`` takes Spark's other CSV modes.
     """
     schema = T.StructType([*source_schema(table).fields, T.StructField(_TRAILER, T.StringType())])
     reader = (
@@ -32,6 +32,9 @@ def read_tbl(spark: SparkSession, path: str, table: str, mode: str = "FAILFAST")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+        if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            raise
         return empty(spark, table)
     return conform(rows.drop(_TRAILER), table)
 

@@ -329,6 +329,7 @@ def build() -> dict[str, str]:
                sum(net_amount)::double AS net_amount,
                sum(extended_price)::double AS extended_price
         FROM wide GROUP BY ALL"""
+    sales_read = "SELECT * RENAME (customer_region AS region) FROM ({})".format(_sales())
     all_silver = ("geo", "suppliers", "parts", "customers", "supplied_parts", "fct", "wide")
     wide_read = """
         SELECT order_key, line_number, strftime(order_date, '%Y-%m-%d') AS order_date,
@@ -366,6 +367,12 @@ def build() -> dict[str, str]:
                count(DISTINCT part_key) AS nombre_produits_distincts,
                {_average(f"sum({days})", f"count({days})")} AS temps_traitement_jours
         FROM fct GROUP BY ALL"""
+    historical = _query(
+        ", lines AS (SELECT * FROM wide)" + _finance(),
+        *all_silver,
+        geo_key="n_nationkey",
+        part_only=True,
+    ).replace(")\n, lines", "),\nlines")
     return {
         **{f"bronze_{t}": sql for t, sql in bronze.items()},
         "dq_not_null": _query(_dq_not_null()),
@@ -402,12 +409,7 @@ def build() -> dict[str, str]:
         ),
         "wide_order_details_fanout": _query(fanout, *all_silver, part_only=True),
         "finance_metrics": finance,
-        "finance_metrics_refcompat": _query(
-            ", lines AS (SELECT * FROM wide)" + _finance(),
-            *all_silver,
-            geo_key="n_nationkey",
-            part_only=True,
-        ).replace(")\n, lines", "),\nlines"),
+        "finance_metrics_refcompat": historical,
         "finance_dashboard": _lines_query(_finance(_FRENCH)),
         "daily_sales_metrics": _lines_query(_sales()),
         "daily_sales_report": _lines_query(sales_report),
@@ -455,5 +457,11 @@ def build() -> dict[str, str]:
             " (SELECT DISTINCT order_date, market_segment, region_name FROM lines)"
         ),
         "lazy_pipeline_finance": finance,
+        "lazy_daily_sales_metrics": _lines_query(sales_read),
         "persisted_pipeline_finance": finance,
+        "persisted_finance_historical": historical,
+        "persisted_daily_sales_metrics": _lines_query(sales_read),
+        "persisted_daily_sales_report": _lines_query(sales_report),
+        "persisted_supply_chain_dashboard": _query(supply_chain, "fct"),
+        "published_twice": _lines_query(_finance(_FRENCH)),
     }

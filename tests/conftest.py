@@ -10,8 +10,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from ledgerlake import schemas  # noqa: E402
 
-RUN_TS = datetime(2023, 2, 1, 12, 30, 15, 250, tzinfo=timezone.utc)
-AS_OF = date(2023, 2, 1)
+RUN_TS = datetime(2024, 6, 10, 7, 45, 5, 250, tzinfo=timezone.utc)
+AS_OF = date(2024, 6, 10)
 
 
 @pytest.fixture(scope="session")
@@ -47,36 +47,35 @@ def setting(spark):
 
 
 def day(number: int) -> date:
-    return date(2023, 1, number)
+    return date(2024, 5, number)
 
 
 def money(value) -> Decimal:
     return Decimal(str(value)).quantize(Decimal("0.01"))
 
 
-# Five customers, five orders and five lines; comments, addresses and phones are filler.
+# Four customers, four orders and five lines; comments, addresses and phones are filler. Nation
+# and region keys overlap, so that a lookup by the wrong key finds another region.
 ROWS = {
-    "region": [(1, "EUROPE"), (2, "AMERICA"), (3, "ASIA")],
-    "nation": [(1, "FRANCE", 1), (2, "GERMANY", 1), (3, "CANADA", 2), (4, "JAPAN", 3)],
+    "region": [(10, "NORTH"), (20, "SOUTH"), (30, "EAST")],
+    "nation": [(10, "ALBA", 10), (20, "BREZ", 30), (30, "CORA", 20), (40, "DUNE", 10)],
     "customer": [
-        (1, 1, "BUILDING", 1000),
-        (2, 1, "AUTOMOBILE", 2000),
-        (3, 2, "MACHINERY", 3000),
-        (4, 3, "HOUSEHOLD", 4000),
-        (5, 3, "BUILDING", 5000),
+        (21, 20, "FURNITURE", 150),
+        (22, 10, "MACHINERY", 975),
+        (23, 30, "FURNITURE", 40),
+        (24, 10, "BUILDING", -12),
     ],
-    "supplier": [(1, 1), (2, 1), (3, 2), (4, 3), (5, 3)],
-    "part": [(101, 100, "A"), (102, 200, "B"), (103, 300, "C"), (104, 400, "D"), (105, 500, "E")],
-    "partsupp": [(101, 1, 100, 10), (102, 2, 200, 20), (103, 3, 300, 30), (104, 4, 400, 40),
-                 (105, 5, 500, 50)],
-    "orders": [(1, 1, "F", 1, 1000), (2, 2, "O", 1, 2000), (3, 3, "F", 2, 3000),
-               (4, 4, "F", 2, 4000), (5, 5, "P", 3, 5000)],
+    "supplier": [(71, 30), (72, 10), (73, 20)],
+    "part": [(501, 80, "K"), (502, 64, "M"), (503, 250, "P"), (504, 19, "R")],
+    "partsupp": [(501, 71, 12, 33), (502, 72, 7, 25), (503, 73, 90, 140), (504, 71, 3, 9)],
+    "orders": [(1001, 22, "O", 3, 700), (1002, 21, "F", 3, 90), (1003, 23, "P", 6, 55),
+               (1004, 22, "F", 6, 310)],
     "lineitem": [
-        (1, 101, 1, 1, 10, 1000, 0.10, 0.08, 10, 15, 20),
-        (1, 102, 2, 2, 5, 500, 0.05, 0.08, 10, 15, 20),
-        (2, 103, 3, 1, 20, 2000, 0.00, 0.08, 15, 20, 25),
-        (3, 104, 4, 1, 15, 1500, 0.20, 0.08, 20, 25, 30),
-        (3, 105, 5, 2, 8, 800, 0.10, 0.08, 20, 25, 30),
+        (1001, 501, 71, 1, 4, 400, 0.05, 0.10, 5, 9, 8),
+        (1001, 503, 73, 2, 2, 300, 0.00, 0.05, 6, 7, 10),
+        (1002, 502, 72, 1, 3, 90, 0.10, 0.00, 4, 6, 6),
+        (1003, 504, 71, 1, 1, 50, 0.20, 0.10, 9, 12, 11),
+        (1004, 501, 71, 1, 2, 200, 0.25, 0.20, 8, 8, 14),
     ],
 }
 
@@ -126,18 +125,18 @@ def tables(spark):
 # Edge cases the base rows lack: unknown nation, unknown status, unknown commit date, a group
 # without revenue, a part with two suppliers, a part nobody supplies, an unknown customer.
 EDGE = {
-    "customer": [*ROWS["customer"], (6, 99, "BUILDING", 6000)],
-    "part": [*ROWS["part"], (106, 600, "F")],
-    "partsupp": [*ROWS["partsupp"], (101, 3, 110, 11)],
-    "orders": [*ROWS["orders"], (6, 6, None, 4, 10), (7, 2, "O", 5, 0), (8, 77, "O", 4, 10),
-               (9, None, "F", 4, 10)],
+    "customer": [*ROWS["customer"], (25, 99, "BUILDING", 600)],
+    "part": [*ROWS["part"], (505, 31, "V")],
+    "partsupp": [*ROWS["partsupp"], (501, 73, 110, 11)],
+    "orders": [*ROWS["orders"], (1005, 25, None, 8, 10), (1006, 21, "O", 9, 0),
+               (1007, 77, "O", 8, 10), (1008, None, "F", 8, 10)],
     "lineitem": [
         *ROWS["lineitem"],
-        (6, 101, 3, 1, 1, 100, 0.0, 0.0, 9, None, 12),
-        (7, 106, 1, 1, 1, 0, 0.0, 0.0, None, 8, 12),
-        (8, 101, 1, 1, 2, 50, 0.5, 0.0, 3, 2, 3),
-        (9, 103, 3, 1, 2, 50, 0.5, 0.0, 3, 2, 3),
-        (99, 101, 1, 1, 1, 1, 0.0, 0.0, 1, 1, 1),
+        (1005, 501, 73, 1, 1, 100, 0.0, 0.0, 13, None, 16),
+        (1006, 505, 72, 1, 1, 0, 0.0, 0.0, None, 8, 12),
+        (1007, 501, 71, 1, 2, 50, 0.5, 0.0, 7, 2, 7),
+        (1008, 503, 73, 1, 2, 50, 0.5, 0.0, 3, 2, 3),
+        (9999, 501, 71, 1, 1, 1, 0.0, 0.0, 1, 1, 1),
     ],
 }
 

@@ -10,11 +10,11 @@ from ledgerlake.operators.joins import fits_broadcast, hot_keys, join_dimension
 
 
 @pytest.fixture
-def no_broadcast(setting, monkeypatch):
-    """Treat every dimension as too large to broadcast and every fact as large."""
+def no_broadcast(setting):
+    """Treat every dimension as too large to broadcast, and search for hot keys."""
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     setting("spark.sql.shuffle.partitions", "8")
-    monkeypatch.setattr(joins, "SKEW_BYTES", 0)
+    setting(joins.SEARCH, "true")
 
 
 @pytest.fixture
@@ -107,7 +107,7 @@ def test_even_keys_are_not_hot(spark):
     assert hot_keys(spark.range(10_000).withColumnRenamed("id", "k"), ["k"], 200) == []
 
 
-def test_small_facts_are_not_searched(spark, setting, monkeypatch):
+def test_keys_are_searched_only_if_asked_for(spark, setting, monkeypatch):
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     monkeypatch.setattr(joins, "hot_keys", lambda *_: pytest.fail("searched"))
     assert join_dimension(skewed(spark, 600), dimension(spark), {"k": "dk"}).count() == 600
@@ -131,6 +131,24 @@ def test_small_dimension_is_left_to_spark(spark):
     assert "_salted_key" not in plan_of(join_dimension(fact, dim, {"k": "dk"}))
 
 
+def test_sizes_of_joined_tables_are_not_multiplied(spark, setting):
+    """Spark takes a left join for the product of its sides."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "100KB")
+    places = spark.range(25).select(F.col("id").alias("place"))
+    dim = dimension(spark).join(places, F.col("dk") % 25 == F.col("place"), "left")
+    assert joins._bytes(joins._plan(dim)) > 100 * 1024
+    assert fits_broadcast(dim)
+    joined = join_dimension(skewed(spark, 600), dim, {"k": "dk"})
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sketches_follow_the_partitions(spark, setting):
+    assert joins.sketch_items(spark, 8) == 1_024
+    assert joins.sketch_items(spark, 100_000) == 400_000
+    setting(joins.ITEMS, "77")
+    assert joins.sketch_items(spark, 100_000) == 77
+
+
 def test_size_check_follows_the_threshold(spark, setting):
     setting("spark.sql.autoBroadcastJoinThreshold", "100")
     assert not fits_broadcast(dimension(spark))

@@ -54,6 +54,7 @@ def test_lines_are_summed_before_they_are_joined(spark, setting):
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     plan = plan_of(spark, "finance_metrics")
     lines = plan[plan.rindex("HashAggregate(keys=[l_orderkey"):]
+    lines = lines[: lines.index("FileScan")]
     assert "partial_sum" in lines
     assert "Join" not in lines
 
@@ -68,3 +69,26 @@ def test_filters_reach_the_scan(spark):
     lines = entry.queries()["bronze_lineitem"](spark, FOLDER).filter("l_linenumber = 3")
     plan = lines._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(l_linenumber,3)" in plan
+
+
+def test_finance_shuffles_no_customers(spark):
+    """They are within the threshold, and nation names come in after the sums."""
+    plan = plan_of(spark, "finance_metrics")
+    assert "SortMergeJoin [o_custkey" not in plan and "hashpartitioning(o_custkey" not in plan
+    assert "hashpartitioning(c_nationkey" not in plan
+    joined = plan.index("geo_nationkey")
+    assert plan.index("HashAggregate(keys=[date#") < joined
+
+
+def test_sales_plan_has_no_expand(spark):
+    for name in ("daily_sales_metrics", "lazy_daily_sales_metrics"):
+        plan = plan_of(spark, name)
+        assert "Expand" not in plan
+        assert plan.count("Exchange hashpartitioning") <= 7
+
+
+def test_the_lazy_plan_is_the_registered_one(spark):
+    """No part, supplier or offer is read for finance."""
+    plan = plan_of(spark, "lazy_pipeline_finance")
+    assert "ps_partkey" not in plan and "p_partkey" not in plan
+    assert plan.count("FileScan") == plan_of(spark, "finance_metrics").count("FileScan")

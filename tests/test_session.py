@@ -8,13 +8,12 @@ TB = 1024**4
 
 
 @pytest.mark.parametrize(
-    ("size", "partitions", "scan_mb"),
-    [(0, 200, 128), (300 * 1024**3 + 1, 301, 128), (20 * TB, 20_480, 512), (100 * TB, 100_000, 512)],
+    ("size", "partitions"),
+    [(0, 200), (300 * 1024**3 + 1, 301), (20 * TB, 20_480), (1000 * TB, 1_024_000)],
 )
-def test_partitions_follow_the_input(size, partitions, scan_mb):
-    got = sized_for(size)
-    assert got["spark.sql.shuffle.partitions"] == str(partitions)
-    assert got["spark.sql.files.maxPartitionBytes"] == f"{scan_mb * 1024**2}b"
+def test_partitions_follow_the_input(size, partitions):
+    assert sized_for(size)["spark.sql.shuffle.partitions"] == str(partitions)
+    assert sized_for(size, 512)["spark.sql.files.maxPartitionBytes"] == f"{512 * 1024**2}b"
 
 
 def test_settings_are_accepted(spark, setting):
@@ -29,11 +28,20 @@ def session(master, folder):
     return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
 
-def test_scratch_is_in_the_shared_folder():
+@pytest.fixture(autouse=True)
+def dropped(monkeypatch):
+    """Paths that go when the application ends."""
+    paths = []
+    monkeypatch.setattr("ledgerlake.session.drop_at_exit", lambda _, path: paths.append(path))
+    return paths
+
+
+def test_scratch_is_in_the_shared_folder(dropped):
     cluster = session("spark://cluster:7077", "s3a://bucket/shared/")
     first, second = scratch_path(cluster, "orders"), scratch_path(cluster, "orders")
     assert first.startswith("s3a://bucket/shared/orders-")
     assert first != second
+    assert dropped == [first, second]
 
 
 def test_scratch_without_a_shared_folder():

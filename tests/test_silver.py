@@ -21,11 +21,11 @@ def test_fct_orders_metrics(tables):
         "shipping_delay_days", "delivery_delay_days", "is_late_delivery",
     )
     assert got == [
-        (1, 1, d("972.00"), d("100.00"), d("72.00"), 9, 10, True),
-        (1, 2, d("513.00"), d("25.00"), d("38.00"), 9, 10, True),
-        (2, 1, d("2160.00"), d("0.00"), d("160.00"), 14, 10, True),
-        (3, 1, d("1296.00"), d("300.00"), d("96.00"), 18, 10, True),
-        (3, 2, d("777.60"), d("80.00"), d("57.60"), 18, 10, True),
+        (1001, 1, d("418.00"), d("20.00"), d("38.00"), 2, 3, False),
+        (1001, 2, d("315.00"), d("0.00"), d("15.00"), 3, 4, True),
+        (1002, 1, d("81.00"), d("9.00"), d("0.00"), 1, 2, False),
+        (1003, 1, d("44.00"), d("10.00"), d("4.00"), 3, 2, False),
+        (1004, 1, d("180.00"), d("50.00"), d("30.00"), 2, 6, True),
     ]
 
 
@@ -43,36 +43,35 @@ def test_unknown_dates_are_not_late_and_have_no_delay(edge_tables):
         r["order_key"]: (r["is_late_delivery"], r["shipping_delay_days"], r["delivery_delay_days"])
         for r in fct.collect()
     }
-    assert got[6] == (False, 5, 3)
-    assert got[7] == (True, None, None)
-    assert got[8] == (True, -1, 0)
-    assert 99 not in got
+    assert got[1005] == (False, 5, 3)
+    assert got[1006] == (True, None, None)
+    assert got[1007] == (True, -1, 0)
+    assert 9999 not in got
 
 
 @pytest.mark.parametrize(
-    ("key", "german", "canadian"),
-    [("n_regionkey", "EUROPE", "AMERICA"), ("n_nationkey", "AMERICA", "ASIA")],
+    ("key", "of_brez", "of_cora"),
+    [("n_regionkey", "EAST", "SOUTH"), ("n_nationkey", "SOUTH", "EAST")],
 )
-def test_dim_customer_region(tables, key, german, canadian):
+def test_dim_customer_region(tables, key, of_brez, of_cora):
     got = rows_of(
         silver.dim_customer(tables["customer"], geo(tables, key)),
         "customer_key", "nation_name", "region_name",
     )
     assert got == [
-        (1, "FRANCE", "EUROPE"),
-        (2, "FRANCE", "EUROPE"),
-        (3, "GERMANY", german),
-        (4, "CANADA", canadian),
-        (5, "CANADA", canadian),
+        (21, "BREZ", of_brez),
+        (22, "ALBA", "NORTH"),
+        (23, "CORA", of_cora),
+        (24, "ALBA", "NORTH"),
     ]
 
 
 def test_dim_customer_keeps_unknown_nations(edge_tables):
-    got = silver.dim_customer(edge_tables["customer"], geo(edge_tables)).filter("customer_key = 6")
+    got = silver.dim_customer(edge_tables["customer"], geo(edge_tables)).filter("customer_key = 25")
     row = got.first()
-    assert (row["nation_name"], row["region_name"], row["full_address"]) == (None, None, "Address 6")
-    france = silver.dim_customer(edge_tables["customer"], geo(edge_tables)).filter("customer_key = 1")
-    assert france.first()["full_address"] == "Address 1, FRANCE, EUROPE"
+    assert (row["nation_name"], row["region_name"], row["full_address"]) == (None, None, "Address 25")
+    known = silver.dim_customer(edge_tables["customer"], geo(edge_tables)).filter("customer_key = 22")
+    assert known.first()["full_address"] == "Address 22, ALBA, NORTH"
 
 
 def test_geo_rejects_other_keys(tables):
@@ -88,27 +87,25 @@ def test_dim_part_grain_is_part_and_supplier(edge_tables):
         "supplier_name", "manufacturing_country",
     )
     assert got == [
-        (101, 1, d("10.00"), 80.0, "Supplier 1", "FRANCE"),
-        (101, 3, d("11.00"), 80.0, "Supplier 3", "GERMANY"),
-        (102, 2, d("20.00"), 160.0, "Supplier 2", "FRANCE"),
-        (103, 3, d("30.00"), 240.0, "Supplier 3", "GERMANY"),
-        (104, 4, d("40.00"), 320.0, "Supplier 4", "CANADA"),
-        (105, 5, d("50.00"), 400.0, "Supplier 5", "CANADA"),
-        (106, None, None, 480.0, None, None),
+        (501, 71, d("33.00"), 64.0, "Supplier 71", "CORA"),
+        (501, 73, d("11.00"), 64.0, "Supplier 73", "BREZ"),
+        (502, 72, d("25.00"), 51.2, "Supplier 72", "ALBA"),
+        (503, 73, d("140.00"), 200.0, "Supplier 73", "BREZ"),
+        (504, 71, d("9.00"), 15.2, "Supplier 71", "CORA"),
+        (505, None, None, 24.8, None, None),
     ]
 
 
 def test_dim_part_ignores_offers_of_unknown_parts(spark, tables):
-    offers = frame(spark, "partsupp", [(999, 1, 1, 1), (101, 88, 5, 6)])
+    offers = frame(spark, "partsupp", [(999, 71, 1, 1), (501, 88, 5, 6)])
     suppliers = silver.supplier_enriched(tables["supplier"], geo(tables))
     got = rows_of(
         silver.dim_part(tables["part"], offers, suppliers),
         "part_key", "supplier_key", "s_suppkey", "available_qty",
     )
     assert got == [
-        (101, 88, None, 5),
-        (102, None, None, None),
-        (103, None, None, None),
-        (104, None, None, None),
-        (105, None, None, None),
+        (501, 88, None, 5),
+        (502, None, None, None),
+        (503, None, None, None),
+        (504, None, None, None),
     ]
