@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 from dataclasses import dataclass
 from datetime import datetime
 from pathlib import Path
@@ -15,6 +16,8 @@ from ledgerlake.schemas import PRIMARY_KEYS, SOURCE_TABLES, STAMP, columns
 COLUMNS_MATCH = "expect_table_columns_to_match_ordered_list"
 NOT_NULL = "expect_column_values_to_not_be_null"
 
+_one_at_a_time = threading.Lock()
+
 RESULT_SCHEMA = (
     "run_ts timestamp, table string, expectation string, column string, "
     "success boolean, observed string, row_count bigint"
@@ -160,5 +163,10 @@ def validate(
 
 
 def save_results(spark: SparkSession, results: list[tuple], path: str) -> None:
-    """Append one row per checked expectation (a handful per table and run)."""
-    spark.createDataFrame(results, RESULT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    """Append one row per checked expectation (a handful per table and run).
+
+    Tables are checked at the same time, but Spark cannot append twice to one folder at once.
+    """
+    rows = spark.createDataFrame(results, RESULT_SCHEMA).coalesce(1)
+    with _one_at_a_time:
+        rows.write.mode("append").parquet(path)
