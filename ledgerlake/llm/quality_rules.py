@@ -2,9 +2,8 @@
 
 For each document two histograms are taken, of character classes and of the language's common
 words, and compared by Jensen-Shannon distance with the mean histograms of all documents of the
-same language. Everything is DataFrame functions. The texts are read once: rows and counts are
-stored, the references are a few dozen sums per language over the stored counts, and the verdicts
-follow from both without a shuffle of rows.
+same language. Everything is DataFrame functions. The references are a few dozen sums per
+language, and the verdicts follow without a shuffle of rows.
 
 Defined results: a null text is the empty text and fails the base rules (under ten words). A
 language that is null or has no word list is compared with all documents of that kind by
@@ -233,9 +232,13 @@ def js_distance(left: Column, right: Column) -> Column:
 def judge(docs: DataFrame, carry: Sequence[str] | None = None) -> DataFrame:
     """Every row as struct ``row`` with its counts, distances and the verdict ``kept``.
 
-    ``carry`` names the columns of ``row``, if not all are wanted.
+    ``carry`` names the columns of ``row``, if not all are wanted. Then the counts are stored and
+    the texts read once; rows with texts are not stored but read twice, the first time for the
+    histograms only.
     """
-    judged = stored(_histograms(features(docs, carry)), "quality")
+    judged = _histograms(features(docs, carry))
+    if carry:
+        judged = stored(judged, "quality")
     # At most one row per word list and one more, so this side is bounded by the lists above.
     near = F.broadcast(references(judged))
     class_at = {name: F.get(F.col("classes"), F.lit(i)) for i, name in enumerate(CLASS_NAMES)}
