@@ -70,14 +70,13 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    machine = sentencepiece_fst.load(spark)
-    decoded = sentencepiece_fst.decode(sentencepiece_fst.encode(docs, machine), machine)
-    return decoded.select(
+    docs, machine = table(spark, folder, "documents"), sentencepiece_fst.load(spark)
+    encoded = sentencepiece_fst.encode_checked(docs, machine, carry=["doc_id"])
+    return encoded.select(
         F.col("row.doc_id").alias("doc_id"),
         "n_ids",
         sha256_of(F.array_join("ids", ",")).alias("ids_sha256"),
-        sentencepiece_fst.given_back().alias("given_back"),
+        "given_back",
     )
 
 

@@ -9,8 +9,8 @@ so one path is left and it is the shortest one. Unigram models have no third mac
 of least total cost in the tropical semiring is taken.
 
 Each text is composed with the machines on the fly. Where no piece reads on past a meta symbol,
-the lattice falls apart at words, whose paths are remembered by each task's process up to a
-bounded number of words.
+the lattice falls apart at words, and within them between characters that are neighbours in no
+piece. The paths of words and parts are remembered by each task's process up to a bounded number.
 
 Defined results: null and empty texts have no ids. Decoding gives the text back, with the meta
 symbol itself (U+2581) read as a space. Repeated rows are encoded alike; empty tables give no
@@ -22,14 +22,14 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +38,9 @@ from ledgerlake.llm.shared import ship
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 META = "▁"
 #: Words whose paths, and pairs whose merges, a process remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+#: Rows worked on at once, which bounds a task's memory beside its batch.
+ROWS = 256
 #: Longer words are not remembered.
 REMEMBERED_CHARS = 64
 #: What an unknown character costs beyond the dearest piece (unigram models).
@@ -49,6 +51,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 START = -1
 BROKEN = -2
+#: How ids are kept: as 32-bit numbers.
+IDS = np.dtype("<i4")
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -79,6 +83,22 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
+class Paths(dict):
+    """The ids of words as bytes, found when a word is first asked for and then remembered."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, word: str) -> bytes:
+        path = self.find(word)
+        if len(word) <= REMEMBERED_CHARS:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = path
+        return path
+
+
 @dataclass
 class Machine:
     """The machines of a model. Remembered words and pairs are not sent to tasks."""
@@ -88,8 +108,19 @@ class Machine:
     kinds: list[int]
     bpe: bool
     prefix: bool
-    _words: dict[str, tuple[int, ...]] = field(default_factory=dict)
-    _pairs: dict[tuple[int, int], bool] = field(default_factory=dict)
+
+    def __getstate__(self):
+        named = ("pieces", "scores", "kinds", "bpe", "prefix")
+        return {name: self.__dict__[name] for name in named}
+
+    @cached_property
+    def words(self) -> Paths:
+        return Paths(self.path)
+
+    @cached_property
+    def pairs(self) -> dict[int, bool]:
+        """Whether the third machine has an arc, by both ids as one number."""
+        return {}
 
     @classmethod
     def of(cls, model: bytes) -> Machine:
@@ -114,34 +145,46 @@ class Machine:
             raise ValueError("a model with byte fallback and without user symbols is needed")
         return cls(pieces, scores, kinds, kind == BPE, bool(normalizer.get(3, 1)))
 
-    def __getstate__(self):
-        return {**self.__dict__, "_words": {}, "_pairs": {}}
-
     @cached_property
     def lexicon(self) -> dict[str, int]:
         return {p: i for i, p in enumerate(self.pieces) if self.kinds[i] == NORMAL}
 
     @cached_property
-    def states(self) -> dict[str, int]:
-        """The lexicon's states: every beginning of a piece, with the piece's id if it is one."""
-        found = {p[:k]: BROKEN for p in self.lexicon for k in range(1, len(p))}
-        return found | self.lexicon
+    def states(self) -> dict:
+        """The lexicon's states, from the first one: next states by character, ids under ""."""
+        first: dict = {}
+        for piece, number in self.lexicon.items():
+            state = first
+            for char in piece:
+                state = state.setdefault(char, {})
+            state[""] = number
+        return first
+
+    @cached_property
+    def joints(self) -> set[str]:
+        """Neighbouring characters within pieces: nothing is merged across any others."""
+        return {p[k : k + 2] for p in self.lexicon for k in range(len(p) - 1)}
 
     def arcs(self, word: str, at: int) -> list[tuple[int, int]]:
         """Where pieces that begin at a place end, with their ids; the shortest first.
 
         A character that is no piece by itself is an arc of its own.
         """
-        states, n = self.states, len(word)
-        out, end = [], at + 1
-        while end <= n and (piece := states.get(word[at:end])) is not None:
-            if piece >= 0:
+        state, out = self.states, []
+        for end, char in enumerate(word[at : at + self.longest], at + 1):
+            state = state.get(char)
+            if state is None:
+                break
+            if (piece := state.get("")) is not None:
                 out.append((end, piece))
-            end += 1
         if not out or out[0][0] > at + 1:
             out.insert(0, (at + 1, BROKEN))
         return out
 
+    @cached_property
+    def longest(self) -> int:
+        return max(map(len, self.lexicon))
+
     @cached_property
     def byte_ids(self) -> list[int]:
         found = [i for i, kind in enumerate(self.kinds) if kind == BYTE]
@@ -187,13 +230,14 @@ class Machine:
 
     def follows(self, last: int, piece: int) -> bool:
         """Whether the third machine has an arc for ``piece`` after ``last``."""
-        known = self._pairs.get((last, piece))
+        pair = (last << 32) + piece
+        known = self.pairs.get(pair)
         if known is None:
             parts = [self.pieces[i] for i in (last, piece) if i >= 0]
             known = self.merged("".join(parts)) == parts
-            if len(self._pairs) >= REMEMBERED:
-                self._pairs.clear()
-            self._pairs[last, piece] = known
+            if len(self.pairs) >= REMEMBERED:
+                self.pairs.clear()
+            self.pairs[pair] = known
         return known
 
     def bpe_path(self, word: str) -> list[int]:
@@ -245,25 +289,41 @@ class Machine:
             at = start
         return ids[::-1]
 
-    def encode(self, text: str) -> list[int]:
+    def path(self, word: str) -> bytes:
+        """The ids of a word as 32-bit numbers, from paths of the parts that cannot be merged."""
+        joints = self.joints
+        cuts = [k for k in range(1, len(word)) if word[k - 1 : k + 1] not in joints]
+        if cuts:
+            parts = [word[i:j] for i, j in zip([0, *cuts], [*cuts, None], strict=True)]
+            return b"".join(map(self.words.__getitem__, parts))
+        ids = self.bpe_path(word) if self.bpe else self.unigram_path(word)
+        return np.array(ids, dtype=IDS).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as 32-bit numbers."""
+        return b"".join(
+            map(self.words.__getitem__, self.word.findall(self.normalised(text)))
+        )
+
+    def ids(self, text: str) -> list[int]:
         """The ids of a text."""
-        ids: list[int] = []
-        words, extend = self._words, ids.extend
-        for word in self.word.findall(self.normalised(text)):
-            path = words.get(word)
-            if path is None:
-                path = tuple(self.bpe_path(word) if self.bpe else self.unigram_path(word))
-                if len(word) <= REMEMBERED_CHARS:
-                    if len(words) >= REMEMBERED:
-                        words.clear()
-                    words[word] = path
-            extend(path)
-        return ids
+        return np.frombuffer(self.encode(text), dtype=IDS).tolist()
+
+    @cached_property
+    def written(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What ids write, one after the other, and where each begins and how long it is."""
+        sizes = np.array([len(x) for x in self.output], dtype=np.int64)
+        joined = np.frombuffer(b"".join(self.output), dtype=np.uint8)
+        return joined, np.cumsum(sizes) - sizes, sizes
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray | list[int]) -> str:
         """The text that ids stand for."""
-        output = self.output
-        text = b"".join([output[i] for i in ids]).decode(errors="replace")
+        joined, starts, sizes = self.written
+        ids = np.asarray(ids, dtype=np.int64)
+        size = sizes[ids]
+        ends = np.cumsum(size)
+        begin = np.repeat(starts[ids] - (ends - size), size)
+        text = joined[begin + np.arange(len(begin))].tobytes().decode(errors="replace")
         return text.removeprefix(" ") if self.prefix else text
 
 
@@ -274,47 +334,83 @@ def load(spark: SparkSession, path: str = MODEL) -> Broadcast[Machine]:
         return spark.sparkContext.broadcast(Machine.of(file.read()))
 
 
-def encode(docs: DataFrame, machine: Broadcast[Machine]) -> DataFrame:
-    """Each row as struct ``row`` with the ``ids`` of its text and their number ``n_ids``."""
+def _encoded(machine: Machine, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """The ids of each text, and their numbers."""
+    found = [machine.encode(t or "") for t in texts.to_pylist()]
+    sizes = np.array([len(x) // IDS.itemsize for x in found], dtype=np.int64)
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    flat = np.frombuffer(b"".join(found), dtype=IDS)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(sizes)
+
+
+def _decoded(machine: Machine, ids: pa.ListArray) -> list[str]:
+    flat, ends = ids.flatten().to_numpy(), np.cumsum(ids.value_lengths().to_numpy())
+    starts = [0, *ends[:-1]]
+    return [machine.decode(flat[i:j]) for i, j in zip(starts, ends, strict=True)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            encoded = [machine.value.encode(t or "") for t in batch.column(1).to_pylist()]
-            sizes = np.fromiter(map(len, encoded), dtype=np.int32, count=len(encoded))
-            flat = np.empty(int(sizes.sum()), dtype=np.int32)
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            for start, ids in zip(offsets, encoded, strict=False):
-                flat[start : start + len(ids)] = ids
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                    pa.array(sizes, pa.int64()),
-                ],
-                ["row", "ids", "n_ids"],
-            )
 
-    rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
+def _rows(docs: DataFrame, carry: Sequence[str] | None) -> tuple[DataFrame, T.StructType]:
+    """Each row's ``carry`` columns as struct ``row`` beside its text, and the result's schema."""
+    names = [f"`{c}`" for c in carry] if carry else ["*"]
+    rows = docs.select(F.struct(*names).alias("row"), F.col("text").alias("text"))
     schema = T.StructType([rows.schema["row"]])
-    return rows.mapInArrow(run, schema.add("ids", T.ArrayType(T.IntegerType())).add("n_ids", "long"))
+    return rows, schema.add("ids", T.ArrayType(T.IntegerType())).add("n_ids", "long")
+
+
+def encode(
+    docs: DataFrame, machine: Broadcast[Machine], carry: Sequence[str] | None = None
+) -> DataFrame:
+    """Each row as struct ``row`` with the ``ids`` of its text and their number ``n_ids``.
+
+    ``carry`` names the columns of ``row``, if not all are wanted.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            ids, sizes = _encoded(machine.value, batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, sizes], ["row", "ids", "n_ids"])
+
+    rows, schema = _rows(docs, carry)
+    return rows.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, machine: Broadcast[Machine]) -> DataFrame:
     """The rows of ``encoded`` (row, ids, n_ids) with their ``decoded`` text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [machine.value.decode(ids or []) for ids in batch.column(1).to_pylist()]
+        for batch in _slices(batches):
+            texts = pa.array(_decoded(machine.value, batch.column(1)), pa.string())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())],
-                [*batch.schema.names, "decoded"],
+                [*batch.columns, texts], [*batch.schema.names, "decoded"]
             )
 
-    rows = encoded.select("row", "ids", "n_ids")
+    rows = encoded.select("row", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"), "n_ids")
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields]).add("decoded", "string"))
 
 
-def given_back(text: str = "row.text") -> Column:
-    """Whether the decoded text is the one that was encoded."""
-    plain = F.coalesce(F.col(text), F.lit(""))
-    return F.col("decoded") == F.translate(plain, META, " ")
+def encode_checked(
+    docs: DataFrame, machine: Broadcast[Machine], carry: Sequence[str] | None = None
+) -> DataFrame:
+    """What ``encode`` gives, with ``given_back``: whether decoding the ids gives the text.
+
+    The ids are decoded where they were made, so each text crosses to Python once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            ids, sizes = _encoded(machine.value, batch.column(1))
+            texts = [(t or "").replace(META, " ") for t in batch.column(1).to_pylist()]
+            same = [a == b for a, b in zip(texts, _decoded(machine.value, ids), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), ids, sizes, pa.array(same, pa.bool_())],
+                ["row", "ids", "n_ids", "given_back"],
+            )
+
+    rows, schema = _rows(docs, carry)
+    return rows.mapInArrow(run, schema.add("given_back", "boolean"))
