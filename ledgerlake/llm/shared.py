@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
+import io
+import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
@@ -43,34 +43,37 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: what follows reads files that survive a lost executor. The files go when
     the application ends, because a lazy result may read them until then.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    drop_at_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_at_exit(spark: SparkSession, path: str) -> None:
-    """Let the file system remove a path when the application ends."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(conf).deleteOnExit(at)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Session setting for the bytes of a batch that Spark hands to Python.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Send this library's source to the executors, once per application.
 
-    Tasks that run Python import it there. The archive is made on the driver, from which Spark
-    hands it out.
+    Tasks that run Python import it there. It goes through the folder that all of them share.
+    Unless the session says otherwise, the batches sent to Python are bounded in bytes, too:
+    Spark's own bound is a number of rows, and texts may be long.
     """
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(32 << 20))
     application = spark.sparkContext.applicationId
-    if application not in _shipped:
-        package = Path(__file__).resolve().parent.parent
-        base = str(Path(tempfile.mkdtemp()) / package.name)
-        spark.sparkContext.addPyFile(
-            shutil.make_archive(base, "zip", package.parent, package.name)
-        )
-        _shipped.add(application)
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, str(file.relative_to(package.parent)))
+    path = f"{scratch_path(spark, 'source')}/{package.name}.zip"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at)
+    out.write(data.getvalue())
+    out.close()
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(application)

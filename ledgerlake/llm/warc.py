@@ -27,7 +27,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.shared import drop_at_exit, ship, stored
+from ledgerlake.llm.shared import ship, stored
 from ledgerlake.session import scratch_path
 
 #: A new file is begun when the current one has so many bytes.
@@ -178,9 +178,7 @@ def write_archives(pages: DataFrame, revisits: DataFrame, folder: str) -> DataFr
     named = rows.join(revisits, ["page_id", "payload_digest"], "left").select(
         "page_id", "url", "html", "refers_to", "payload_digest"
     )
-    manifest = stored(named.mapInArrow(_writer(folder), MANIFEST), "warc-manifest")
-    drop_at_exit(pages.sparkSession, folder)
-    return manifest
+    return stored(named.mapInArrow(_writer(folder), MANIFEST), "warc-manifest")
 
 
 def _with_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +263,10 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> Da
 def deduplicate(
     pages: DataFrame, folder: str | None = None, least: int = 0
 ) -> tuple[DataFrame, str]:
-    """Write deduplicated archives of ``pages`` (page_id, url, html); manifest and folder."""
+    """Write deduplicated archives of ``pages`` (page_id, url, html); manifest and folder.
+
+    Without a ``folder`` they go to the shared one, until the application ends.
+    """
     spark: SparkSession = pages.sparkSession
     ship(spark)
     folder = folder or scratch_path(spark, "warc")
