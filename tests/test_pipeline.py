@@ -1,3 +1,4 @@
+import json
 from datetime import timedelta
 
 import pytest
@@ -193,6 +194,15 @@ def test_invalid_data_writes_nothing(spark, source, tmp_path):
     assert kept.filter("r_regionkey IS NULL").count() == 0
 
 
+def test_a_mistyped_folder_leaves_the_lake_as_it_was(spark, source, tmp_path):
+    root = str(tmp_path / "lake")
+    pipeline.run(spark, "region", source, root, run_ts=RUN_TS)
+    mistyped = pipeline.tbl_source(spark, str(tmp_path / "mistyped"))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        pipeline.run(spark, "region", mistyped, root, run_ts=RUN_TS + timedelta(days=1))
+    assert pipeline.read_table(spark, root, "region").count() == 3
+
+
 def test_check_results_are_stored(spark, source, tmp_path):
     results = str(tmp_path / "checks")
     pipeline.run(spark, "dim_customer", source, str(tmp_path / "lake"), run_ts=RUN_TS,
@@ -251,6 +261,14 @@ def test_command_line(spark, edge_tables, tmp_path, monkeypatch):
     spark.sql("DROP TABLE supply_chain.inventory_analysis_view")
     with pytest.raises(SystemExit):
         pipeline.main(["--root", root, "--source", "tbl"])
+    (tmp_path / "suites").mkdir()
+    suite = {"expectations": [{"expectation_type": quality.NOT_NULL, "kwargs": {"column": "r_note"}}]}
+    (tmp_path / "suites" / "region.json").write_text(json.dumps(suite))
+    checked = ["--suites", str(tmp_path / "suites"), "--results", str(tmp_path / "results"), "--compact"]
+    with pytest.raises(quality.InvalidDataError, match="r_note"):
+        pipeline.main(["region", *arguments, *checked])
+    assert spark.read.parquet(str(tmp_path / "results")).filter("not success").count() == 1
+    assert pipeline.read_table(spark, root, "region").count() == 3
 
 
 def test_other_file_format(spark, source, tmp_path):

@@ -130,6 +130,11 @@ def test_missing_tbl_is_an_empty_table(spark, tmp_path):
     assert got.count() == 0
 
 
+def test_missing_folder_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.read_tbl(spark, str(tmp_path / "mistyped" / "orders.tbl"), "orders")
+
+
 def test_unreadable_tbl_fails(spark, tmp_path):
     path = tmp_path / "region.tbl"
     path.write_text("zero|AFRICA|note|\n")
