@@ -46,13 +46,13 @@ CLASS_NAMES = [*CLASSES, "rest"]
 WINDOW = 5
 MIN_WORDS_KEPT = 10
 MAX_REPEAT_PERCENT = 20
-MIN_CHARS = 50
-MIN_WORDS = 20
+MIN_CHARS = 200
+MIN_WORDS = 30
 #: A histogram further than this (0 to 1) rejects by itself.
 MAX_CLASS_DISTANCE = 0.3
 MAX_WORD_DISTANCE = 0.6
 #: Both histograms further than these reject together.
-BOTH_CLASS_DISTANCE = 0.14
+BOTH_CLASS_DISTANCE = 0.15
 BOTH_WORD_DISTANCE = 0.2
 #: Shares are summed as whole millionths, so that sums do not depend on their order.
 UNIT = 1_000_000
