@@ -284,4 +284,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
         .distinct(),
         "kept",
     )
+    # The ids grow with the corpus, so they are shuffled, not broadcast where they happen to fit.
+    kept = kept.hint("merge")
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
