@@ -254,6 +254,9 @@ def judge(docs: DataFrame, carry: Sequence[str] | None = None) -> DataFrame:
         | (by_word > MAX_WORD_DISTANCE)
         | ((by_class > BOTH_CLASS_DISTANCE) & (by_word > BOTH_WORD_DISTANCE))
     )
+    # One condition, not two that a filter could be split into: the part that needs no reference
+    # would be moved below the counts and compute them again.
+    kept = F.greatest(failed.cast("int"), far.cast("int")) == 0
     return (
         judged.join(near, judged["lang"] == F.col("ref_lang"), "left")
         .select(
@@ -268,7 +271,7 @@ def judge(docs: DataFrame, carry: Sequence[str] | None = None) -> DataFrame:
             js_distance(F.col("class_shares"), F.col("ref_classes")).alias("class_distance"),
             js_distance(F.col("word_shares"), F.col("ref_words")).alias("word_distance"),
         )
-        .select("*", failed.alias("base_failed"), (~failed & ~far).alias("kept"))
+        .select("*", failed.alias("base_failed"), kept.alias("kept"))
     )
 
 
