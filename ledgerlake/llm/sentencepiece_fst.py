@@ -37,8 +37,9 @@ from ledgerlake.llm.shared import ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 META = "▁"
-#: Words whose paths, and pairs whose merges, a process remembers.
-REMEMBERED = 200_000
+#: Words whose paths, and pairs whose merges, a process remembers; of words so many older ones,
+#: too. Half a million words take about 100 MB.
+REMEMBERED = 300_000
 #: Rows worked on at once, which bounds a task's memory beside its batch.
 ROWS = 256
 #: Longer words are not remembered.
@@ -84,16 +85,23 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
 
 
 class Paths(dict):
-    """The ids of words as bytes, found when a word is first asked for and then remembered."""
+    """The ids of words as bytes, found when a word is first asked for and then remembered.
+
+    When there are too many, those not asked for since the last time are forgotten.
+    """
 
     def __init__(self, find: Callable[[str], bytes]):
         super().__init__()
         self.find = find
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        path = self.find(word)
+        path = self.older.get(word)
+        if path is None:
+            path = self.find(word)
         if len(word) <= REMEMBERED_CHARS:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[word] = path
         return path

@@ -89,7 +89,8 @@ def test_remembering_is_bounded(model, monkeypatch):
     text = " ".join(f"word{i}" for i in range(500))
     again = P.Machine.of(model).encode(text)
     assert machine.encode(text) == again
-    assert len(machine.words) <= 50 and len(machine.pairs) <= 50
+    assert len(machine.words) <= 50 and len(machine.words.older) <= 50
+    assert len(machine.pairs) <= 50
 
 
 def test_unknown_model_kinds_are_refused():
