@@ -4,8 +4,11 @@ The standard library's parser streams events. They are gathered into lines, one
 page, each with its text, its tags, its linked text and the container it stands in. The ratio of
 text to tags per line is smoothed by a Gaussian over the neighbouring lines, and two clusters of
 the smoothed ratios give the threshold above which a line marks content. The containers that
-hold such lines, and are not mostly links, are the content regions (articles, where there are
-any); all their lines are kept, so that short paragraphs of an article stay. Elements that by name, role or class hold menus, headers, footers, sidebars,
+hold such lines are the content regions, with the containers within them, the siblings of their
+tag and class, and the siblings of their tag between them. Where the articles among them (or else
+the main part) hold most of the page's unlinked text, they are the regions alone. Regions that
+are mostly links go; all lines of the others are kept, so that short paragraphs and sections of an
+article stay. Elements that by name, role or class hold menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles or reader comments never give lines.
 
 Defined results: a null page is the empty page; a page without content has the empty text. Pages
@@ -116,6 +119,9 @@ class Events(HTMLParser):
         self.open = [Open("")]
         self.counts: dict[str, int] = {}
         self.containers = [""]
+        #: Per container the one around it and its class.
+        self.within = [0]
+        self.classes = [""]
 
     def _end_line(self) -> None:
         if self.line is not None:
@@ -159,6 +165,8 @@ class Events(HTMLParser):
         if tag in CONTAINERS and not above.in_article:
             container = len(self.containers)
             self.containers.append(tag)
+            self.within.append(above.container)
+            self.classes.append(" ".join(v or "" for k, v in attrs if k == "class"))
         skipped = above.skipped or _excluded(tag, attrs, above.in_article)
         self.open.append(Open(tag, skipped, container, in_article))
         self.counts[tag] = self.counts.get(tag, 0) + 1
@@ -256,6 +264,40 @@ def threshold(values: Sequence[float]) -> float:
     return (low + high) / 2
 
 
+def _inside(events: Events, chosen: Set[int]) -> set[int]:
+    """The containers and all within them. A container comes after the one around it."""
+    out = set(chosen)
+    for at in range(1, len(events.containers)):
+        if events.within[at] in out:
+            out.add(at)
+    return out
+
+
+def _around(events: Events, chosen: Set[int], kind: str) -> set[int]:
+    """The elements of this kind that hold a chosen container, and the containers within them."""
+    holders = [0] * len(events.containers)
+    for at in range(1, len(holders)):
+        holders[at] = at if events.containers[at] == kind else holders[events.within[at]]
+    return _inside(events, {holders[c] for c in chosen} - {0})
+
+
+def _with_siblings(events: Events, chosen: Set[int]) -> set[int]:
+    """The containers and their siblings of the same tag, by class or by place."""
+    ends: dict[tuple[int, str], tuple[int, int]] = {}
+    kinds = set()
+    for at in sorted(chosen - {0}):
+        key = events.within[at], events.containers[at]
+        ends[key] = ends.get(key, (at, at))[0], at
+        kinds.add((*key, events.classes[at]))
+    out = set(chosen)
+    for at in range(1, len(events.containers)):
+        key = events.within[at], events.containers[at]
+        first, last = ends.get(key, (at + 1, at))
+        if first <= at <= last or (*key, events.classes[at]) in kinds:
+            out.add(at)
+    return out
+
+
 def extract(html: str) -> str:
     """The main text of a page: its content blocks in page order, joined by two line ends."""
     last = html.rfind("<")
@@ -271,14 +313,19 @@ def extract(html: str) -> str:
     regions = {
         line.container for (_, line), value in zip(lines, values, strict=True) if value >= limit
     }
-    for kind in ("article", "main"):
-        if inner := {c for c in regions if events.containers[c] == kind}:
-            regions = inner
-            break
     linked, chars = Counter(), Counter()
     for text, line in lines:
         linked[line.container] += line.linked
         chars[line.container] += len(text)
+    plain = {c: max(0, chars[c] - linked[c]) for c in chars}
+    for kind in ("article", "main"):
+        inner = _around(events, regions, kind)
+        if inner and 2 * sum(plain.get(c, 0) for c in inner) > sum(plain.values()):
+            regions = inner
+            break
+    else:
+        whole = {c for c in regions if events.containers[c] not in ("", "html", "body")}
+        regions = regions | _inside(events, _with_siblings(events, whole))
     regions = {c for c in regions if 2 * linked[c] <= chars[c]} or regions
     return "\n\n".join(text for text, line in lines if line.container in regions)
 

@@ -62,3 +62,19 @@ def test_table(spark):
     assert got == [("1", "u", 0, 0), ("2", "None", 1, 1), ("2", "None", 1, 1),
                    ("None", "v", 249_999, 249_999)]
     assert extracted(frame.limit(0)).count() == 0
+
+
+def paragraph(n, word):
+    return (word + " ") * (n // (len(word) + 1)) + "end."
+
+
+def test_every_part_of_an_article_stays():
+    parts = [paragraph(n, f"part{i}") for i, n in enumerate([400, 350, 60, 420, 300, 25, 380])]
+    whole = "\n\n".join(parts)
+    for tag in ("section", "div"):
+        apart = "".join(f"<{tag}><p>{p}</p></{tag}>" for p in parts)
+        assert extract(apart) == whole
+        assert extract(f"<main><p>{parts[0]}</p>{apart}</main>") == f"{parts[0]}\n\n{whole}"
+    body = "".join(f"<p>{p}</p>" for p in parts)
+    page = f"<div>{body}</div><article><p>{paragraph(300, 'teaser')}</p></article>"
+    assert extract(page).startswith(whole)
