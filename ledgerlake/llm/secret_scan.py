@@ -3,8 +3,8 @@
 Candidate strings are the longest runs of one character class. A window slides over each; the
 counts of its characters are kept as it moves, so a step costs the same whatever the window's
 width. Windows whose entropy reaches the class's threshold and that mix the kinds of characters a
-key mixes are joined into spans. Candidates that an allow-list pattern finds are passed over, and
-so are spans inside one of the fixed patterns' spans, which stay as they are.
+key mixes are joined into spans. Parts of candidates, between ``/``, ``-`` and ``_``, that an
+allow-list pattern finds are passed over, and so are spans inside one of the fixed patterns' spans, which stay as they are.
 
 Defined results: a null text has no spans; repeated rows are scanned alike; an empty table gives
 no rows. Only the id and the text are read, so other columns do not matter. Texts are scanned
@@ -35,6 +35,8 @@ BASE_KINDS = ("assign", "access", "hex")
 
 #: Every pattern above but ``ASSIGN`` and every class below lies within such a run.
 RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+#: What stands between the parts of a path or name.
+SEPARATOR = re.compile(r"[/_-]")
 #: ``ASSIGN`` needs one of these in the lower-cased text.
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
@@ -60,6 +62,8 @@ class CharClass:
 CLASSES = (
     CharClass("entropy_hex", r"[0-9a-f]+|[0-9A-F]+", 16, 2.75, ("0-9", "A-Fa-f")),
     CharClass("entropy_base64", r"[A-Za-z0-9+/_-]+", 20, 3.8, ("0-9", "A-Z", "a-z")),
+    CharClass("entropy_upper", r"(?<![A-Za-z0-9])[A-Z0-9]+(?![A-Za-z0-9])", 16, 3.3, ("0-9", "G-Z")),
+    CharClass("entropy_lower", r"(?<![A-Za-z0-9])[a-z0-9]+(?![A-Za-z0-9])", 20, 3.6, ("0-9", "g-z")),
 )
 KINDS = (*BASE_KINDS, *(c.kind for c in CLASSES))
 
@@ -104,6 +108,20 @@ def entropy_spans(text: str, chars: CharClass) -> list[tuple[int, int]]:
     return spans
 
 
+def not_allowed(run: str, allowed: Iterable[re.Pattern[str]]) -> Iterator[tuple[int, str]]:
+    """Starts and texts of what remains of a run without the parts that a pattern finds."""
+    found = sorted(m.span() for p in allowed for m in p.finditer(run))
+    at = 0
+    for start, end in found:
+        before = max(run.rfind(c, 0, start) for c in "/-_") + 1
+        if before > at:
+            yield at, run[at:before]
+        after = SEPARATOR.search(run, end)
+        at = max(at, after.start() if after else len(run))
+    if at < len(run):
+        yield at, run[at:]
+
+
 def find(
     text: str,
     classes: Iterable[CharClass] = CLASSES,
@@ -122,17 +140,16 @@ def find(
         found, at = run[0], run.start()
         for kind, pattern in (("access", ACCESS), ("hex", HEX)):
             spans += [(at + m.start(), kind, at + m.end()) for m in pattern.finditer(found)]
-        if any(p.search(found) for p in allowed):
-            continue
-        for chars in classes:
-            if not all(re.search(f"[{g}]", found) for g in chars.mixed):
-                continue
-            for part in re.finditer(chars.run, found):
-                first = at + part.start()
-                spans += [
-                    (first + s, chars.kind, first + e)
-                    for s, e in entropy_spans(part[0], chars)
-                ]
+        for start, rest in not_allowed(found, allowed):
+            for chars in classes:
+                if not all(re.search(f"[{g}]", rest) for g in chars.mixed):
+                    continue
+                for part in re.finditer(chars.run, rest):
+                    first = at + start + part.start()
+                    spans += [
+                        (first + s, chars.kind, first + e)
+                        for s, e in entropy_spans(part[0], chars)
+                    ]
     base = [(s, e) for s, kind, e in spans if kind in BASE_KINDS]
     order = {kind: i for i, kind in enumerate(KINDS)}
     return sorted(

@@ -87,3 +87,15 @@ def test_edge_cases(documents, clashing):
         {(1, ()): 1, (2, ()): 1, (3, one): 2, (None, one): 1, (4, ()): 1}
     )
     assert S.scan(documents([])).count() == 0
+
+
+def test_allowed_parts_do_not_hide_others():
+    uuid, key = "1b4e28ba-2fa1-11d2-883f-0016d3cca427", "kJ8sQ2mZx7Lw0PvR4tYb"
+    for text in (f"users/{uuid}/{key}", f"example-bucket/{key}", f"{key}/{uuid}"):
+        ((start, kind, end),) = S.find(text)
+        assert kind == "entropy_base64" and key in text[start:end] and uuid not in text[start:end]
+
+
+def test_keys_in_one_case():
+    for kind, key in (("entropy_upper", "JBSWY3DPEHPK3PXP"), ("entropy_lower", "k3x9qz7w1mv8t2rj5ph6")):
+        assert S.find(f"the {key} here") == [(4, kind, 4 + len(key))]
