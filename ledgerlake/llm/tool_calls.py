@@ -2,7 +2,8 @@
 
 A message whose text is a JSON object makes explicit calls (``tool_calls``: a list of objects with
 ``id``, ``name``, ``arguments`` and optionally ``after``, the id of the call it builds on) or is
-the result of one (``tool_call_id``, ``content``). Any other message is a turn of plain talk, which
+the result of one (``tool_call_id``, ``content``). What a message says beside its calls, its
+``content``, is a plain text of its own. Any other message is a turn of plain talk, which
 is read as calls, too: a user's turn calls ``reply`` under the turn's number, building on the call
 two turns before, and the assistant's next turn is its result.
 
@@ -75,8 +76,11 @@ def messages(turns: DataFrame) -> DataFrame:
         nothing.alias("id"), nothing.alias("name"), nothing.alias("arguments"),
         nothing.alias("after"),
     )
+    explicit = F.size(F.coalesce(calls, F.array().cast(_array_type()))) > 0
+    beside = F.coalesce("said.content", F.lit(""))
+    spoken = F.lit(None).cast(_call_type())
     kind = (
-        F.when(F.size(F.coalesce(calls, F.array().cast(_array_type()))) > 0, CALL)
+        F.when(explicit, CALL)
         .when(F.col("said.tool_call_id").isNotNull(), RESULT)
         .when(role == "user", CALL)
         .when((role == "assistant") & (turn >= 1), RESULT)
@@ -84,29 +88,38 @@ def messages(turns: DataFrame) -> DataFrame:
     )
     rows = rows.withColumn("kind", kind)
     each = (
-        F.when(F.size(F.coalesce(calls, F.array().cast(_array_type()))) > 0, calls)
+        F.when(explicit & (beside != ""), F.concat(calls, F.array(spoken)))
+        .when(explicit, calls)
         .when(F.col("kind") == CALL, F.array(plain_call))
         .otherwise(F.array(plain))
     )
     answered = F.coalesce("said.tool_call_id", (turn - 1).cast("string"))
     content = F.when(F.col("said.tool_call_id").isNotNull(), F.coalesce("said.content", F.lit("")))
+    # Of the calls of a message, the last one, which is null, stands for what it says beside them.
+    is_spoken = explicit & (beside != "") & (F.col("at") == F.size(calls))
     return rows.select(
-        "conv_id", "turn", "role", "kind", "text", "said", F.explode(each).alias("call")
+        "conv_id", "turn", "role", "kind", "text", "said", F.posexplode(each).alias("at", "call")
+    ).select(
+        "*", F.when(is_spoken, F.lit(True)).otherwise(False).alias("spoken")
     ).select(
         "conv_id",
         "turn",
         "role",
-        "kind",
+        F.when(F.col("spoken"), TEXT).otherwise(F.col("kind")).alias("kind"),
         F.when(F.col("kind") == RESULT, answered).otherwise(F.col("call.id")).alias("call_id"),
         F.col("call.name").alias("name"),
         F.col("call.arguments").alias("arguments"),
         F.col("call.after").alias("after"),
-        F.coalesce(content, "text").alias("content"),
+        F.when(F.col("spoken"), beside).otherwise(F.coalesce(content, "text")).alias("content"),
     )
 
 
+def _call_type() -> str:
+    return "struct<id:string,name:string,arguments:string,after:string>"
+
+
 def _array_type() -> str:
-    return "array<struct<id:string,name:string,arguments:string,after:string>>"
+    return f"array<{_call_type()}>"
 
 
 def _linked(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:

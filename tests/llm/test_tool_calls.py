@@ -94,3 +94,16 @@ def test_main_path_runs_no_python(spark):
     frame = spark.createDataFrame(TALK, "conv_id long, turn long, role string, text string")
     plan = C.link(frame)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_what_is_said_beside_calls_stays(spark):
+    calls = [{"id": "a", "name": "run", "arguments": {"code": "1"}}]
+    speak = json.dumps({"content": "let me see", "tool_calls": calls})
+    silent = json.dumps({"content": "", "tool_calls": [{**calls[0], "id": "b"}]})
+    rows = linked(spark, [(1, 0, "assistant", speak), (1, 1, "assistant", silent)])
+    assert sorted((r.turn, r.kind, r.call_id or "") for r in rows) == [
+        (0, "call", "a"), (0, "text", ""), (1, "call", "b"),
+    ]
+    (text,) = [r for r in rows if r.kind == "text"]
+    assert json.loads(text.json) == {"content": "let me see", "role": "assistant", "type": "text"}
+    assert (text.step, text.linked, text.problems) == (-1, False, "")
