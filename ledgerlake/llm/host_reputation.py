@@ -77,6 +77,13 @@ def registered(host: Column, suffixes: Sequence[str] = SUFFIXES) -> tuple[Column
     return domain, suffix
 
 
+def _squares_in_units(n: Column, k: Column) -> Column:
+    """k * k / n, at most k, in whole units: in decimals, because the product outgrows 64 bits."""
+    product = k.cast("decimal(15,0)") * k.cast("decimal(15,0)") * F.lit(UNIT).cast("decimal(7,0)")
+    left = product % n.cast("decimal(15,0)")
+    return ((product - left) / n.cast("decimal(15,0)")).cast("decimal(28,0)")
+
+
 def _strength(level: str, counts: DataFrame) -> DataFrame:
     """One row: the level's prior strength by the method of moments (Kleinman's estimate).
 
@@ -88,12 +95,12 @@ def _strength(level: str, counts: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("g"),
         F.sum(n).alias("total"),
         F.sum(k).alias("bad"),
-        F.sum(n * n).alias("squares"),
-        F.sum(F.floor(k * k * UNIT / n)).alias("kk"),
+        F.sum(n.cast("decimal(19,0)") * n).cast("double").alias("squares"),
+        F.sum(_squares_in_units(n, k)).alias("kk"),
     )
     total, fewer = F.col("total"), F.col("g") - 1
     p = F.try_divide(F.col("bad"), total)
-    spread = F.col("kk") / UNIT - p * F.col("bad")
+    spread = F.col("kk").cast("double") / UNIT - p * F.col("bad")
     pq = p * (1 - p)
     between = total - F.try_divide(F.col("squares"), total) - fewer
     inner = F.try_divide(spread - pq * fewer, pq * between)

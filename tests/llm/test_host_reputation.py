@@ -65,3 +65,12 @@ def test_main_path_runs_no_python(spark):
     plan = judge(spark, [(1, "http://a.net/")], [])._jdf.queryExecution().executedPlan().toString()
     # Local test rows come through an Arrow-free relation, so nothing Python may be left.
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_millions_of_bad_pages(spark):
+    counts = spark.createDataFrame([(5_000_000, 4_500_000), (10_000_000_000, 7), (40, 3)], "n long, k long")
+    (row,) = H._strength("host", counts).collect()
+    assert H.STRENGTHS[0] <= row.strength <= H.STRENGTHS[1]
+    units = counts.select(H._squares_in_units(counts.n, counts.k).cast("long").alias("u")).collect()
+    assert [r.u for r in units] == [k * k * H.UNIT // n for n, k in
+                                    [(5_000_000, 4_500_000), (10_000_000_000, 7), (40, 3)]]
