@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Texts are compared as lower-cased word tokens. Documents are joined with the benchmark's items by
+Texts are compared as lower-cased word tokens; characters of scripts that are written without
+spaces are tokens of their own. Documents are joined with the benchmark's items by
 shared seeds, runs of ``LEAST`` tokens. Where the seeds could cover enough of an item, the document
 is tiled: running Karp-Rabin hashes find the longest match of tokens not yet marked, it is marked
 in both, and so on until none has ``LEAST`` tokens. Tiles may lie in any order, so the share of an
@@ -9,8 +10,8 @@ item's tokens that tiles cover also finds passages whose parts were moved.
 The benchmark is dealt into blocks of a bounded number of tokens, and the documents are read once
 per block against its seeds; an ordinary benchmark is one block.
 
-Defined results: a null text has no tokens. Items under ``LEAST`` tokens are not looked for, since
-no tile fits into them. Repeated items and documents are all reported. Empty tables give no rows.
+Defined results: a null text has no tokens, and items without tokens are in no document. Items
+under ``LEAST`` tokens are looked for as a whole: seed and tile are all their tokens. Repeated items and documents are all reported. Empty tables give no rows.
 Rows travel as one struct, so other columns pass through whatever their names. Time and memory are
 in proportion to the text.
 """
@@ -40,7 +41,12 @@ BLOCK_CHARS = 32 << 20
 
 BASE = 1_000_003
 MASK = (1 << 61) - 1
-TOKEN = re.compile(r"\w+")
+#: Thai to Tibetan, Burmese, Khmer, kana and Han characters.
+UNSPACED = (
+    "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf"
+    "\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+TOKEN = re.compile(rf"[^\W{UNSPACED}]+|(?=\w)[{UNSPACED}]")
 
 MATCHES = "array<struct<item_id:long,covered:int,n_tokens:int,n_tiles:int>>"
 
@@ -49,6 +55,11 @@ def tokens_of(text: str) -> list[str]:
     return TOKEN.findall(text.lower())
 
 
+def least_of(item: Sequence[int]) -> int:
+    """Tokens of an item's seeds, and the least of its tiles."""
+    return min(LEAST, len(item))
+
+
 def _windows(tokens: Sequence[int], marked: bytearray, size: int) -> Iterator[tuple[int, int]]:
     """Start and running hash of every window without marked tokens."""
     top = pow(BASE, size - 1, MASK)
@@ -115,8 +126,9 @@ class Items:
     ids: list[int | None]
     vocabulary: dict[str, int]
     tokens: list[list[int]]
-    seeds: dict[int, list[tuple[int, int]]]
-    sorted_seeds: np.ndarray
+    #: By their size, and beside them their sorted hashes.
+    seeds: dict[int, dict[int, list[tuple[int, int]]]]
+    sorted_seeds: dict[int, np.ndarray]
 
     @classmethod
     def of(cls, rows: Sequence[tuple[int | None, str]]) -> Items:
@@ -125,16 +137,22 @@ class Items:
             [vocabulary.setdefault(t, len(vocabulary) + 1) for t in tokens_of(text)]
             for _, text in rows
         ]
-        seeds = defaultdict(list)
+        seeds: dict[int, dict[int, list[tuple[int, int]]]] = {}
         for number, item in enumerate(tokens):
-            for at, value in enumerate(_hashes(np.array(item, dtype=np.uint64)).tolist()):
-                seeds[value].append((number, at))
+            if not item:
+                continue
+            of_size = seeds.setdefault(size := least_of(item), {})
+            for at, value in enumerate(_hashes(np.array(item, dtype=np.uint64), size).tolist()):
+                of_size.setdefault(value, []).append((number, at))
         return cls(
             [item_id for item_id, _ in rows],
             vocabulary,
             tokens,
-            dict(seeds),
-            np.sort(np.fromiter(seeds, dtype=np.uint64, count=len(seeds))),
+            seeds,
+            {
+                size: np.sort(np.fromiter(of_size, dtype=np.uint64, count=len(of_size)))
+                for size, of_size in seeds.items()
+            },
         )
 
     def matches(self, text: str, coverage: float) -> list[dict[str, int | None]]:
@@ -142,18 +160,19 @@ class Items:
         get = self.vocabulary.get
         words = tokens_of(text)
         numbers = np.fromiter((get(w, 0) for w in words), dtype=np.uint64, count=len(words))
-        seeded = self._seeded(numbers)
         by_item: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for at, value in seeded:
-            for number, start in self.seeds[value]:
-                by_item[number].append((start, at))
+        for size, of_size in self.seeds.items():
+            for at, value in self._seeded(numbers, size):
+                for number, start in of_size[value]:
+                    by_item[number].append((start, at))
         out = []
         for number, hits in sorted(by_item.items()):
             item = self.tokens[number]
-            reached = {start + k for start, _ in hits for k in range(LEAST)}
+            least = least_of(item)
+            reached = {start + k for start, _ in hits for k in range(least)}
             if len(reached) < coverage * len(item):
                 continue
-            tiles = tile(item, _near(numbers, sorted({at for _, at in hits})))
+            tiles = tile(item, _near(numbers, sorted({at for _, at in hits}), least), least)
             covered = sum(size for _, _, size in tiles)
             if covered >= coverage * len(item):
                 out.append(
@@ -166,24 +185,25 @@ class Items:
                 )
         return out
 
-    def _seeded(self, numbers: np.ndarray) -> Iterator[tuple[int, int]]:
+    def _seeded(self, numbers: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         """Places and hashes of the text's windows that are seeds."""
-        n = len(numbers) - LEAST + 1
-        if n < 1 or not len(self.sorted_seeds):
+        seeds = self.sorted_seeds[size]
+        n = len(numbers) - size + 1
+        if n < 1:
             return
         known = numbers > 0
         whole = known[:n].copy()
-        for k in range(1, LEAST):
+        for k in range(1, size):
             whole &= known[k : n + k]
         at = np.flatnonzero(whole)
         if not len(at):
             return
         values = np.zeros(len(at), dtype=np.uint64)
-        for k in range(LEAST):
+        for k in range(size):
             values = values * _FACTOR + numbers[at + k]
-        place = np.searchsorted(self.sorted_seeds, values)
-        place[place == len(self.sorted_seeds)] = 0
-        hit = self.sorted_seeds[place] == values
+        place = np.searchsorted(seeds, values)
+        place[place == len(seeds)] = 0
+        hit = seeds[place] == values
         for where, value in zip(at[hit].tolist(), values[hit].tolist(), strict=True):
             yield where, value
 
@@ -191,16 +211,16 @@ class Items:
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _hashes(numbers: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the windows of ``LEAST`` numbers; tiling compares the tokens themselves."""
-    n = max(0, len(numbers) - LEAST + 1)
+def _hashes(numbers: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hashes of the windows of ``size`` numbers; tiling compares the tokens themselves."""
+    n = max(0, len(numbers) - size + 1)
     values = np.zeros(n, dtype=np.uint64)
-    for k in range(LEAST):
+    for k in range(size):
         values = values * _FACTOR + numbers[k : n + k]
     return values
 
 
-def _near(numbers: np.ndarray, places: list[int]) -> list[int]:
+def _near(numbers: np.ndarray, places: list[int], size: int) -> list[int]:
     """The tokens of the windows that begin at the places, a zero where some are left out."""
     out: list[int] = []
     end = 0
@@ -208,8 +228,8 @@ def _near(numbers: np.ndarray, places: list[int]) -> list[int]:
         if at > end and out:
             out.append(0)
         first = max(at, end) if out else at
-        out += numbers[first : at + LEAST].tolist()
-        end = at + LEAST
+        out += numbers[first : at + size].tolist()
+        end = at + size
     return out
 
 

@@ -77,3 +77,11 @@ def test_a_passage_repeated_many_times():
     block = D.Items.of([(1, " ".join(words))])
     (match,) = block.matches(" ".join(words * 300), 0.5)
     assert match["covered"] == 30 and match["n_tiles"] == 1
+
+
+@pytest.mark.parametrize("item", ["alpha beta gamma", "solo", "\u6211\u4eec\u5728\u5317\u4eac\u5b66\u4e60"])
+def test_short_items_and_scripts_without_spaces(item):
+    block = D.Items.of([(1, item), (2, "")])
+    (match,) = block.matches(f"\u4ed6\u8bf4{item}\u4e86" if item > "z" else f"x {item} y", 0.5)
+    assert match["item_id"] == 1 and match["covered"] == match["n_tokens"]
+    assert block.matches("beta alpha gamma \u5317\u4eac", 0.5) == []
