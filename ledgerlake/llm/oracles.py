@@ -6,7 +6,13 @@ hold those queries against brute force.
 
 from __future__ import annotations
 
-from ledgerlake.llm import host_reputation, quality_rules, tool_calls
+from ledgerlake.llm import (
+    centroid_clustering,
+    host_reputation,
+    quality_rules,
+    source_divergence,
+    tool_calls,
+)
 
 SPACE = r"[ \t\n\x0B\f\r]"
 
@@ -279,6 +285,99 @@ FROM ruled LEFT JOIN bounds USING (host)
 """
 
 
+def _op11() -> str:
+    rules = centroid_clustering
+    steps = []
+    for i in range(rules.ROUNDS + 1):
+        steps.append(f"""near{i} AS MATERIALIZED (
+  SELECT r, vec_id, v, min(d) AS distance, arg_min(c, (d, c)) AS cluster FROM (
+    SELECT r, vec_id, v, c, list_sum(list_transform(list_zip(v, w),
+      lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM whole, centroids{i})
+  GROUP BY r, vec_id, v
+)""")
+        if i < rules.ROUNDS:
+            steps.append(f"""moved{i} AS (
+  SELECT cluster AS c, list(((s - ((s % n + n) % n)) // n)::BIGINT ORDER BY place) AS w FROM (
+    SELECT cluster, place, sum(v[place]) AS s, count(*) AS n
+    FROM near{i}, range(1, {rules.DIMENSIONS} + 1) AS t(place) GROUP BY ALL)
+  GROUP BY cluster
+), centroids{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(moved{i}.w, centroids{i}.w) AS w FROM centroids{i} LEFT JOIN moved{i} USING (c)
+)""")
+    rest = ", ".join(steps)
+    n = rules.DIMENSIONS
+    return f"""
+WITH whole AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: floor({rules.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = {n}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {n}
+), centroids0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY key, vec_id NULLS FIRST, v) - 1 AS c, v AS w FROM (
+    SELECT *, sha256('{rules.SALT}' || coalesce(vec_id::VARCHAR, '')) AS key FROM whole
+    ORDER BY key, vec_id NULLS FIRST, v LIMIT {rules.CENTROIDS})
+), {rest}
+SELECT vec_id, cluster::INTEGER AS cluster, distance,
+  (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+  (sum(distance) OVER ())::BIGINT AS inertia,
+  sha256(list_aggregate(w::VARCHAR[], 'string_agg', ',')) AS centroid_sha256
+FROM near{rules.ROUNDS} JOIN centroids{rules.ROUNDS} ON cluster = c
+"""
+
+
+def _op12() -> str:
+    rules = source_divergence
+
+    def share(n: str, total: str) -> str:
+        return f"(1 + {rules.UNIT}::HUGEINT * ({n} + 1) // ({total} + v))"
+
+    return rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), counted AS (
+  SELECT r, lang, source, term, count(*) AS n FROM (
+    SELECT r, lang, source,
+      unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs)
+  GROUP BY ALL
+), terms AS MATERIALIZED (
+  SELECT lang, term, sum(n) AS lang_n FROM counted
+  GROUP BY ALL HAVING count(*) >= {rules.MIN_DOCS}
+), used AS MATERIALIZED (
+  SELECT lang, source, term, sum(n) AS n
+  FROM counted JOIN terms USING (lang, term) GROUP BY ALL
+), langs AS (
+  SELECT lang, count(term) AS v, coalesce(sum(lang_n), 0) AS lang_total
+  FROM (SELECT DISTINCT lang FROM docs) LEFT JOIN terms USING (lang) GROUP BY lang
+), groups AS (
+  SELECT lang, source, v, lang_total, coalesce(sum(n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) JOIN langs USING (lang)
+  LEFT JOIN used USING (lang, source) GROUP BY ALL
+), shares AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+    {share('coalesce(n, 0)', 'total')} AS p, {share('lang_n', 'lang_total')} AS q
+  FROM groups JOIN terms USING (lang) LEFT JOIN used USING (lang, source, term)
+), summed AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN summed ON a.lang = summed.lang AND a.source = summed.source AND b.source = item
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM found
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= {rules.TOP}
+"""
+
+
 def build() -> dict[str, str]:
     return {
         "op5_line_dedup": OP5,
@@ -286,4 +385,6 @@ def build() -> dict[str, str]:
         "op8_warc": OP8,
         "op9_tool_calls": _op9(),
         "op10_host_reputation": _op10(),
+        "op11_centroid_clustering": _op11(),
+        "op12_source_divergence": _op12(),
     }

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
+    best_fit_packing,
+    centroid_clustering,
     decontaminate,
     host_reputation,
     html_extract,
@@ -20,6 +22,7 @@ from ledgerlake.llm import (
     secret_scan,
     sentencepiece_fst,
     simhash,
+    source_divergence,
     tool_calls,
     warc,
 )
@@ -136,6 +139,31 @@ def op10_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    assigned, centroids = centroid_clustering.cluster(table(spark, folder, "embeddings"))
+    return centroid_clustering.with_inertia(assigned, centroids).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence.audit(table(spark, folder, "documents"))
+
+
+def op13_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    cut = best_fit_packing.pieces(table(spark, folder, "documents"))
+    told = cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return best_fit_packing.place(told).select(
+        "doc_id",
+        "piece",
+        "start",
+        F.col("length").cast("long").alias("length"),
+        "ids_crc32",
+        "sequence_id",
+        "offset",
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -148,6 +176,9 @@ def queries() -> dict[str, Query]:
         "op8_warc": op8_warc,
         "op9_tool_calls": op9_tool_calls,
         "op10_host_reputation": op10_host_reputation,
+        "op11_centroid_clustering": op11_centroid_clustering,
+        "op12_source_divergence": op12_source_divergence,
+        "op13_best_fit_packing": op13_best_fit_packing,
     }
 
 

@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 from ledgerlake.llm import html_extract, secret_scan, sentencepiece_fst
 
 FOLDER = "/root/testdata/sf0.001"
-TABLES = "documents pages benchmark labels conversations".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +33,7 @@ def collected(spark, name):
 
 def test_all_are_registered():
     numbers = {m[1] for n in entry.queries() if (m := re.match(r"op(\d+)_", n))}
-    assert numbers == {str(n) for n in range(1, 11)} and "pipeline" in entry.queries()
+    assert numbers == {str(n) for n in range(1, 14)} and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.LLM_SQL)))
