@@ -62,12 +62,12 @@ def whole_vectors(vectors: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame
     )
 
 
-def first_centroids(vectors: DataFrame, k: int) -> np.ndarray:
+def first_centroids(vectors: DataFrame, k: int, dimensions: int = DIMENSIONS) -> np.ndarray:
     """The ``k`` vectors with the least hashes of their ids."""
     key = F.concat(F.lit(SALT), F.coalesce(F.col("vec_id").cast("string"), F.lit("")))
     least = vectors.orderBy(F.sha2(key, 256), F.col("vec_id").asc_nulls_first(), "v").limit(k)
     rows = [r["v"] for r in least.collect()]
-    return np.array(rows, dtype=np.int64).reshape(len(rows), -1)
+    return np.array(rows, dtype=np.int64).reshape(len(rows), dimensions)
 
 
 def occurring(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,7 +158,7 @@ def cluster(
     spark = vectors.sparkSession
     ship(spark)
     whole = stored(whole_vectors(vectors, dimensions), "whole-vectors")
-    centroids = first_centroids(whole, k)
+    centroids = first_centroids(whole, k, dimensions)
     if not len(centroids):
         return spark.createDataFrame([], ASSIGNED), centroids
     for _ in range(rounds):

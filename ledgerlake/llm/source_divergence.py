@@ -253,7 +253,7 @@ def term_part(kept: DataFrame, groups: DataFrame, texts: DataFrame) -> DataFrame
     return ranked.select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank")
 
 
-def _block_sums(rows: pa.Table) -> pa.Table:
+def _block_sums(rows: pa.Table, block: int) -> pa.Table:
     """Of a bucket of terms and one or two blocks of sources: the sums over the bucket's terms."""
     source, p = rows.column("at").to_numpy(), rows.column("p").to_numpy()
     digest, part = rows.column("digest").to_numpy(), rows.column("part").to_numpy()
@@ -277,7 +277,7 @@ def _block_sums(rows: pa.Table) -> pa.Table:
             gap = shares[s] - shares
             sums[s] += (gap * gap // shares).sum(axis=1)
     s, t = (x.ravel() for x in np.indices(sums.shape))
-    blocks = ids // BLOCK
+    blocks = ids // block
     # Of two blocks, the pairs within one are another group's.
     wanted = (s != t) & ((blocks[s] != blocks[t]) | (blocks[0] == blocks[-1]))
     s, t = s[wanted], t[wanted]
@@ -294,7 +294,8 @@ def _block_sums(rows: pa.Table) -> pa.Table:
 
 def pair_part(kept: DataFrame, groups: DataFrame) -> DataFrame:
     """How far every group is from each other source of its language."""
-    blocks = -(-groups.agg(F.max("sources")).first()[0] // BLOCK)
+    block = BLOCK
+    blocks = -(-groups.agg(F.max("sources")).first()[0] // block)
     buckets = max(1, -(-kept.count() * blocks // BLOCK_ROWS))
     share = _share(F.col("n"), F.col("group_n"), F.col("v"))
     bucket = F.pmod(F.xxhash64("digest", "part"), F.lit(buckets)).cast("int")
@@ -306,8 +307,8 @@ def pair_part(kept: DataFrame, groups: DataFrame) -> DataFrame:
         "lang", "at", "sources", F.lit(0).cast("long").alias("digest"), F.lit(-1).alias("part"),
         F.col("unused").alias("p"), every.alias("bucket"),
     )
-    own = F.floor(F.col("at") / BLOCK).cast("int")
-    others = F.sequence(F.lit(0), F.floor((F.col("sources") - 1) / BLOCK).cast("int"))
+    own = F.floor(F.col("at") / block).cast("int")
+    others = F.sequence(F.lit(0), F.floor((F.col("sources") - 1) / block).cast("int"))
     dealt = (
         used.unionByName(unused)
         .withColumn("other", F.explode(others))
@@ -317,7 +318,7 @@ def pair_part(kept: DataFrame, groups: DataFrame) -> DataFrame:
     )
     sums = (
         dealt.groupBy("lang", "low", "high", "bucket")
-        .applyInArrow(_block_sums, SUMS)
+        .applyInArrow(lambda rows: _block_sums(rows, block), SUMS)
         .groupBy("lang", "s", "t")
         .agg(F.sum("value").alias("value"), F.sum("terms").alias("terms"))
     )

@@ -103,7 +103,7 @@ def test_empty(spark):
     assert run(spark, []) == []
 
 
-def test_tasks_hand_on_what_they_hold(spark, rows, monkeypatch):
+def test_tasks_hand_on_what_they_hold(rows):
     counts = divergence._Counts(64, False)
     for text, lang, source in rows[:5]:
         counts.add((lang, source), text.encode())
