@@ -28,10 +28,12 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from ledgerlake.llm.shared import ship, stored
 
@@ -39,54 +41,102 @@ MODEL = public_tokenizers.path("word_bpe_49k.json")
 SIZE = 2048
 #: The id that ends a document.
 END = 0
-#: Bytes of words and their ids that a task remembers.
-HELD = 96 << 20
-
-#: Marks of ASCII but the apostrophe, with which contractions begin.
-_MARKS = rb"[!-&(-/:-@\[-`{-~]"
-#: A word with marks around it. The tokenizer splits between letters and marks.
-_MARKED = re.compile(rb"(%s*)([A-Za-z]+)(%s*)" % (_MARKS, _MARKS))
+#: Words that a task remembers, and as many older ones.
+HELD = 1 << 18
+#: Bytes of texts that are split into words at once; a longer text is split alone.
+AT_ONCE = 4 << 20
+
+#: Words of Latin letters and ASCII, in UTF-8: no normal form changes them, and lower case is
+#: per letter.
+_LATIN = re.compile(
+    rb"(?:[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\xbf])+"
+)
+#: How the tokenizer parts such words once they are in lower case; a new line is between words.
+_PARTS = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u017f]+|[0-9]|\n|[^a-z0-9\n\u00df-\u017f]+"
+)
+#: A special token's string may begin here.
+_SPECIAL = b"<|"
+#: The end of the last token of a part.
+_LAST = "</w>"
+#: Words that are encoded together.
+TOGETHER = 4096
 
 PIECES = "doc_id long, piece int, start long, length int, ids binary, task int, nth long"
 
 
+def _byte_letters() -> dict[str, str]:
+    """The letters of byte-level tokens for the bytes beyond ASCII that have others."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): chr(256 + i) for i, b in enumerate(others) if b > 127}
+
+
 class Encoder:
-    """Ids of texts as bytes, four to an id, little-endian."""
+    """Ids of texts as bytes, four to an id, little-endian.
+
+    Of the words met, those of the last while are remembered, and older ones that were asked for.
+    """
 
     def __init__(self, model: str):
         self.tokenizer = Tokenizer.from_file(model)
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith(_LAST)]] = True
+        self.letters = _byte_letters()
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {b"": b""}
-        self.held = 0
-
-    def _look_up(self, parts: list[bytes]) -> None:
-        texts = [p.decode() for p in parts]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        for part, encoded in zip(parts, found, strict=True):
-            self.parts[part] = np.array(encoded.ids, dtype="<u4").tobytes()
+        self.older: dict[bytes, bytes] = {}
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode Latin words together: parted and spelled here, merged by the library."""
+        parts = _PARTS.findall(b"\n".join(words).decode().lower())
+        spelled = " ".join(parts).encode().decode("latin-1")
+        for byte, letter in self.letters.items():
+            spelled = spelled.replace(byte, letter)
+        encoded = self.merges.encode_batch_fast([spelled], add_special_tokens=False)[0]
+        ids = np.array(encoded.ids, dtype="<u4")
+        part_ends = np.flatnonzero(self.last[ids]) + 1
+        between = np.fromiter((p == "\n" for p in parts), dtype=bool, count=len(parts))
+        n_parts = np.cumsum(~between)[np.r_[between[1:], True]]
+        ends = (4 * part_ends[n_parts - 1]).tolist()
+        data, start = ids.tobytes(), 0
+        for word, end in zip(words, ends, strict=True):
+            self.words[word] = data[start:end]
+            start = end
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if self.held > HELD:
-            self.words, self.parts, self.held = {}, {b"": b""}, 0
+        if len(self.words) > HELD:
+            self.words, self.older = {}, self.words
         split = [t.split() for t in texts]
         new: set[bytes] = set()
         for words in split:
             new.update(words)
         new.difference_update(self.words)
-        cut = {w: _parts(w) for w in new}
-        missing = {p for parts in cut.values() for p in parts}
-        self._look_up(sorted(missing.difference(self.parts)))
-        for word, parts in cut.items():
-            ids = b"".join([self.parts[p] for p in parts])
-            self.words[word] = ids
-            self.held += 2 * (len(word) + len(ids)) + 200
+        known = new.intersection(self.older)
+        self.words.update(zip(known, map(self.older.__getitem__, known), strict=True))
+        new.difference_update(known)
+        latin = [w for w in new if _LATIN.fullmatch(w) and _SPECIAL not in w]
+        for at in range(0, len(latin), TOGETHER):
+            self._learn(latin[at : at + TOGETHER])
+        for word in new.difference(latin):
+            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+            self.words[word] = np.array(ids, dtype="<u4").tobytes()
         return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
 
-def _parts(word: bytes) -> tuple[bytes, ...]:
-    """Parts that the tokenizer encodes apart; special tokens' strings stay whole."""
-    marked = None if b"<|" in word else _MARKED.fullmatch(word)
-    return marked.groups() if marked else (word,)
+def _in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts have about ``AT_ONCE`` bytes at most."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0)
+        ends = np.cumsum(lengths.to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + AT_ONCE, "right")))
+            yield batch.slice(at, to - at)
+            at = to
 
 
 def _cut(model: str, size: int):
@@ -95,7 +145,7 @@ def _cut(model: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = Encoder(model), np.array([END], dtype="<u4").tobytes()
         met = [0] * (size + 1)
-        for batch in batches:
+        for batch in _in_pieces(batches):
             columns: list[list] = [[] for _ in range(6)]
             doc_ids = batch.column("doc_id").to_pylist()
             texts = [t or b"" for t in batch.column("text").to_pylist()]

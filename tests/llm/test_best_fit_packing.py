@@ -62,7 +62,7 @@ def test_any_text(text):
 
 
 def test_forgetting_changes_nothing(monkeypatch):
-    monkeypatch.setattr(packing, "HELD", 300)
+    monkeypatch.setattr(packing, "HELD", 5)
     encoder = packing.Encoder(packing.MODEL)
     for _ in range(3):
         for text in TRICKY:
