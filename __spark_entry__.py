@@ -22,9 +22,9 @@ import oracles  # noqa: E402
 from ledgerlake import schemas  # noqa: E402
 from ledgerlake.operators import gold, interface, quality, silver  # noqa: E402
 from ledgerlake.plans import pipeline, snapshots  # noqa: E402
-from ledgerlake.plans.registry import HISTORICAL, Options  # noqa: E402
+from ledgerlake.plans.registry import HISTORICAL, REGISTRY, Options  # noqa: E402
 from ledgerlake.session import scratch_path  # noqa: E402
-from ledgerlake.sources import files, sample  # noqa: E402
+from ledgerlake.sources import files, jdbc, sample  # noqa: E402
 
 try:  # the package of training-data operators and its pipeline may be absent
     import corpus_pipeline
@@ -186,6 +186,37 @@ def _dq_saved(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).drop("run_ts", "observed")
 
 
+def _dq_watched(spark: SparkSession, folder: str) -> DataFrame:
+    """Every source table stored with checks that count as it is written; what they saw."""
+    source, root = pipeline.sample_source(spark, folder), scratch_path(spark, "checked")
+    path = scratch_path(spark, "watched")
+    run_ts = datetime.now(timezone.utc)
+    for table in schemas.SOURCE_TABLES:
+        spec = REGISTRY[table]
+        pipeline.run_table(spark, spec, source(table), root, run_ts, results_path=path)
+    columns = F.size(F.split("observed", ", "))
+    nulls = F.split("observed", " ")[0]
+    shape = F.col("expectation") == quality.COLUMNS_MATCH
+    return spark.read.parquet(path).select(
+        "table", "expectation", "column", "success",
+        F.when(shape, columns).otherwise(nulls).cast("long").alias("observed"), "row_count",
+    )
+
+
+def _key_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows in each range of equal row counts, as a scan of the lines over JDBC would split."""
+    lines = sample.load(spark, folder, "lineitem").select("l_orderkey")
+    lines.createOrReplaceTempView("lines_to_split")
+    sql = jdbc.histogram_sql("lines_to_split", "l_orderkey", 16)
+    histogram = [(r["part"], r["low"], r["n"]) for r in spark.sql(sql).collect()]
+    found = jdbc.range_predicates("l_orderkey", histogram)
+    meets = F.array(*[F.expr(p) for p in found])
+    place = F.array_position(meets, True).cast("int")
+    return lines.groupBy(place.alias("range")).agg(
+        F.count("*").alias("n_rows"), F.min("l_orderkey").alias("low")
+    )
+
+
 def _published_dashboard(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "dashboard")
     dashboard = interface.finance_dashboard(Tables(spark, folder).finance())
@@ -302,6 +333,8 @@ def queries() -> dict[str, Query]:
         "tbl_orders": _tbl("orders"),
         "tbl_lineitem": _tbl("lineitem"),
         "dq_results_saved": _dq_saved,
+        "dq_watched": _dq_watched,
+        "jdbc_key_ranges": _key_ranges,
         "dim_customer_read": _read("dim_customer"),
         "dim_part_read": _read("dim_part"),
         "wide_order_details_read": _persisted("wide_order_details"),

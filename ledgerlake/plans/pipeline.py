@@ -33,12 +33,16 @@ Source = Callable[[str], DataFrame]
 
 
 def jdbc_source(
-    spark: SparkSession, connection: jdbc.JdbcConnection, num_partitions: int | None = None
+    spark: SparkSession,
+    connection: jdbc.JdbcConnection,
+    num_partitions: int | None = None,
+    equal_rows: bool = False,
 ) -> Source:
     def extract(table: str) -> DataFrame:
         spec = REGISTRY[table]
+        how = {"equal_rows": True} if equal_rows else {}
         rows = jdbc.read_jdbc(
-            spark, connection, spec.jdbc_table, spec.jdbc_partition_column, num_partitions
+            spark, connection, spec.jdbc_table, spec.jdbc_partition_column, num_partitions, **how
         )
         return schemas.conform(rows, table)
 
@@ -98,16 +102,18 @@ def run_table(
 ) -> None:
     """Stage, check what was staged, put it in place, and only then drop older snapshots.
 
-    The source is read once, and what is checked is what is stored. ``rebalance`` evens out the
+    One job reads the source, counts what the checks need and writes; what is checked is what is
+    stored, and it is not read again. ``rebalance`` evens out the
     files of source tables, whose task sizes the source decides. ``keep`` snapshots stay.
     """
     path, even = spec.path(root), rebalance and spec.transform is None
     if snapshots.is_file_format(fmt):
-        staged = snapshots.stage(computed, path, fmt, even)
+        watched = quality.watched(spec.name, suites)
+        staged = snapshots.stage(computed, path, fmt, even, watched.watch)
         rows = spark.read.format(fmt).schema(computed.drop(schemas.STAMP).schema).load(staged)
         try:
             stamped = snapshots.stamp(rows, run_ts)
-            quality.validate(stamped, spec.name, run_ts, suites, results_path)
+            quality.validate(stamped, spec.name, run_ts, suites, results_path, watched)
         except Exception:
             snapshots.discard(spark, staged)
             raise
@@ -244,6 +250,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--source", choices=("jdbc", "parquet", "tbl", "sample"), default="jdbc")
     parser.add_argument("--directory", help="input folder of file sources")
     parser.add_argument("--num-partitions", type=int, help="parallel JDBC ranges per table")
+    parser.add_argument(
+        "--equal-rows", action="store_true", help="JDBC ranges of equal row counts, not widths"
+    )
     parser.add_argument("--as-of", type=date.fromisoformat, help="day to age open orders to")
     parser.add_argument("--geo-key", default="n_regionkey")
     parser.add_argument("--part-only", action="store_true")
@@ -263,7 +272,8 @@ def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     spark = build_session(settings=sized_for(args.input_gb * 1024**3) if args.input_gb else None)
     if args.source == "jdbc":
-        source = jdbc_source(spark, jdbc.JdbcConnection.from_env(), args.num_partitions)
+        connection = jdbc.JdbcConnection.from_env()
+        source = jdbc_source(spark, connection, args.num_partitions, args.equal_rows)
     else:
         make = {"parquet": parquet_source, "tbl": tbl_source, "sample": sample_source}
         source = make[args.source](spark, args.directory)

@@ -8,6 +8,7 @@ listed further.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 from functools import reduce
 from operator import and_
@@ -80,16 +81,23 @@ def stored_snapshots(spark: SparkSession, path: str) -> dict[int, str]:
     return dict(sorted(found.items()))
 
 
-def stage(df: DataFrame, path: str, fmt: str = "parquet", rebalance: bool = False) -> str:
+def stage(
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    rebalance: bool = False,
+    watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> str:
     """Write a table's rows beside its snapshots, where no reader looks; the staging folder.
 
     ``rebalance`` evens file sizes out with one more shuffle: worth it after a read with few or
-    uneven tasks, not after a join or aggregation, whose partitions are sized already.
+    uneven tasks, not after a join or aggregation, whose partitions are sized already. ``watch``
+    sees the rows as they are written, after the last shuffle.
     """
     folder = f"{path.rstrip('/')}/_staged-{uuid.uuid4().hex}"
     rows = df.drop(STAMP)
     try:
-        (rows.hint("rebalance") if rebalance else rows).write.format(fmt).save(folder)
+        watch(rows.hint("rebalance") if rebalance else rows).write.format(fmt).save(folder)
     except Exception:
         discard(df.sparkSession, folder)
         raise

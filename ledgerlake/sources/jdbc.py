@@ -8,6 +8,7 @@ import random
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date, datetime
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,6 +106,66 @@ def jdbc_row_count(spark: SparkSession, connection: JdbcConnection, table: str)
     return int(_one_row(spark, connection, f"SELECT COUNT(*) AS n FROM {table}")[0])
 
 
+def _literal(value: object) -> str:
+    """A key as SQL text."""
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value}'"
+    if isinstance(value, date):
+        return f"DATE '{value}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)
+
+
+def histogram_sql(table: str, column: str, ranges: int) -> str:
+    """Ranges of equal row counts: number, smallest key and rows of each; 0 are rows without key.
+
+    The source sorts its keys, for which it may use their index, and sends a row per range.
+    """
+    known = f"CASE WHEN {column} IS NULL THEN 0 ELSE 1 END"
+    return (
+        f"SELECT h.part, MIN(h.k) AS low, COUNT(*) AS n FROM (SELECT {column} AS k, {known}"
+        f" * NTILE({ranges}) OVER (PARTITION BY {known} ORDER BY {column}) AS part"
+        f" FROM {table}) h GROUP BY h.part"
+    )
+
+
+def range_predicates(column: str, histogram: list[tuple[int, object, int]]) -> list[str]:
+    """Conditions, each true for the rows of one range; every row meets exactly one.
+
+    The first and last range are open, so rows that come or change later are read, too. A key
+    with more rows than a range makes one range of several. Rows without a key have their own
+    range if there are any, and else join the first.
+    """
+    lows = sorted({low for part, low, _ in histogram if part})
+    none = any(not part for part, _, _ in histogram)
+    missing = f"{column} IS NULL"
+    if len(lows) < 2:
+        return [missing, f"{column} IS NOT NULL"] if none and lows else []
+    cuts = [_literal(low) for low in lows[1:]]
+    first = f"{column} < {cuts[0]}"
+    found = [first if none else f"({first} OR {missing})"]
+    found += [
+        f"{column} >= {low} AND {column} < {high}"
+        for low, high in zip(cuts, cuts[1:], strict=False)
+    ]
+    found.append(f"{column} >= {cuts[-1]}")
+    return [missing, *found] if none else found
+
+
+def jdbc_histogram(
+    spark: SparkSession, connection: JdbcConnection, table: str, column: str, ranges: int
+) -> list[tuple[int, object, int]]:
+    query = f"({histogram_sql(table, column, ranges)}) answer"
+    rows = with_retry(
+        lambda: spark.read.jdbc(
+            connection.url, query, properties=connection.properties()
+        ).collect(),
+        connection.retry,
+    )
+    return [(int(r[0]), r[1], int(r[2])) for r in rows]
+
+
 def read_jdbc(
     spark: SparkSession,
     connection: JdbcConnection,
@@ -113,29 +174,34 @@ def read_jdbc(
     num_partitions: int | None = None,
     row_bytes: int = 200,
     target_partition_mb: int = TARGET_PARTITION_MB,
+    equal_rows: bool = False,
 ) -> DataFrame:
-    """Scan ``table``; with a numeric ``partition_column`` as parallel key ranges.
+    """Scan ``table``; with a ``partition_column`` as parallel key ranges.
 
     Without ``num_partitions`` the count follows from the table's rows times ``row_bytes``. The
-    bounds only set the width of the ranges: rows beyond them, or without a key, are read too.
+    ranges of a numeric key are of equal width, or with ``equal_rows`` have about as many rows
+    each, whatever the gaps and clusters of the keys; that takes any ordered key and one more
+    query. Either way rows beyond the bounds, or without a key, are read too.
     """
-    ranges = {}
+    how: dict[str, object] = {}
     if partition_column is not None:
         if num_partitions is None:
             table_bytes = jdbc_row_count(spark, connection, table) * row_bytes
             num_partitions = plan_partitions(table_bytes, target_partition_mb)
-        if num_partitions > 1:
+        if num_partitions > 1 and equal_rows:
+            found = jdbc_histogram(spark, connection, table, partition_column, num_partitions)
+            predicates = range_predicates(partition_column, found)
+            how = {"predicates": predicates} if predicates else {}
+        elif num_partitions > 1:
             low, high = jdbc_bounds(spark, connection, table, partition_column)
             if low is not None:
-                ranges = {
+                how = {
                     "column": partition_column,
                     "lowerBound": int(low),
                     "upperBound": int(high),
                     "numPartitions": num_partitions,
                 }
     return with_retry(
-        lambda: spark.read.jdbc(
-            connection.url, table, properties=connection.properties(), **ranges
-        ),
+        lambda: spark.read.jdbc(connection.url, table, properties=connection.properties(), **how),
         connection.retry,
     )

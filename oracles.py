@@ -292,6 +292,24 @@ def _lines_query(body: str, **options) -> str:
     return _query(_LINES + body, "geo", "customers", "fct", **options).replace(")\n, lines", "),\nlines")
 
 
+# Sixteen ranges by rows; one that begins within a key begins with the next one's rows.
+_KEY_RANGES = """
+WITH tiles AS (
+  SELECT min(l_orderkey) AS low FROM (
+    SELECT l_orderkey, ntile(16) OVER (ORDER BY l_orderkey) AS tile FROM lineitem)
+  GROUP BY tile
+), bounds AS (
+  SELECT DISTINCT low FROM tiles
+), ranges AS (
+  SELECT row_number() OVER (ORDER BY low) AS r, low,
+    lead(low) OVER (ORDER BY low) AS high FROM bounds
+)
+SELECT r::INTEGER AS range, count(*) AS n_rows, min(l_orderkey) AS low
+FROM lineitem JOIN ranges ON l_orderkey >= ranges.low AND (high IS NULL OR l_orderkey < high)
+GROUP BY r
+"""
+
+
 def _dq_not_null() -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{t}' AS \"table\", '{k}' AS \"column\", count(*) AS row_count, "
@@ -432,6 +450,8 @@ def build() -> dict[str, str]:
         "dq_results_saved": _query(
             f"SELECT * EXCLUDE (observed) FROM ({_dq_report()})"
         ),
+        "dq_watched": _query(_dq_report()),
+        "jdbc_key_ranges": _KEY_RANGES,
         "dim_customer_read": _query(
             _portable("(SELECT * EXCLUDE (full_address) FROM customers)", ["account_balance"], []),
             "geo",

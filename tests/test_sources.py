@@ -1,3 +1,6 @@
+from datetime import date, datetime, timedelta
+
+import duckdb
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -153,3 +156,70 @@ def test_parquet_tables_are_conformed(spark, tables, tmp_path):
     got = files.read_parquet_table(spark, str(tmp_path), "orders")
     assert got.schema == tables["orders"].schema
     assert rows_of(got) == rows_of(tables["orders"])
+
+
+class SourceDatabase(FakeReader):
+    """Answers the pushed-down queries over a table of keys, in this process."""
+
+    def __init__(self, keys, kind="BIGINT"):
+        super().__init__()
+        self.db = duckdb.connect()
+        self.db.execute(f"CREATE TABLE t (k {kind})")
+        if keys:
+            self.db.executemany("INSERT INTO t VALUES (?)", [(k,) for k in keys])
+
+    def collect(self):
+        return self.db.execute(f"SELECT * FROM {self.queries[-1]}").fetchall()
+
+    def rows_per_range(self):
+        predicates = self.scan[3].get("predicates", ["TRUE"])
+        sums = [f"count(*) FILTER (WHERE {p})" for p in predicates]
+        meets = " + ".join(f"CASE WHEN {p} THEN 1 ELSE 0 END" for p in predicates)
+        counts = self.db.execute(f"SELECT {', '.join(sums)} FROM t").fetchone()
+        assert self.db.execute(f"SELECT count(*) FROM t WHERE {meets} <> 1").fetchone() == (0,)
+        return counts
+
+
+def split(keys, ranges, kind="BIGINT"):
+    reader = SourceDatabase(keys, kind)
+    jdbc.read_jdbc(reader, CONNECTION, "t", "k", num_partitions=ranges, equal_rows=True)
+    return reader
+
+
+def test_clustered_keys_are_split_by_rows():
+    keys = [*range(1000), *range(10**9, 10**9 + 3000), 10**12, -(10**15)]
+    reader = split(keys, 8)
+    counts = reader.rows_per_range()
+    assert len(counts) == 8 and max(counts) <= 2 * len(keys) / 8
+    assert len(reader.queries) == 2  # the histogram and the scan
+    wide = [0] * 8  # what equal widths would have done
+    width = (10**12 + 10**15) / 8
+    for k in keys:
+        wide[min(7, int((k + 10**15) // width))] += 1
+    assert max(wide) > 0.9 * len(keys)
+
+
+def test_repeated_and_missing_keys():
+    keys = [5] * 400 + list(range(400)) + [None] * 100
+    counts = split(keys, 8).rows_per_range()
+    assert sum(counts) == len(keys) and counts[0] == 100
+
+
+def test_other_kinds_of_keys():
+    days = [date(2024, 1, 1) + timedelta(days=i % 300) for i in range(1000)]
+    assert max(split(days, 5, "DATE").rows_per_range()) <= 400
+    names = [f"it's {i:04d}" for i in range(100)]
+    assert split(names, 4, "VARCHAR").rows_per_range() == (25, 25, 25, 25)
+    moments = [datetime(2024, 1, 1) + timedelta(seconds=7 * i) for i in range(90)]
+    assert split(moments, 3, "TIMESTAMP").rows_per_range() == (30, 30, 30)
+
+
+@pytest.mark.parametrize("keys", [[], [None] * 5, [3] * 50, [3], [3, None]])
+def test_tables_without_ranges(keys):
+    assert sum(split(keys, 4).rows_per_range()) == len(keys)
+
+
+def test_rows_that_come_later_are_read():
+    reader = split(range(100), 4)
+    reader.db.execute("INSERT INTO t VALUES (-50), (1000), (NULL)")
+    assert sum(reader.rows_per_range()) == 103

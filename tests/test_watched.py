@@ -1,0 +1,125 @@
+"""Checks that count while a table is written."""
+
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+from conftest import RUN_TS
+from pyspark.sql import functions as F
+
+from ledgerlake import schemas
+from ledgerlake.operators import quality
+from ledgerlake.plans import pipeline, snapshots
+from ledgerlake.plans.registry import REGISTRY
+
+ROOT = str(Path(__file__).resolve().parent.parent)
+
+#: A run in which every task fails once, after it has handed on its rows.
+FAILING = """
+import sys
+from datetime import datetime, timezone
+from pyspark import TaskContext
+from pyspark.sql import SparkSession
+from ledgerlake import schemas
+from ledgerlake.plans import pipeline
+from ledgerlake.plans.registry import REGISTRY
+
+spark = (SparkSession.builder.master("local[2, 3]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "3").getOrCreate())
+spark.sparkContext.setLogLevel("OFF")
+schema = schemas.source_schema("region")
+rows = spark.range(0, 90, 1, 5).selectExpr(
+    "if(id = 44, NULL, id) AS r_regionkey", "'x' AS r_name", "'y' AS r_comment")
+
+def fails_once(batches):
+    yield from batches
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("lost")
+
+rows = schemas.conform(rows.mapInArrow(fails_once, rows.schema), "region")
+try:
+    pipeline.run_table(spark, REGISTRY["region"], rows, sys.argv[1],
+                       datetime(2024, 1, 1, tzinfo=timezone.utc), rebalance=sys.argv[2] == "1",
+                       results_path=sys.argv[1] + "/checks")
+except Exception as error:
+    print("ERROR", error)
+print("SEEN", *[(r.observed, r.row_count)
+                for r in spark.read.parquet(sys.argv[1] + "/checks").collect()
+                if r.expectation.endswith("not_be_null")])
+"""
+
+
+def jobs_of(spark, action):
+    """How many Spark jobs an action starts."""
+    context = spark.sparkContext
+    context.setJobGroup("counted", "counted")
+    before = len(context.statusTracker().getJobIdsForGroup("counted"))
+    action()
+    after = len(context.statusTracker().getJobIdsForGroup("counted"))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    return after - before
+
+
+def test_one_job_reads_counts_and_writes(spark, tables, tmp_path):
+    def store():
+        pipeline.run_table(spark, REGISTRY["orders"], tables["orders"], str(tmp_path), RUN_TS)
+
+    assert jobs_of(spark, store) == 1
+    assert pipeline.read_table(spark, str(tmp_path), "orders").count() == 4
+
+
+@pytest.mark.parametrize("rebalance", ["0", "1"])
+def test_tasks_that_run_twice_count_once(tmp_path, rebalance):
+    found = subprocess.run(
+        [sys.executable, "-c", FAILING, str(tmp_path), rebalance], cwd=ROOT, text=True,
+        capture_output=True, timeout=180, env=os.environ | {"PYTHONPATH": ROOT},
+    )
+    assert "SEEN ('1 nulls', 90)" in found.stdout, found.stderr[-2000:]
+    assert "ERROR region: " in found.stdout
+    assert not [x for x in (tmp_path / "region").rglob("*.parquet")]
+
+
+@pytest.mark.parametrize("rebalance", [False, True])
+def test_same_results_as_reading(spark, tables, tmp_path, rebalance):
+    for table in schemas.SOURCE_TABLES:
+        rows = tables[table].unionByName(tables[table].limit(1))
+        watched = quality.watched(table)
+        path = f"{tmp_path}/{table}"
+        staged = snapshots.stage(rows, path, rebalance=rebalance, watch=watched.watch)
+        stamped = snapshots.stamp(spark.read.parquet(staged), RUN_TS)
+        assert quality.check(stamped, table, RUN_TS, watched=watched) == quality.check(
+            stamped, table, RUN_TS
+        )
+
+
+def test_empty_tables_and_columns_that_are_not_written(spark, tables, tmp_path):
+    for rows in (tables["region"].limit(0), tables["region"].filter("false")):
+        suite = {"region": quality.Suite(None, ("r_regionkey", schemas.STAMP, "gone"))}
+        watched = quality.watched("region", suite)
+        staged = snapshots.stage(rows, f"{tmp_path}/region", watch=watched.watch)
+        stamped = snapshots.stamp(
+            spark.read.schema(rows.schema).parquet(staged), RUN_TS
+        )
+        found = quality.check(stamped, "region", RUN_TS, suite, watched)
+        assert [(r[3], r[4], r[6]) for r in found] == [
+            ("r_regionkey", True, 0), (schemas.STAMP, True, 0), ("gone", False, 0)
+        ]
+
+
+def test_no_suite_counts_nothing(spark, tables, tmp_path):
+    watched = quality.watched("region", {})
+    rows = tables["region"]
+    assert watched.watch(rows) is rows
+    assert quality.check(rows, "region", RUN_TS, {}, watched) == []
+
+
+def test_nulls_are_seen(spark, tables, tmp_path):
+    rows = tables["orders"].withColumn(
+        "o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey"))
+    )
+    nulls = rows.filter("o_orderkey IS NULL").count()
+    with pytest.raises(quality.InvalidDataError, match=f"{nulls} nulls"):
+        pipeline.run_table(spark, REGISTRY["orders"], rows, str(tmp_path), RUN_TS)
+    assert snapshots.stored_snapshots(spark, f"{tmp_path}/orders") == {}
