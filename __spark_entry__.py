@@ -20,7 +20,7 @@ from pyspark.sql import types as T  # noqa: E402
 
 import oracles  # noqa: E402
 from ledgerlake import schemas  # noqa: E402
-from ledgerlake.operators import gold, interface, quality, silver  # noqa: E402
+from ledgerlake.operators import gold, interface, quality, references, silver  # noqa: E402
 from ledgerlake.plans import pipeline, snapshots  # noqa: E402
 from ledgerlake.plans.registry import HISTORICAL, REGISTRY, Options  # noqa: E402
 from ledgerlake.session import scratch_path  # noqa: E402
@@ -217,6 +217,44 @@ def _key_ranges(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _dq_orphans(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows without a parent for every foreign key of the eight tables."""
+    tables = Tables(spark, folder)
+    return references.orphan_report({t: tables.source(t) for t in schemas.SOURCE_TABLES})
+
+
+def _dq_orphans_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The order lines whose order is not of the first of the segments."""
+    tables = Tables(spark, folder)
+    built = tables.source("customer").filter("c_mktsegment = 'BUILDING'")
+    orders = tables.source("orders")
+    their = orders.join(built, orders["o_custkey"] == built["c_custkey"], "left_semi")
+    found = references.orphans(tables.source("lineitem"), "l_orderkey", their, "o_orderkey")
+    return found.select("l_orderkey", "l_linenumber")
+
+
+def _tbl_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as text in which some lines are damaged: rows read, and rejects by reason."""
+    orders = sample.load(spark, folder, "orders")
+    clean, path = scratch_path(spark, "orders.tbl"), scratch_path(spark, "damaged.tbl")
+    files.write_tbl(orders, clean)
+    key = F.split("value", r"\|")[0].cast("long")
+    spark.read.text(clean).select(
+        F.when(key % 13 == 0, F.regexp_replace("value", r"^(\d+\|\d+)\|.*$", "$1|"))
+        .when(key % 17 == 0, F.regexp_replace("value", r"^(\d+)\|(\d+)\|", "$1|x$2|"))
+        .otherwise(F.col("value"))
+        .alias("value")
+    ).write.text(path)
+    loaded = files.load_tbl(spark, path, "orders", scratch_path(spark, "rejects"), 0.5)
+    read = loaded.rows.select(F.lit("read").alias("reason"), F.col("o_orderkey").alias("key"))
+    rest = loaded.rejects.select("reason", F.split("line", r"\|")[0].cast("long").alias("key"))
+    return (
+        read.unionByName(rest)
+        .groupBy("reason")
+        .agg(F.count("*").alias("n_rows"), F.sum("key").alias("key_sum"))
+    )
+
+
 def _published_dashboard(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "dashboard")
     dashboard = interface.finance_dashboard(Tables(spark, folder).finance())
@@ -335,6 +373,9 @@ def queries() -> dict[str, Query]:
         "dq_results_saved": _dq_saved,
         "dq_watched": _dq_watched,
         "jdbc_key_ranges": _key_ranges,
+        "dq_orphans": _dq_orphans,
+        "dq_orphans_found": _dq_orphans_found,
+        "tbl_rejects": _tbl_rejects,
         "dim_customer_read": _read("dim_customer"),
         "dim_part_read": _read("dim_part"),
         "wide_order_details_read": _persisted("wide_order_details"),

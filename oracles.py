@@ -292,6 +292,32 @@ def _lines_query(body: str, **options) -> str:
     return _query(_LINES + body, "geo", "customers", "fct", **options).replace(")\n, lines", "),\nlines")
 
 
+_FOREIGN = (
+    ("supplier", "s_nationkey", "nation", "n_nationkey"),
+    ("customer", "c_nationkey", "nation", "n_nationkey"),
+    ("partsupp", "ps_partkey", "part", "p_partkey"),
+    ("partsupp", "ps_suppkey", "supplier", "s_suppkey"),
+    ("orders", "o_custkey", "customer", "c_custkey"),
+    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("lineitem", "l_partkey", "part", "p_partkey"),
+    ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+)
+
+
+def _dq_orphans() -> str:
+    pairs = "(SELECT DISTINCT l_partkey AS ps_partkey, l_suppkey AS ps_suppkey FROM lineitem)"
+    reports = []
+    for table, column, parent, key in _FOREIGN:
+        rows = pairs if table == "partsupp" else table
+        lost = f"{column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {parent})"
+        reports.append(
+            f"""SELECT '{table}' AS "table", '{column}' AS "column", '{parent}' AS parent,
+              count({column}) AS keyed_rows, count(*) FILTER (WHERE {lost}) AS orphan_rows,
+              count(DISTINCT {column}) FILTER (WHERE {lost}) AS orphan_keys FROM {rows}"""
+        )
+    return " UNION ALL ".join(reports)
+
+
 # Sixteen ranges by rows; one that begins within a key begins with the next one's rows.
 _KEY_RANGES = """
 WITH tiles AS (
@@ -452,6 +478,18 @@ def build() -> dict[str, str]:
         ),
         "dq_watched": _query(_dq_report()),
         "jdbc_key_ranges": _KEY_RANGES,
+        "dq_orphans": _dq_orphans(),
+        "dq_orphans_found": """
+            SELECT l_orderkey, l_linenumber FROM lineitem
+            WHERE l_orderkey NOT IN (
+              SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey
+              WHERE rtrim(c_mktsegment) = 'BUILDING')""",
+        "tbl_rejects": """
+            SELECT CASE WHEN o_orderkey % 13 = 0 THEN '2 fields, expected 9'
+                        WHEN o_orderkey % 17 = 0 THEN 'o_custkey is not bigint'
+                        ELSE 'read' END AS reason,
+                   count(*) AS n_rows, sum(o_orderkey)::BIGINT AS key_sum
+            FROM orders GROUP BY ALL""",
         "dim_customer_read": _query(
             _portable("(SELECT * EXCLUDE (full_address) FROM customers)", ["account_balance"], []),
             "geo",

@@ -1,0 +1,65 @@
+import pytest
+
+from ledgerlake import schemas
+from ledgerlake.operators import references
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def frame(spark, values, name):
+    return spark.createDataFrame([(v, i) for i, v in enumerate(values)], f"{name} long, row int")
+
+
+@pytest.mark.parametrize(
+    ("child", "parent"),
+    [
+        ([1, 2, 2, 3, None], [1, 2, 3]),
+        ([1, 2, 2, 9, None, 9], [1, 2, 3]),
+        ([5] * 50 + [40_000_000_000, -7], [5, 40_000_000_001, 7]),
+        ([32768, 32769, 0, 1], [1, 32768]),
+        ([], [1]),
+        ([1, 1, None], []),
+        ([None], [None, 3]),
+        (list(range(0, 200_000, 7)), list(range(0, 200_000, 14))),
+    ],
+)
+def test_orphans(spark, child, parent):
+    rows, keys = frame(spark, child, "fk"), frame(spark, parent, "pk").select("pk")
+    found = references.orphans(rows, "fk", keys, "pk")
+    assert found.columns == ["fk", "row"]
+    have = set(parent)
+    want = [(v, i) for i, v in enumerate(child) if v is not None and v not in have]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(want)
+    runs = references.runs_with_orphans(rows, "fk", keys, "pk").collect()
+    assert sum(r.orphan_keys for r in runs) == len({v for v, _ in want})
+
+
+def test_repeated_parents_do_not_repeat_orphans(spark):
+    rows, keys = frame(spark, [1, 2, 3], "fk"), frame(spark, [1, 1, 1, 2], "pk").select("pk")
+    assert [r.fk for r in references.orphans(rows, "fk", keys, "pk").collect()] == [3]
+
+
+def test_only_bitmaps_of_keys_are_shuffled_to_find_runs(spark):
+    rows, keys = frame(spark, range(100_000), "fk"), frame(spark, range(100_000), "pk")
+    runs = references.runs_with_orphans(rows.repartition(4), "fk", keys, "pk")
+    maps = references.key_bitmaps(rows, "fk")
+    assert runs.collect() == [] and maps.count() == 5
+    assert plan_of(runs).count("Join") == 0
+
+
+def test_report_of_all_foreign_keys(spark, tables):
+    tables = {t: tables[t] for t in schemas.SOURCE_TABLES}
+    got = {r["column"]: r for r in references.orphan_report(tables).collect()}
+    assert set(got) == set(schemas.FOREIGN_KEYS)
+    for column, (parent, key) in schemas.FOREIGN_KEYS.items():
+        child = next(t for t in tables if column in schemas.columns(t))
+        have = {r[0] for r in tables[parent].select(key).collect()}
+        held = [r[0] for r in tables[child].select(column).collect() if r[0] is not None]
+        lost = [v for v in held if v not in have]
+        r = got[column]
+        assert (r["table"], r["parent"]) == (child, parent)
+        assert (r["keyed_rows"], r["orphan_rows"], r["orphan_keys"]) == (
+            len(held), len(lost), len(set(lost))
+        )

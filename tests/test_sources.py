@@ -223,3 +223,50 @@ def test_rows_that_come_later_are_read():
     reader = split(range(100), 4)
     reader.db.execute("INSERT INTO t VALUES (-50), (1000), (NULL)")
     assert sum(reader.rows_per_range()) == 103
+
+
+@pytest.mark.parametrize("table", ["region", "orders", "lineitem"])
+def test_clean_text_has_no_rejects(spark, edge_tables, tmp_path, table):
+    files.write_tbl(edge_tables[table], f"{tmp_path}/t.tbl")
+    loaded = files.load_tbl(spark, f"{tmp_path}/t.tbl", table, f"{tmp_path}/rejects", 0.0)
+    assert rows_of(loaded.rows) == rows_of(files.read_tbl(spark, f"{tmp_path}/t.tbl", table))
+    assert (loaded.row_count, loaded.reject_count) == (edge_tables[table].count(), 0)
+    assert loaded.rejects.columns == ["file", "line", "reason"]
+
+
+BAD = ["2|", "x|B|d|", "3|C|e", "4|D|f|g|", "99999999999|E|h|", "|F||"]
+
+
+def test_bad_lines_are_kept_apart(spark, tmp_path):
+    folder = tmp_path / "region.tbl"
+    folder.mkdir()
+    (folder / "a").write_text("\n".join(["1|A|c|", "", *BAD]) + "\n")
+    (folder / "b").write_text("5|G|i|\n5|G|i|\n")
+    loaded = files.load_tbl(spark, str(folder), "region", f"{tmp_path}/rejects", 0.9)
+    assert sorted(rows_of(loaded.rows.select("r_regionkey")), key=repr) == sorted(
+        [(1,), (None,), (5,), (5,)], key=repr
+    )
+    found = {r.line: (r.file.endswith("/a"), r.reason) for r in loaded.rejects.collect()}
+    assert found == {
+        "2|": (True, "1 fields, expected 3"),
+        "x|B|d|": (True, "r_regionkey is not int"),
+        "3|C|e": (True, "2 fields, expected 3"),
+        "4|D|f|g|": (True, "4 fields, expected 3"),
+        "99999999999|E|h|": (True, "r_regionkey is not int"),
+    }
+    assert loaded.row_count == 9 and loaded.reject_count == 5
+    # whichever columns are used, the same lines are rows
+    assert loaded.rows.select("r_name").count() == loaded.rows.count() == 4
+
+
+def test_too_many_rejects(spark, tmp_path):
+    (tmp_path / "r.tbl").write_text("1|A|c|\n2|\n")
+    with pytest.raises(files.TooManyRejectsError, match="1 of 2"):
+        files.load_tbl(spark, f"{tmp_path}/r.tbl", "region", f"{tmp_path}/rejects", 0.4)
+    assert spark.read.parquet(f"{tmp_path}/rejects").count() == 1
+
+
+def test_no_lines(spark, tmp_path):
+    (tmp_path / "r.tbl").write_text("")
+    loaded = files.load_tbl(spark, f"{tmp_path}/r.tbl", "region", f"{tmp_path}/rejects")
+    assert (loaded.rows.count(), loaded.row_count, loaded.rejects.count()) == (0, 0, 0)
