@@ -165,6 +165,17 @@ def _snapshot_merged(spark: SparkSession, folder: str) -> DataFrame:
     return snapshots.read(spark, path, merge_schema=True, every_snapshot=True)
 
 
+def _snapshot_clustered(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact stored for filters on date and customer, and some days of some customers."""
+    path = scratch_path(spark, "fct_orders")
+    fct = Tables(spark, folder).fct()
+    run_ts = datetime.now(timezone.utc)
+    snapshots.write_snapshot(fct, path, run_ts, cluster_by=("order_date", "customer_key"))
+    stored = snapshots.read(spark, path, fct.schema)
+    days = F.col("order_date").between(F.lit(date(1995, 3, 1)), F.lit(date(1996, 2, 28)))
+    return stored.filter(days & F.col("customer_key").between(100, 400))
+
+
 def _tbl(table: str) -> Query:
     """Write a table as delimited text and read it back."""
 
@@ -368,6 +379,7 @@ def queries() -> dict[str, Query]:
         "snapshot_by_partition": _snapshot_by_partition,
         "snapshot_compacted": _snapshot_compacted,
         "snapshot_merged_schema": _snapshot_merged,
+        "snapshot_clustered": _snapshot_clustered,
         "tbl_orders": _tbl("orders"),
         "tbl_lineitem": _tbl("lineitem"),
         "dq_results_saved": _dq_saved,

@@ -99,17 +99,21 @@ def run_table(
     fmt: str = "parquet",
     suites: dict[str, quality.Suite] | None = None,
     results_path: str | None = None,
+    cluster: dict[str, tuple[str, ...]] | None = None,
 ) -> None:
     """Stage, check what was staged, put it in place, and only then drop older snapshots.
 
     One job reads the source, counts what the checks need and writes; what is checked is what is
     stored, and it is not read again. ``rebalance`` evens out the
-    files of source tables, whose task sizes the source decides. ``keep`` snapshots stay.
+    files of source tables, whose task sizes the source decides. ``cluster`` names, per table, the
+    columns whose filters shall skip files; their quantiles take one more pass. ``keep`` snapshots
+    stay.
     """
     path, even = spec.path(root), rebalance and spec.transform is None
     if snapshots.is_file_format(fmt):
         watched = quality.watched(spec.name, suites)
-        staged = snapshots.stage(computed, path, fmt, even, watched.watch)
+        by = (cluster or {}).get(spec.name, ())
+        staged = snapshots.stage(computed, path, fmt, even, watched.watch, by)
         rows = spark.read.format(fmt).schema(computed.drop(schemas.STAMP).schema).load(staged)
         try:
             stamped = snapshots.stamp(rows, run_ts)

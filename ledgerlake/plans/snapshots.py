@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.plans.clustering import clustered
 from ledgerlake.schemas import STAMP
 
 PARTITION_KEYS = (STAMP,)
@@ -87,17 +88,23 @@ def stage(
     fmt: str = "parquet",
     rebalance: bool = False,
     watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    cluster_by: tuple[str, ...] = (),
 ) -> str:
     """Write a table's rows beside its snapshots, where no reader looks; the staging folder.
 
     ``rebalance`` evens file sizes out with one more shuffle: worth it after a read with few or
-    uneven tasks, not after a join or aggregation, whose partitions are sized already. ``watch``
-    sees the rows as they are written, after the last shuffle.
+    uneven tasks, not after a join or aggregation, whose partitions are sized already. ``cluster_by``
+    lays them out for filters on those columns instead. ``watch`` sees the rows as they are
+    written, after the last shuffle.
     """
     folder = f"{path.rstrip('/')}/_staged-{uuid.uuid4().hex}"
     rows = df.drop(STAMP)
     try:
-        watch(rows.hint("rebalance") if rebalance else rows).write.format(fmt).save(folder)
+        if cluster_by:
+            rows = clustered(rows, cluster_by)
+        elif rebalance:
+            rows = rows.hint("rebalance")
+        watch(rows).write.format(fmt).save(folder)
     except Exception:
         discard(df.sparkSession, folder)
         raise
@@ -120,7 +127,12 @@ def install(spark: SparkSession, staged: str, path: str, stamp_us: int) -> None:
 
 
 def write_snapshot(
-    df: DataFrame, path: str, run_ts: datetime, rebalance: bool = False, fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    run_ts: datetime,
+    rebalance: bool = False,
+    fmt: str = "parquet",
+    cluster_by: tuple[str, ...] = (),
 ) -> None:
     """Store ``df`` as the snapshot of ``run_ts``; other snapshots of the table stay.
 
@@ -128,7 +140,8 @@ def write_snapshot(
     without rows has a snapshot, too: a file without rows.
     """
     if is_file_format(fmt):
-        install(df.sparkSession, stage(df, path, fmt, rebalance), path, micros(run_ts))
+        staged = stage(df, path, fmt, rebalance, cluster_by=cluster_by)
+        install(df.sparkSession, staged, path, micros(run_ts))
         return
     rows = stamp(df.hint("rebalance") if rebalance else df, run_ts)
     writer = rows.write.format(fmt).mode("overwrite").partitionBy(*PARTITION_KEYS)

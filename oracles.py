@@ -471,6 +471,15 @@ def build() -> dict[str, str]:
                 [],
             )
         ),
+        "snapshot_clustered": _query(
+            _portable(
+                "(SELECT * FROM fct WHERE order_date BETWEEN '1995-03-01' AND '1996-02-28'"
+                " AND customer_key BETWEEN 100 AND 400)",
+                _FCT_MONEY,
+                _FCT_DATES,
+            ),
+            "fct",
+        ),
         "tbl_orders": bronze["orders"],
         "tbl_lineitem": bronze["lineitem"],
         "dq_results_saved": _query(

@@ -1,0 +1,99 @@
+from datetime import date, timedelta
+
+import pyarrow.parquet as pq
+import pytest
+from conftest import RUN_TS, rows_of
+from pyspark.sql import functions as F
+
+from ledgerlake.plans import clustering, pipeline, snapshots
+from ledgerlake.plans.registry import REGISTRY
+
+
+@pytest.fixture(scope="module")
+def fact(spark):
+    """40,000 lines; a third of them of one customer, and some without a date."""
+    return spark.range(40_000).select(
+        F.col("id").alias("order_key"),
+        F.when(F.col("id") % 997 != 0, F.expr("date_add(DATE'2020-01-01', "
+               "CAST(pmod(xxhash64(id), 2000) AS int))")).alias("order_date"),
+        F.when(F.col("id") % 3 == 0, 77)
+        .otherwise(F.expr("pmod(xxhash64(id, 5), 5000)"))
+        .cast("long").alias("customer_key"),
+    )
+
+
+def overlapping(folder, column, low, high):
+    """Files whose statistics do not rule the range out."""
+    found = []
+    for file in sorted(folder.rglob("*.parquet")):
+        meta = pq.ParquetFile(file).metadata
+        at = meta.schema.names.index(column)
+        stats = [meta.row_group(i).column(at).statistics for i in range(meta.num_row_groups)]
+        stats = [s for s in stats if s.has_min_max]
+        if any(s.min <= high and s.max >= low for s in stats):
+            found.append(file)
+    return found
+
+
+def test_files_are_skipped_on_both_columns(spark, fact, tmp_path):
+    by = ("order_date", "customer_key")
+    clustering.clustered(fact, by, parts=64).write.parquet(f"{tmp_path}/curve")
+    fact.repartitionByRange(64, "order_date", "order_key").write.parquet(f"{tmp_path}/sorted")
+    fact.repartition(64).write.parquet(f"{tmp_path}/plain")
+    days = date(2021, 5, 1), date(2021, 5, 1) + timedelta(days=60)
+    read = {
+        layout: (
+            len(overlapping(tmp_path / layout, "order_date", *days)),
+            len(overlapping(tmp_path / layout, "customer_key", 3000, 3100)),
+        )
+        for layout in ("curve", "sorted", "plain")
+    }
+    assert read["plain"] == (64, 64)
+    assert read["sorted"][1] == 64  # sorting by one column leaves the other everywhere
+    assert read["curve"][0] <= 20 and read["curve"][1] <= 20, read
+    rows = spark.read.parquet(f"{tmp_path}/curve")
+    assert rows_of(rows) == rows_of(fact)
+
+
+def test_a_hot_customer_is_spread(fact, tmp_path):
+    parts = clustering.clustered(fact, ("customer_key",), parts=16)
+    sizes = parts.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 16 and max(r["count"] for r in sizes) < 2 * 40_000 / 16
+
+
+@pytest.mark.parametrize("bits", [1, 3])
+def test_places_interleave_the_buckets(spark, bits):
+    n = 1 << bits
+    grid = spark.range(n * n).selectExpr(f"id div {n} AS a", f"id % {n} AS b")
+    bounds = [list(range(1, n))] * 2
+    rows = clustering.placed(grid, ("a", "b"), bounds, bits).collect()
+    got = {(r.a, r.b): r[clustering.PLACE] for r in rows}
+
+    def mixed(a, b):
+        bit = [(a >> i & 1) << 2 * i + 1 | (b >> i & 1) << 2 * i for i in range(bits)]
+        return sum(bit)
+
+    assert got == {(a, b): mixed(a, b) for a in range(n) for b in range(n)}
+
+
+def test_few_or_no_values(spark, fact, tmp_path):
+    by = ("order_date", "customer_key")
+    for i, rows in enumerate((fact.limit(0), fact.limit(1), fact.withColumn(
+            "order_date", F.lit(None).cast("date")).limit(50))):
+        clustering.clustered(rows, by).write.parquet(f"{tmp_path}/{i}")
+        assert spark.read.parquet(f"{tmp_path}/{i}").count() == rows.count()
+
+
+def test_text_is_refused(spark):
+    with pytest.raises(ValueError, match="clustered by name"):
+        clustering.clustered(spark.range(1).selectExpr("'x' AS name"), ("name",))
+
+
+def test_clustered_tables_in_a_run(spark, tables, tmp_path):
+    how = {"cluster": {"orders": ("o_orderdate", "o_custkey")}}
+    pipeline.run_table(
+        spark, REGISTRY["orders"], tables["orders"], str(tmp_path), RUN_TS, **how
+    )
+    stored = pipeline.read_table(spark, str(tmp_path), "orders")
+    assert stored.count() == tables["orders"].count()
+    assert len(snapshots.stored_snapshots(spark, REGISTRY["orders"].path(str(tmp_path)))) == 1
