@@ -7,6 +7,7 @@ listed further.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
@@ -26,6 +27,10 @@ FILE_FORMATS = ("parquet", "orc")
 TABLE_FORMATS = ("delta", "iceberg", "hudi")  # these keep their own history
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 _PREFIX = f"{STAMP}="
+#: Bytes of a file that compaction makes, at most.
+TARGET_BYTES = 128 << 20
+#: What a swap of files is about to do; readers skip names that begin like this.
+_NOTE = "_swap.json"
 
 
 def is_file_format(fmt: str) -> bool:
@@ -215,6 +220,8 @@ def read(
             folders = list(stored.values())
         else:
             folders = [stored[max(stored)]]
+        for folder in folders:
+            finish_swap(spark, folder)
         rows = _load(spark, path, schema, fmt, merge_schema, folders)
     else:
         rows = _load(spark, path, schema, fmt, merge_schema)
@@ -226,17 +233,97 @@ def read(
     return rows.select(*columns) if columns else rows
 
 
+def _data_files(spark: SparkSession, folder: str) -> dict[str, int]:
+    """The files of a snapshot by name, and their bytes."""
+    fs, location = _hadoop(spark, folder)
+    found = {f.getPath().getName(): f.getLen() for f in fs.listStatus(location)}
+    return {name: size for name, size in found.items() if name[0] not in "_."}
+
+
+def bins_of_small_files(sizes: dict[str, int], target: int) -> list[list[str]]:
+    """Files of less than half the target, in groups of at most the target (first fit, large first).
+
+    A file that finds no company stays as it is, and so do all larger ones.
+    """
+    bins: list[tuple[int, list[str]]] = []
+    for name in sorted(sizes, key=lambda n: (-sizes[n], n)):
+        if 2 * sizes[name] >= target:
+            continue
+        for i, (filled, names) in enumerate(bins):
+            if filled + sizes[name] <= target:
+                bins[i] = (filled + sizes[name], [*names, name])
+                break
+        else:
+            bins.append((sizes[name], [name]))
+    return [names for _, names in bins if len(names) > 1]
+
+
+def _merge(
+    spark: SparkSession, path: str, folder: str, bins: list[list[str]], rows_of, fmt: str
+) -> str:
+    """One file for each bin, written where no reader looks."""
+    names = [(name, i) for i, own in enumerate(bins) for name in own]
+    numbers = spark.createDataFrame(names, "_file string, _bin int")
+    small = rows_of([f"{folder}/{name}" for name, _ in names])
+    rows = small.withColumn("_file", F.col("_metadata.file_name")).join(
+        F.broadcast(numbers), "_file"  # a row per small file of one snapshot
+    )
+    merged = rows.repartitionById(len(bins), "_bin").drop("_file", "_bin", STAMP)
+    staged = f"{path.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+    try:
+        merged.write.format(fmt).save(staged)
+    except Exception:
+        discard(spark, staged)
+        raise
+    return staged
+
+
+def _swap_files(spark: SparkSession, folder: str, staged: str, old: list[str]) -> None:
+    """Put staged files in the place of old ones: noted first, so that it can be finished later."""
+    note = {"staged": staged, "add": sorted(_data_files(spark, staged)), "drop": old}
+    fs, at = _hadoop(spark, f"{staged}/{_NOTE}")
+    out = fs.create(at)
+    out.write(json.dumps(note).encode())
+    out.close()
+    _, noted = _hadoop(spark, f"{folder}/{_NOTE}")
+    if not fs.rename(at, noted):
+        raise OSError(f"{folder}: its merged files could not be noted")
+    finish_swap(spark, folder)
+
+
+def finish_swap(spark: SparkSession, folder: str) -> None:
+    """Finish a swap of files that was noted but interrupted; readers do so before they list."""
+    fs, noted = _hadoop(spark, f"{folder}/{_NOTE}")
+    if not fs.exists(noted):
+        return
+    stream = fs.open(noted)
+    note = json.loads(bytes(stream.readAllBytes()))
+    stream.close()
+    for name in note["drop"]:
+        discard(spark, f"{folder}/{name}")
+    for name in note["add"]:
+        _, source = _hadoop(spark, f"{note['staged']}/{name}")
+        _, target = _hadoop(spark, f"{folder}/{name}")
+        if fs.exists(source) and not fs.rename(source, target):
+            raise OSError(f"{source} could not be renamed to {target}")
+    fs.delete(noted, False)
+    discard(spark, note["staged"])
+
+
 def compact(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
     stamp_us: int | None = None,
     fmt: str = "parquet",
+    target_bytes: int = TARGET_BYTES,
 ) -> None:
-    """Rewrite one snapshot (the newest by default) into evenly sized files.
+    """Merge the small files of one snapshot (the newest by default); large ones are not touched.
 
-    The new files are staged while the old ones are read, and take their place when all are
-    written. A table format compacts itself.
+    Files under half of ``target_bytes`` are grouped into bins of that size, and each bin becomes
+    one file, staged while the old ones are read. Until all are written nothing changes; the
+    swap is noted before it begins and finished by the next reader if it is interrupted. A table
+    format compacts itself.
     """
     if not is_file_format(fmt):
         spark.sql(f"OPTIMIZE {fmt}.`{path}`")
@@ -245,8 +332,14 @@ def compact(
     stamp_us = max(stored, default=None) if stamp_us is None else stamp_us
     if stamp_us not in stored:
         return
-    rows = _load(spark, path, schema, fmt, False, [stored[stamp_us]])
-    install(spark, stage(rows, path, fmt, rebalance=True), path, stamp_us)
+    folder = stored[stamp_us]
+    finish_swap(spark, folder)
+    bins = bins_of_small_files(_data_files(spark, folder), target_bytes)
+    if bins:
+        staged = _merge(
+            spark, path, folder, bins, lambda f: _load(spark, path, schema, fmt, False, f), fmt
+        )
+        _swap_files(spark, folder, staged, [name for own in bins for name in own])
 
 
 def retain(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
