@@ -11,6 +11,7 @@ import __spark_entry__ as entry
 from ledgerlake.llm import best_fit_packing as packing
 
 TOKENIZER = Tokenizer.from_file(packing.MODEL)
+ENCODER = packing.Encoder(packing.MODEL)
 
 
 def ids_of(text):
@@ -56,8 +57,7 @@ def test_words_give_the_ids_of_the_text(encoder, text):
     st.sampled_from("abcXYZ019 .,;'-\n\t<|>́̈ éß"),
 ), max_size=60))
 def test_any_text(text):
-    encoder = packing.Encoder(packing.MODEL)
-    got = np.frombuffer(encoder.encode([text.encode()])[0], dtype="<u4").tolist()
+    got = np.frombuffer(ENCODER.encode([text.encode()])[0], dtype="<u4").tolist()
     assert [*got, 0] == ids_of(text)
 
 
