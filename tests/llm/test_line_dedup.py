@@ -2,6 +2,8 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from ledgerlake.llm import line_dedup as L
 
@@ -12,12 +14,14 @@ def test_index_is_minimal_and_perfect():
         keys = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
         counts = rng.integers(1, 9, len(keys))
         keepers = rng.integers(-5, 10**12, len(keys))
-        index = L.ShardIndex(keys, counts, keepers)
+        index = L.ShardIndex.build(keys, counts, keepers)
         assert sorted(index.slots(keys).tolist()) == list(range(len(keys)))
         found, kept = index.lookup(keys)
         assert found.tolist() == counts.tolist() and kept.tolist() == keepers.tolist()
         strange = rng.integers(0, 2**64, 1000, dtype=np.uint64)
         assert (index.lookup(strange)[0] == 0).all()
+        again = L.ShardIndex.of(index.arrays())
+        assert all((a == b).all() for a, b in zip(again.lookup(keys), (found, kept), strict=True))
 
 
 def test_keys():
@@ -40,7 +44,8 @@ def corpus():
 
 
 def test_equals_brute_force(documents, clashing, monkeypatch):
-    monkeypatch.setattr(L, "BLOCK_DOCS", 10)
+    monkeypatch.setattr(L, "SHARD_KEYS", 4)
+    monkeypatch.setattr(L, "OPEN_BYTES", 1)
     docs = corpus()
     got = L.deduplicate(documents(docs, clashing)).collect()
     assert sorted((r.row.doc_id, r.n_lines, r.n_dropped, r.kept) for r in got) == sorted(
@@ -48,6 +53,48 @@ def test_equals_brute_force(documents, clashing, monkeypatch):
     )
 
 
+def test_the_stored_arrays_decide(documents, spark, monkeypatch):
+    """Other counts in the stored index, and no line goes."""
+    docs = documents([(i, "a line that several documents share") for i in range(4)])
+    assert sum(r.n_dropped for r in L.deduplicate(docs).collect()) == 3
+    build = L.build_index
+
+    def emptied(rows):
+        folder, shards = build(rows)
+        index = L.Index(folder, shards)
+        for shard in range(shards):
+            own = index._open(shard)
+            arrays = {name: getattr(own, name).copy() for name in own.ARRAYS}
+            arrays["counts"][:] = 0
+            batch = L.ShardIndex(arrays).arrays()
+            with pa.OSFile(L._shard_path(index.root, shard), "wb") as out:
+                with pa.ipc.new_file(out, batch.schema) as writer:
+                    writer.write_batch(batch)
+        return folder, shards
+
+    monkeypatch.setattr(L, "build_index", emptied)
+    assert sum(r.n_dropped for r in L.deduplicate(docs).collect()) == 0
+
+
+def test_ids_count_not_rows(documents):
+    line = "a line that several documents share"
+    rows = [(1, line), (1, line), (1, f"{line} "), (2, line)]
+    assert [r.n_dropped for r in L.deduplicate(documents(rows)).collect()] == [0] * 4
+    with_a_third = L.deduplicate(documents([*rows, (3, line)])).collect()
+    assert sorted((r.row.doc_id, r.n_dropped) for r in with_a_third) == [
+        (1, 1), (1, 1), (1, 1), (2, 1), (3, 0),
+    ]
+    with pytest.raises(ValueError):
+        L.deduplicate(documents(rows), min_docs=1)
+
+
+def test_a_line_in_every_document(documents):
+    line = "a line that every document holds"
+    docs = [(i % 2500, line) for i in range(5000)] + [(9999, "long " * 100_000 + "\n" + line)]
+    got = L.deduplicate(documents(docs)).collect()
+    assert len(got) == 5001 and sum(r.n_dropped for r in got) == 5000
+
+
 def test_repeated_rows_and_null_ids(documents):
     line = "a line that several documents share"
     rows = [(1, line), (1, line), (2, f"{line}\nown"), (None, line), (None, line)]
