@@ -2,11 +2,17 @@
 
 Records are keyed by the digest of their payload. Headers alone are shuffled by digest; of equal
 payloads the record with the smallest id is the response and the others are revisits of it. The
-archives are then written anew: each record is one gzip member with fresh headers, responses with
-their payload, revisits without. A manifest lists the files that finished tasks left, and reading
-goes by the manifest, so files of lost or repeated tasks are never read.
+archives are then written anew: each record is one gzip member with fresh headers and the HTTP
+headers of its page, responses with their payload, revisits without. A revisit names the id, URI
+and date of the record it refers to, so that any reader of the format can follow it. A manifest
+lists the files that finished tasks left, and reading goes by the manifest, so files of lost or
+repeated tasks are never read.
 
-Defined results: a null payload is the empty payload. Records whose payload is shorter than
+Record ids derive from id, URL and digest, and all records have the date of the run, so a task
+that runs again writes the same records.
+
+Defined results: a null payload is the empty payload. Rows that are equal throughout give records
+with the same record id. Where the response's id has several URLs, revisits name the smallest. Records whose payload is shorter than
 ``least`` bytes are all responses. Repeated rows (one id twice) are all written; a record with
 the response's id is a response, and so is one without an id. An empty table makes no file.
 Other columns do not matter.
@@ -19,7 +25,7 @@ import gzip
 import hashlib
 import io
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from datetime import datetime, timezone
 
 import pyarrow as pa
@@ -35,8 +41,10 @@ FILE_BYTES = 64 << 20
 GZIP_LEVEL = 2
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # RFC 4122's for URLs
+DATE = "%Y-%m-%dT%H:%M:%SZ"
+HTTP_TYPE = "application/http; msgtype=response"
 
-HEADERS = "page_id long, payload_bytes long, payload_digest string"
+HEADERS = "page_id long, url string, payload_bytes long, payload_digest string"
 MANIFEST = "file string, n_records long, file_bytes long"
 RECORDS = (
     "page_id long, record_type string, url string, payload_bytes long, payload_digest string,"
@@ -51,26 +59,28 @@ def digest_of(payload: bytes) -> str:
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        payloads = [html or b"" for html in batch.column(1).to_pylist()]
+        payloads = [html or b"" for html in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
+                batch.column(1),
                 pa.array(map(len, payloads), pa.int64()),
                 pa.array(map(digest_of, payloads), pa.string()),
             ],
-            ["page_id", "payload_bytes", "payload_digest"],
+            ["page_id", "url", "payload_bytes", "payload_digest"],
         )
 
 
 def headers(pages: DataFrame) -> DataFrame:
-    """The payload headers of ``pages`` (page_id, html)."""
+    """The payload headers of ``pages`` (page_id, url, html)."""
     return pages.select(
-        F.col("page_id").cast("long"), F.col("html").cast("binary").alias("html")
+        F.col("page_id").cast("long"), "url", F.col("html").cast("binary").alias("html")
     ).mapInArrow(_measured, HEADERS)
 
 
 def resolve(found: DataFrame, least: int = 0) -> DataFrame:
-    """The records of ``found`` headers that revisit another: id, digest and refers_to.
+    """The records of ``found`` headers that revisit another: id, digest, and the original's id
+    (refers_to) and URL (refers_to_url).
 
     The first id per digest is aggregated before the shuffle, so a payload shared by a third of
     all records costs one row per task. Both sides of the join come from plain exchanges, which
@@ -83,38 +93,64 @@ def resolve(found: DataFrame, least: int = 0) -> DataFrame:
         .filter("n > 1")
         .drop("n")
     )
+    first = stored(first, "warc-first")
+    key = ["payload_digest", "payload_bytes"]
+    originals = (
+        first.join(found, key)
+        .filter("page_id = first_id")
+        .groupBy(*key, "first_id")
+        .agg(F.min(F.coalesce("url", F.lit(""))).alias("refers_to_url"))
+    )
     return (
-        found.join(stored(first, "warc-first"), ["payload_digest", "payload_bytes"])
+        found.select("page_id", *key)
+        .join(originals, key)
         .filter("page_id <> first_id")
-        .select("page_id", "payload_digest", F.col("first_id").alias("refers_to"))
+        .select(
+            "page_id", "payload_digest", F.col("first_id").alias("refers_to"), "refers_to_url"
+        )
         .distinct()  # an id may repeat with the same payload
     )
 
 
+def record_id(page_id: int | None, url: str | None, payload_digest: str) -> str:
+    own = "" if page_id is None else page_id
+    return f"<urn:uuid:{uuid.uuid5(RECORD_SPACE, f'{own} {payload_digest} {url or ""}')}>"
+
+
 def record(
     page_id: int | None,
     url: str | None,
     payload: bytes,
     payload_digest: str,
-    refers_to: int | None,
+    original: tuple[int, str] | None,
     now: str,
 ) -> bytes:
-    """One record as a gzip member."""
-    body = payload if refers_to is None else b""
+    """One record as a gzip member; ``original`` is the id and URL of the record it revisits."""
+    http = (
+        "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
+        f"Content-Length: {len(payload)}\r\n\r\n"
+    ).encode()
+    body = http + payload if original is None else http
     lines = [
         "WARC/1.1",
-        f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>",
+        f"WARC-Type: {'response' if original is None else 'revisit'}",
+        f"WARC-Record-ID: {record_id(page_id, url, payload_digest)}",
         f"WARC-Date: {now}",
         f"WARC-Target-URI: {_header(url)}",
         f"WARC-Payload-Digest: sha1:{payload_digest}",
         f"X-Page-ID: {'' if page_id is None else page_id}",
-        f"X-Payload-Length: {len(payload)}",
-        "Content-Type: text/html; charset=utf-8",
+        f"Content-Type: {HTTP_TYPE}",
         f"Content-Length: {len(body)}",
     ]
-    if refers_to is not None:
-        lines += [f"WARC-Profile: {PROFILE}", f"X-Refers-To-Page-ID: {refers_to}"]
+    if original is not None:
+        refers_to, refers_to_url = original
+        lines += [
+            f"WARC-Profile: {PROFILE}",
+            f"WARC-Refers-To: {record_id(refers_to, refers_to_url, payload_digest)}",
+            f"WARC-Refers-To-Target-URI: {_header(refers_to_url)}",
+            f"WARC-Refers-To-Date: {now}",
+            f"X-Refers-To-Page-ID: {refers_to}",
+        ]
     head = "\r\n".join(lines).encode() + b"\r\n\r\n"
     return gzip.compress(head + body + b"\r\n\r\n", GZIP_LEVEL, mtime=0)
 
@@ -130,10 +166,9 @@ def _value(header: str) -> str:
     return header
 
 
-def _writer(folder: str):
+def _writer(folder: str, now: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
-        now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
         out, path, n, size = None, "", 0, 0
 
         def finished() -> pa.RecordBatch:
@@ -146,14 +181,15 @@ def _writer(folder: str):
 
         for batch in batches:
             columns = (batch.column(i).to_pylist() for i in range(batch.num_columns))
-            for page_id, url, html, refers_to, payload_digest in zip(*columns, strict=True):
+            for page_id, url, html, refers_to, other, digest in zip(*columns, strict=True):
                 if out is None:
                     # The name is new for every attempt; only the manifest makes a file count.
                     path, n, size = f"{root}/{uuid.uuid4().hex}.warc.gz", 0, 0
                     store.create_dir(root, recursive=True)
-                    out = store.open_output_stream(path)
+                    out = store.open_output_stream(path, compression=None)
                 payload = html or b""
-                member = record(page_id, url, payload, payload_digest, refers_to, now)
+                original = None if refers_to is None else (refers_to, other)
+                member = record(page_id, url, payload, digest, original, now)
                 out.write(member)
                 n, size = n + 1, size + len(member)
                 if size >= FILE_BYTES:
@@ -168,7 +204,8 @@ def _writer(folder: str):
 def write_archives(pages: DataFrame, revisits: DataFrame, folder: str) -> DataFrame:
     """Write ``pages`` (page_id, url, html) as archives in ``folder``; the manifest of files.
 
-    ``revisits`` has page_id, payload_digest and refers_to of the records that become revisits.
+    ``revisits`` has page_id, payload_digest, refers_to and refers_to_url of the records that
+    become revisits.
     """
     rows = pages.select(
         F.col("page_id").cast("long"), "url", F.col("html").cast("binary").alias("html")
@@ -176,9 +213,10 @@ def write_archives(pages: DataFrame, revisits: DataFrame, folder: str) -> DataFr
         _with_digest, "page_id long, url string, html binary, payload_digest string"
     )
     named = rows.join(revisits, ["page_id", "payload_digest"], "left").select(
-        "page_id", "url", "html", "refers_to", "payload_digest"
+        "page_id", "url", "html", "refers_to", "refers_to_url", "payload_digest"
     )
-    return stored(named.mapInArrow(_writer(folder), MANIFEST), "warc-manifest")
+    now = datetime.now(timezone.utc).strftime(DATE)
+    return stored(named.mapInArrow(_writer(folder, now), MANIFEST), "warc-manifest")
 
 
 def _with_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,16 +235,24 @@ def records_in(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], byte
         while line := reader.readline():
             if line.strip() != b"WARC/1.1":
                 raise ValueError(f"a record begins with {line[:40]!r}")
-            found = {}
-            while line := reader.readline().rstrip(b"\r\n"):
-                name, _, value = line.decode().partition(": ")
-                found[name.lower()] = value
+            found = _named(iter(reader.readline, b"\r\n"))
             body = reader.read(int(found["content-length"]))
             if reader.read(4) != b"\r\n\r\n":
                 raise ValueError("a record's length is not that of its header")
             yield found, body
 
 
+def _named(lines: Iterable[bytes]) -> dict[str, str]:
+    parts = (line.decode().rstrip("\r\n").partition(": ") for line in lines)
+    return {name.lower(): value for name, _, value in parts}
+
+
+def http_parts(block: bytes) -> tuple[dict[str, str], bytes]:
+    """The HTTP headers (lower-case names) of a record's block, and what follows them."""
+    head, _, body = block.partition(b"\r\n\r\n")
+    return _named(head.split(b"\r\n")[1:]), body
+
+
 def _reader(folder: str, payloads: bool):
     def number(value: str | None) -> int | None:
         return int(value) if value else None
@@ -227,9 +273,10 @@ def _reader(folder: str, payloads: bool):
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 rows, held = [], 0
-                with store.open_input_stream(path) as stream:
+                with store.open_input_stream(path, compression=None) as stream:
                     for found, body in records_in(stream):
                         response = found["warc-type"] == "response"
+                        http, body = http_parts(body)
                         if response and digest_of(body) != found["warc-payload-digest"][5:]:
                             raise ValueError(f"a payload in {path} is not what was written")
                         rows.append(
@@ -237,7 +284,7 @@ def _reader(folder: str, payloads: bool):
                                 number(found["x-page-id"]),
                                 found["warc-type"],
                                 _value(found["warc-target-uri"]),
-                                int(found["x-payload-length"]),
+                                int(http["content-length"]),
                                 found["warc-payload-digest"].removeprefix("sha1:"),
                                 number(found.get("x-refers-to-page-id")),
                                 body if payloads and response else None,
@@ -272,5 +319,5 @@ def deduplicate(
     folder = folder or scratch_path(spark, "warc")
     if "://" not in folder and not folder.startswith("file:"):
         folder = f"file://{folder}"
-    revisits = resolve(headers(pages), least)
+    revisits = resolve(stored(headers(pages), "warc-headers"), least)
     return write_archives(pages, revisits, folder), folder

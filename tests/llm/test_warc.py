@@ -67,9 +67,48 @@ def test_empty_table(spark):
 
 def test_records_are_gzip_members():
     one = W.record(1, "u", b"abc", W.digest_of(b"abc"), None, "2024-01-01T00:00:00Z")
-    two = W.record(2, "v", b"abc", W.digest_of(b"abc"), 1, "2024-01-01T00:00:00Z")
+    two = W.record(2, "v", b"abc", W.digest_of(b"abc"), (1, "u"), "2024-01-01T00:00:00Z")
+    assert one == W.record(1, "u", b"abc", W.digest_of(b"abc"), None, "2024-01-01T00:00:00Z")
     assert gzip.decompress(two).startswith(b"WARC/1.1\r\nWARC-Type: revisit\r\n")
     (first, body), (second, none) = W.records_in(io.BytesIO(one + two))
-    assert (first["x-page-id"], body, none) == ("1", b"abc", b"")
+    assert (first["x-page-id"], W.http_parts(body)[1], W.http_parts(none)[1]) == ("1", b"abc", b"")
     assert second["x-refers-to-page-id"] == "1"
-    assert first["warc-record-id"] != second["warc-record-id"]
+    assert second["warc-refers-to"] == first["warc-record-id"] != second["warc-record-id"]
+
+
+def plain_records(data):
+    """The records of an archive by the format's text alone: headers and block."""
+    data, out = gzip.decompress(data), []
+    while data:
+        head, rest = data.split(b"\r\n\r\n", 1)
+        version, *lines = head.decode().split("\r\n")
+        assert version == "WARC/1.1"
+        named = dict(line.split(": ", 1) if ": " in line else (line[:-1], "") for line in lines)
+        size = int(named["Content-Length"])
+        out.append((named, rest[:size]))
+        assert rest[size : size + 4] == b"\r\n\r\n"
+        data = rest[size + 4 :]
+    return out
+
+
+def test_another_reader_can_follow_revisits(spark):
+    manifest, _ = W.deduplicate(pages(spark, ROWS))
+    records = []
+    for row in manifest.collect():
+        with open(row.file, "rb") as f:
+            records += plain_records(f.read())
+    assert len(records) == len(ROWS)
+    by_id = {named["WARC-Record-ID"]: (named, block) for named, block in records}
+    assert len(by_id) == len(ROWS)
+    html = {page_id: (text or "").encode() for page_id, _, text in ROWS}
+    for named, block in records:
+        assert named["Content-Type"].startswith("application/http")
+        own = named
+        if named["WARC-Type"] == "revisit":
+            own, block = by_id[named["WARC-Refers-To"]]
+            assert own["WARC-Type"] == "response"
+            assert own["WARC-Target-URI"] == named["WARC-Refers-To-Target-URI"]
+            assert own["WARC-Date"] == named["WARC-Refers-To-Date"]
+            assert own["WARC-Payload-Digest"] == named["WARC-Payload-Digest"]
+        status, payload = block.split(b"\r\n\r\n", 1)
+        assert status.startswith(b"HTTP/1.1 200 OK") and payload == html[int(named["X-Page-ID"])]
