@@ -21,7 +21,7 @@ from pyspark.sql import types as T  # noqa: E402
 import oracles  # noqa: E402
 from ledgerlake import schemas  # noqa: E402
 from ledgerlake.operators import gold, interface, quality, references, silver  # noqa: E402
-from ledgerlake.plans import pipeline, snapshots  # noqa: E402
+from ledgerlake.plans import buckets, pipeline, snapshots  # noqa: E402
 from ledgerlake.plans.registry import HISTORICAL, REGISTRY, Options  # noqa: E402
 from ledgerlake.session import scratch_path  # noqa: E402
 from ledgerlake.sources import files, jdbc, sample  # noqa: E402
@@ -188,13 +188,24 @@ def _tbl(table: str) -> Query:
 
 
 def _dq_saved(spark: SparkSession, folder: str) -> DataFrame:
-    """Check every stamped source table, keep the results, read them back."""
+    """Check every stamped source table in a run that is repeated, and read the results back."""
     run_ts, path = datetime.now(timezone.utc), scratch_path(spark, "checks")
     tables = Tables(spark, folder)
-    for table in schemas.SOURCE_TABLES:
+    for table in (*schemas.SOURCE_TABLES, *schemas.SOURCE_TABLES):
         rows = snapshots.stamp(tables.source(table), run_ts)
         quality.validate(rows, table, run_ts, results_path=path)
-    return spark.read.parquet(path).drop("run_ts", "observed")
+    return quality.read_results(spark, path).drop("run_ts", "observed")
+
+
+def _fct_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The order-line fact from orders and lines kept in buckets of the order key."""
+    path = scratch_path(spark, "buckets")
+    schema = f"buckets_{path.rpartition('-')[2]}"
+    plain = pipeline.sample_source(spark, folder)
+    for table in ("orders", "lineitem"):
+        buckets.store(plain(table), schema, table, f"{path}/{table}", 8)
+    source = buckets.source(spark, schema, plain)
+    return silver.fct_orders(source("orders"), source("lineitem"))
 
 
 def _dq_watched(spark: SparkSession, folder: str) -> DataFrame:
@@ -208,7 +219,7 @@ def _dq_watched(spark: SparkSession, folder: str) -> DataFrame:
     columns = F.size(F.split("observed", ", "))
     nulls = F.split("observed", " ")[0]
     shape = F.col("expectation") == quality.COLUMNS_MATCH
-    return spark.read.parquet(path).select(
+    return quality.read_results(spark, path).select(
         "table", "expectation", "column", "success",
         F.when(shape, columns).otherwise(nulls).cast("long").alias("observed"), "row_count",
     )
@@ -353,6 +364,7 @@ def queries() -> dict[str, Query]:
         "dim_customer_refkey": _modelled(Tables.customers, "n_nationkey"),
         "dim_part": _modelled(Tables.parts),
         "fct_orders": _modelled(Tables.fct),
+        "fct_orders_bucketed": _fct_bucketed,
         "wide_order_details": _modelled(Tables.wide),
         "wide_order_details_fanout": _modelled(
             lambda t: gold.fanout_by_date(

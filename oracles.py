@@ -437,6 +437,7 @@ def build() -> dict[str, str]:
             "supplied_parts",
         ),
         "fct_orders": _query(_portable("fct", _FCT_MONEY, _FCT_DATES), "fct"),
+        "fct_orders_bucketed": _query(_portable("fct", _FCT_MONEY, _FCT_DATES), "fct"),
         "wide_order_details": _query(
             _portable(
                 "wide",

@@ -1,4 +1,6 @@
 import json
+from concurrent.futures import ThreadPoolExecutor
+from datetime import timedelta
 
 import pytest
 from conftest import RUN_TS
@@ -77,13 +79,47 @@ def test_results_are_kept_even_on_failure(spark, tables, tmp_path):
     quality.validate(stamped(tables, "nation"), "nation", RUN_TS, results_path=path)
     with pytest.raises(quality.InvalidDataError):
         quality.validate(tables["region"], "region", RUN_TS, results_path=path)
-    kept = {(r["table"], r["expectation"]): r for r in spark.read.parquet(path).collect()}
+    kept = {(r["table"], r["expectation"]): r for r in quality.read_results(spark, path).collect()}
     assert len(kept) == 4
     assert kept["nation", quality.NOT_NULL]["row_count"] == 4
     assert not kept["region", quality.COLUMNS_MATCH]["success"]
     assert kept["region", quality.NOT_NULL]["success"]
 
 
+def test_a_repeated_run_replaces_its_results(spark, tables, tmp_path):
+    path = str(tmp_path / "results")
+
+    def check(table, run_ts=RUN_TS):
+        quality.validate(stamped(tables, table), table, run_ts, results_path=path)
+
+    def kept():
+        return sorted(map(str, quality.read_results(spark, path).collect()))
+
+    check("region")
+    check("nation")
+    once = kept()
+    check("region")
+    assert kept() == once and len(once) == 4
+    check("region", RUN_TS + timedelta(microseconds=1))
+    assert len(kept()) == 6
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")  # the same run in any session
+    check("region")
+    spark.conf.set("spark.sql.session.timeZone", before)
+    assert len(kept()) == 6
+
+
+def test_results_saved_at_the_same_time(spark, tables, tmp_path):
+    path = str(tmp_path / "results")
+    sessions = [spark.newSession() for _ in range(4)]
+    rows = [(RUN_TS, f"t{i}", quality.NOT_NULL, "c", True, "0 nulls", i) for i in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        for _ in range(2):
+            list(pool.map(lambda s, r: quality.save_results(s, [r], path), sessions, rows))
+    kept = quality.read_results(spark, path).collect()
+    assert sorted((r["table"], r["row_count"]) for r in kept) == [(f"t{i}", i) for i in range(4)]
+
+
 def test_reports(spark, tables):
     rows = tables["region"].union(spark.createDataFrame([(None, "X", "y")], tables["region"].schema))
     nulls = quality.not_null_report(rows, "region", quality.SUITES["region"]).collect()
