@@ -6,10 +6,20 @@ text to tags per line is smoothed by a Gaussian over the neighbouring lines, and
 the smoothed ratios give the threshold above which a line marks content. The containers that
 hold such lines are the content regions, with the containers within them, the siblings of their
 tag and class, and the siblings of their tag between them. Where the articles among them (or else
-the main part) hold most of the page's unlinked text, they are the regions alone. Regions that
-are mostly links go; all lines of the others are kept, so that short paragraphs and sections of an
-article stay. Elements that by name, role or class hold menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles or reader comments never give lines.
+the main part) hold most of the page's unlinked text, they are the regions alone, articles with
+the articles beside them. Regions that are lists of links go; all lines of the others are kept,
+so that short paragraphs and sections of an article stay. So do unlinked paragraphs that stand
+in the body itself after the first region, and the title: the last first-level heading before
+the regions, unless they have one. Elements that by tag or role hold menus, headers, footers,
+sidebars, adverts, forms, scripts or styles never give lines.
+
+Names (class or id) are weaker evidence, but for those of reader comments. Outside an article a block with the name of a menu,
+notice, advert or the like goes unless it holds most of the unlinked text of a page without
+article, in its main part if it has one. Lists of links in the body itself are menus. Inside an
+article paragraphs and headings stay whatever their name; a block goes if one of its names says
+so from end to end (``share-buttons``, not ``search-trees``), and if it is a name that articles
+use in their text, too (``social``), only if it is short or mostly links. A short line of
+copyright outside articles is a footer.
 
 Defined results: a null page is the empty page; a page without content has the empty text. Pages
 may be cut off anywhere and tags may stay open. Repeated pages are extracted alike; an empty table
@@ -60,6 +70,30 @@ SKIPPED_NAMES = frozenset(
     "promotion related replies respond search share sharing sidebar signup social sponsor "
     "sponsored subscribe subscription toolbar widget".split()
 )
+#: Of these, names that sections of an article may have as well.
+WEAK_NAMES = frozenset(
+    "banner header login menu modal notice notices notification overlay popup promo promotion "
+    "related replies respond search share sharing signup social sponsor sponsored subscribe "
+    "subscription toolbar widget".split()
+)
+#: Names of reader comments, which are often longer than the article: these always go.
+COMMENT_NAMES = frozenset("comments disqus".split())
+#: Parts of a name that an article gives its own head.
+ARTICLE_NAMES = frozenset("article content entry page post story".split())
+#: Parts of a name that say how something looks, not what it is.
+PLAIN_NAMES = frozenset(
+    "area article bar block blog body bottom box btn button buttons col column container content entry "
+    "form group icons inner item items left link links list main module outer page panel post "
+    "posts right row section site story text thread top user wrap wrapper".split()
+)
+#: Elements of running text: inside an article their names do not exclude them.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li td th dd dt pre blockquote figcaption".split())
+#: A weakly named block of an article with more unlinked characters than this stays.
+SHORT_BLOCK = 80
+#: So many items in a row that are links make a menu.
+MENU_ITEMS = 3
+COPYRIGHT = re.compile(r"(?i)^(?:©|\(c\)\s|copyright\b)")
+COPYRIGHT_CHARS = 200
 #: These parts of a name take the meaning from the next one, as in ``has-sidebar``.
 NEGATED = re.compile(r"(?i)^(?:has|no|with|without)[-_]")
 #: Elements that hold the whole page or its article: their class does not exclude them.
@@ -91,6 +125,11 @@ class Line:
     """One block of text: its pieces, how many tags and linked characters, and its container."""
 
     container: int
+    tag: str = ""
+    #: The doubtful block it stands in (0: none).
+    doubt: int = 0
+    in_article: bool = False
+    in_main: bool = False
     pieces: list[str] = field(default_factory=list)
     tags: int = 0
     linked: int = 0
@@ -99,6 +138,17 @@ class Line:
         return GAP.sub(" ", "".join(self.pieces)).strip()
 
 
+@dataclass(frozen=True)
+class Doubt:
+    """A block whose name says it is not content: the doubtful one around it, whether it is in an
+    article or the main part, whether its name is that of an article's own head."""
+
+    around: int = 0
+    in_article: bool = False
+    in_main: bool = False
+    own_head: bool = False
+
+
 @dataclass(frozen=True)
 class Open:
     """An open element: whether its text is skipped, its container, whether in an article."""
@@ -107,6 +157,9 @@ class Open:
     skipped: bool = False
     container: int = 0
     in_article: bool = False
+    in_main: bool = False
+    block: str = ""
+    doubt: int = 0
 
 
 class Events(HTMLParser):
@@ -122,6 +175,7 @@ class Events(HTMLParser):
         #: Per container the one around it and its class.
         self.within = [0]
         self.classes = [""]
+        self.doubts = [Doubt()]
 
     def _end_line(self) -> None:
         if self.line is not None:
@@ -168,7 +222,20 @@ class Events(HTMLParser):
             self.within.append(above.container)
             self.classes.append(" ".join(v or "" for k, v in attrs if k == "class"))
         skipped = above.skipped or _excluded(tag, attrs, above.in_article)
-        self.open.append(Open(tag, skipped, container, in_article))
+        doubt = above.doubt
+        if not skipped and tag in BLOCKS and tag not in KEPT:
+            named, parts = _named(tag, attrs, above.in_article)
+            if named == "comments" or (named == "strong" and above.in_article):
+                skipped = True
+            elif named:
+                doubt = len(self.doubts)
+                own_head = "header" in parts and bool(parts & ARTICLE_NAMES)
+                self.doubts.append(
+                    Doubt(above.doubt, above.in_article, above.in_main, own_head)
+                )
+        block = tag if tag in BLOCKS else above.block
+        in_main = above.in_main or tag == "main"
+        self.open.append(Open(tag, skipped, container, in_article, in_main, block, doubt))
         self.counts[tag] = self.counts.get(tag, 0) + 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -191,7 +258,9 @@ class Events(HTMLParser):
         if self.line is None:
             if not data.strip():
                 return
-            self.line = Line(here.container)
+            self.line = Line(
+                here.container, here.block, here.doubt, here.in_article, here.in_main
+            )
         self.line.pieces.append(data)
         if self.counts.get("a"):
             self.line.linked += len(data.strip())
@@ -217,18 +286,77 @@ def _excluded(tag: str, attrs: Sequence[tuple[str, str | None]], in_article: boo
             continue
         if name == "role" and value.strip().lower() in SKIPPED_ROLES:
             return True
-        if name in ("class", "id"):
-            parts = {
-                part.lower()
-                for token in value.split()
-                if not NEGATED.match(token)
-                for part in NAME_PART.findall(token)
-            }
-            if parts & SKIPPED_NAMES or ("header" in parts and not in_article):
-                return True
     return False
 
 
+def _named(
+    tag: str, attrs: Sequence[tuple[str, str | None]], in_article: bool
+) -> tuple[str, set[str]]:
+    """What a block's class and id say: "" (content), "weak", "strong" or "comments" (not
+    content), and the parts of the name that says so."""
+    found: tuple[str, set[str]] = "", set()
+    for name, value in attrs:
+        if name not in ("class", "id") or not value:
+            continue
+        for token in value.split():
+            if NEGATED.match(token):
+                continue
+            ordered = [part.lower() for part in NAME_PART.findall(token)]
+            parts = set(ordered)
+            if parts & COMMENT_NAMES or ordered[:1] == ["comment"]:
+                return "comments", parts
+            said = parts & SKIPPED_NAMES
+            if in_article:
+                said = set() if tag in PROSE else said - {"header"}
+            if not said:
+                continue
+            whole = not in_article or not parts - SKIPPED_NAMES - PLAIN_NAMES
+            strong = bool(said - WEAK_NAMES)
+            if strong and whole:
+                found = "strong", parts
+            elif (strong or whole) and not found[0]:
+                found = "weak", parts
+    return found
+
+
+def _doubted(events: Events, lines: Sequence[tuple[str, Line]]) -> set[int]:
+    """The doubtful blocks whose text is not content, with all within them."""
+    plain, chars = [0] * len(events.doubts), [0] * len(events.doubts)
+    for text, line in lines:
+        plain[line.doubt] += max(0, len(text) - line.linked)
+        chars[line.doubt] += len(text)
+    total = sum(plain)
+    article = any(line.in_article and not line.doubt for _, line in lines)
+    main = any(line.in_main for _, line in lines)
+    for at in range(len(plain) - 1, 0, -1):  # a block comes after the one around it
+        plain[events.doubts[at].around] += plain[at]
+        chars[events.doubts[at].around] += chars[at]
+    out: set[int] = set()
+    for at, doubt in enumerate(events.doubts[1:], 1):
+        if doubt.in_article:
+            stays = plain[at] > SHORT_BLOCK and 2 * plain[at] >= chars[at]
+        else:
+            stays = 2 * plain[at] > total and not article and doubt.in_main >= main
+        if doubt.around in out or not stays:
+            out.add(at)
+    return out
+
+
+def _menus(events: Events, lines: Sequence[tuple[str, Line]]) -> set[int]:
+    """The places of list items in the body itself that stand in runs of links."""
+    out: set[int] = set()
+    run: list[int] = []
+    for at, (text, line) in enumerate([*lines, ("", Line(0))]):
+        loose = events.containers[line.container] in ("", "html", "body")
+        if line.tag == "li" and loose and not line.in_article and 2 * line.linked > len(text):
+            run.append(at)
+            continue
+        if len(run) >= MENU_ITEMS:
+            out.update(run)
+        run = []
+    return out
+
+
 def ratios(lines: Sequence[tuple[str, Line]]) -> list[float]:
     """Unlinked characters per tag of each line."""
     return [max(0, len(text) - line.linked) / max(1, line.tags) for text, line in lines]
@@ -305,7 +433,15 @@ def extract(html: str) -> str:
         html = html[:last]  # the page was cut off in a tag
     events = Events()
     events.feed(html)
-    lines = [(text, line) for line in events.finished() if (text := line.text())]
+    every = [(text, line) for line in events.finished() if (text := line.text())]
+    doubted, menus = _doubted(events, every), _menus(events, every)
+    lines = [
+        (text, line)
+        for at, (text, line) in enumerate(every)
+        if line.doubt not in doubted
+        and at not in menus
+        and (line.in_article or len(text) > COPYRIGHT_CHARS or not COPYRIGHT.match(text))
+    ]
     if not lines:
         return ""
     values = smoothed(ratios(lines))
@@ -313,21 +449,81 @@ def extract(html: str) -> str:
     regions = {
         line.container for (_, line), value in zip(lines, values, strict=True) if value >= limit
     }
-    linked, chars = Counter(), Counter()
+    linked, chars, prose = Counter(), Counter(), Counter()
     for text, line in lines:
         linked[line.container] += line.linked
         chars[line.container] += len(text)
+        prose[line.container] += line.tag == "p"
     plain = {c: max(0, chars[c] - linked[c]) for c in chars}
     for kind in ("article", "main"):
         inner = _around(events, regions, kind)
+        if kind == "article" and inner:
+            inner |= _beside(events, inner)
         if inner and 2 * sum(plain.get(c, 0) for c in inner) > sum(plain.values()):
             regions = inner
             break
     else:
         whole = {c for c in regions if events.containers[c] not in ("", "html", "body")}
         regions = regions | _inside(events, _with_siblings(events, whole))
-    regions = {c for c in regions if 2 * linked[c] <= chars[c]} or regions
-    return "\n\n".join(text for text, line in lines if line.container in regions)
+        kind = ""
+    # inside the main part paragraphs of links are references; elsewhere they are menus
+    lists = {c for c in regions if 2 * linked[c] > chars[c] and not (kind and prose[c])}
+    regions = (regions - lists) or regions
+    return "\n\n".join(_chosen(events, every, lines, regions, kind))
+
+
+def _beside(events: Events, inner: Set[int]) -> set[int]:
+    """The articles that stand beside one of these, in the same container."""
+    around = {events.within[c] for c in inner if events.containers[c] == "article"}
+    return _inside(
+        events,
+        {
+            c
+            for c in range(1, len(events.containers))
+            if events.containers[c] == "article" and events.within[c] in around
+        },
+    )
+
+
+def _chosen(
+    events: Events,
+    every: Sequence[tuple[str, Line]],
+    lines: Sequence[tuple[str, Line]],
+    regions: Set[int],
+    kind: str,
+) -> list[str]:
+    """The texts of the regions' lines, with a title before and loose paragraphs after the first.
+
+    ``every`` has the lines of doubtful blocks, too, in which a title may stand.
+    """
+    allowed = {id(line) for _, line in lines}
+    first = next(i for i, (_, line) in enumerate(every) if _in(line, regions, allowed))
+    titled = any(line.tag == "h1" and _in(line, regions, allowed) for _, line in every)
+    titles = [
+        i
+        for i, (_, line) in enumerate(every[:first])
+        if line.tag == "h1"
+        and not line.linked
+        and (id(line) in allowed or events.doubts[line.doubt].own_head)
+    ]
+    title = titles[-1] if titles and not titled else None
+    out = []
+    for i, (text, line) in enumerate(every):
+        loose = (
+            not kind
+            and i > first
+            and id(line) in allowed
+            and events.containers[line.container] in ("", "html", "body")
+            and line.tag in PROSE
+            and 2 * line.linked <= len(text)
+        )
+        if i == title or loose or _in(line, regions, allowed):
+            out.append(text)
+    return out
+
+
+def _in(line: Line, regions: Set[int], allowed: Set[int]) -> bool:
+    return line.container in regions and id(line) in allowed
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

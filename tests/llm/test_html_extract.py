@@ -39,6 +39,56 @@ def test_link_lists_and_short_paragraphs_without_semantic_tags():
     assert extract(page) == f"{LONG.strip()}\n\nShort.\n\n{LONG.strip()}"
 
 
+L = LONG.strip()
+M = "Another paragraph with text of its own, long enough to be read as a part of the article. " * 2
+M = M.strip()
+LINKS = "".join(f"<li><a href=/{i}>Link number {i}</a></li>" for i in range(9))
+COMMENTS = "<p>I liked this very much and write about it at length, as readers do.</p>" * 30
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<body><h1>Title</h1><div><p>{L}</p></div></body>", f"Title\n\n{L}"),
+        (f"<div><p>{L}</p></div><p>tail</p>", f"{L}\n\ntail"),
+        (f"<div class='post-header'><h1>Title</h1></div><div class='post-body'><p>{L}</p></div>",
+         f"Title\n\n{L}"),
+        (f"<div class='site-header'><h1>My site</h1></div><div><h1>Title</h1><p>{L}</p></div>",
+         f"Title\n\n{L}"),
+        (f"<div class='site-header'><h1>My site</h1></div><div><p>{L}</p></div>", L),
+        (f"<main><section><p>{L}</p></section><section><h2>References</h2>"
+         "<p><a href=/x>A book with a long title</a></p></section></main>",
+         f"{L}\n\nReferences\n\nA book with a long title"),
+        (f"<article><p>{L}</p><div class='search-trees'><p>{M}</p></div></article>", f"{L}\n\n{M}"),
+        (f"<article><p>{L}</p><div class='search-trees'><p>Short.</p></div></article>",
+         f"{L}\n\nShort."),
+        (f"<article><p>{L}</p><p class='related'>A remark.</p></article>", f"{L}\n\nA remark."),
+        (f"<article><p>{L}</p><section id='social'><p>{M}</p></section></article>", f"{L}\n\n{M}"),
+        (f"<article><p>{L}</p><div class='share-buttons'>Tweet this</div></article>", L),
+        (f"<article><p>{L}</p><div class='related'><ul>{LINKS}</ul></div></article>", L),
+        (f"<article><p>{L}</p><div class='newsletter-box'><p>{M}</p></div></article>", L),
+        (f"<article><p>{L}</p><div class='article-comments'>{COMMENTS}</div></article>", L),
+        (f"<article><p>{L}</p><ol><li class='comment'>{M}</ol></article>", L),
+        (f"<div><p>{L}</p></div><div id='comments'>{COMMENTS}</div>", L),
+        (f"<div class='content widget'><p>{L}</p></div>", L),
+        (f"<div class='sidebar-layout'><div class='content'><p>{L}</p></div>"
+         f"<div class='sidebar'><p>{M[:60]}</p></div></div>", L),
+        (f"<div class='content widget'><p>{L}</p><div class='comments'>{COMMENTS}</div></div>", L),
+        (f"<main><article><p>{L}</p></article><article><p>Second, short.</p></article></main>",
+         f"{L}\n\nSecond, short."),
+        (f"<div><p>{L}</p></div><div>Copyright 2024 A. Nybody</div>", L),
+        (f"<div><p>{L}</p><p>&copy; 2024 A. Nybody. All rights reserved.</p></div>", L),
+        (f"<article><p>{L}</p><p>Copyright law protects authors.</p></article>",
+         f"{L}\n\nCopyright law protects authors."),
+        (f"<table><tr><td><ul>{LINKS}</ul><td><p>{L}</p><p>{M}</p></table>", f"{L}\n\n{M}"),
+        (f"<div role=navigation>{M}</div><div><p>{L}</p></div><div role=contentinfo>{M}</div>", L),
+        (f"<ul>{LINKS}</ul><p>{L}</p><p>{M}</p>", f"{L}\n\n{M}"),
+    ],
+)
+def test_layouts(html, text):
+    assert extract(html) == text
+
+
 def test_many_open_tags_take_linear_time():
     assert extract("<b>x " * 50_000).startswith("x x x")
     assert extract("<div>" * 20_000 + "deep") == "deep"
