@@ -7,13 +7,15 @@ is tiled: running Karp-Rabin hashes find the longest match of tokens not yet mar
 in both, and so on until none has ``LEAST`` tokens. Tiles may lie in any order, so the share of an
 item's tokens that tiles cover also finds passages whose parts were moved.
 
-The benchmark is dealt into blocks of a bounded number of tokens, and the documents are read once
-per block against its seeds; an ordinary benchmark is one block.
+The benchmark is dealt into blocks of a bounded number of characters, and the documents are read
+once per block against its seeds; an ordinary benchmark is one block. With several, what was found
+is stored after each block and its broadcast goes, so that one block is held at a time.
 
 Defined results: a null text has no tokens, and items without tokens are in no document. Items
-under ``LEAST`` tokens are looked for as a whole: seed and tile are all their tokens. Repeated items and documents are all reported. Empty tables give no rows.
-Rows travel as one struct, so other columns pass through whatever their names. Time and memory are
-in proportion to the text.
+under ``LEAST`` tokens are looked for as a whole: seed and tile are all their tokens; ``clean`` lets
+those under ``shortest`` tokens remove no document (1: all items count). Repeated items and
+documents are all reported. Empty tables give no rows. Rows travel as one struct, so other columns
+pass through whatever their names. Time and memory are in proportion to the text.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.shared import ship, text_of
+from ledgerlake.llm.shared import ship, stored, text_of
 
 #: Tokens of a seed, and the least of a tile.
 LEAST = 5
@@ -268,6 +270,16 @@ def _matching(items: Broadcast[Items], coverage: float):
     return run
 
 
+def _stored(rows: DataFrame) -> DataFrame:
+    """Write rows and read them back; in the files the columns of ``row`` go by their places."""
+    kind = rows.schema["row"].dataType
+    numbered = T.StructType(
+        [T.StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(kind.fields)]
+    )
+    written = stored(rows.withColumn("row", F.col("row").cast(numbered)), "matches")
+    return written.withColumn("row", F.col("row").cast(kind))
+
+
 def matched(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """Each row as struct ``row`` with ``matches``, the items that its text covers.
 
@@ -281,13 +293,22 @@ def matched(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> Da
         F.array().cast(MATCHES).alias("matches"),
     )
     schema = T.StructType([*rows.schema.fields])
+    sent = None
     for block in _blocks(items):
+        if sent is not None:
+            rows = _stored(rows)
+            sent.destroy()
         # Bounded by the block's characters, whatever the benchmark's size.
         sent = spark.sparkContext.broadcast(block)
         rows = rows.mapInArrow(_matching(sent, coverage), schema)
     return rows.select("row", "matches")
 
 
-def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that cover no item, with the columns they came with."""
-    return matched(docs, items).filter(F.size("matches") == 0).select("row.*")
+def clean(docs: DataFrame, items: DataFrame, shortest: int = 1) -> DataFrame:
+    """The documents that cover no item, with the columns they came with.
+
+    An item of a word or two is in many clean documents; with ``shortest`` such items, of fewer
+    tokens than that, remove none.
+    """
+    counted = F.exists("matches", lambda m: m["n_tokens"] >= shortest)
+    return matched(docs, items).filter(~counted).select("row.*")

@@ -85,3 +85,25 @@ def test_short_items_and_scripts_without_spaces(item):
     (match,) = block.matches(f"\u4ed6\u8bf4{item}\u4e86" if item > "z" else f"x {item} y", 0.5)
     assert match["item_id"] == 1 and match["covered"] == match["n_tokens"]
     assert block.matches("beta alpha gamma \u5317\u4eac", 0.5) == []
+
+
+def test_short_items_may_be_kept_from_removing(spark, documents):
+    item = "alpha beta gamma delta epsilon zeta eta theta"
+    frame = spark.createDataFrame([(1, item), (2, "yes")], "item_id long, text string")
+    docs = documents([(1, f"yes {item}"), (2, "he said yes"), (3, "he said no"), (4, None)])
+    assert sorted(r.doc_id for r in D.clean(docs, frame).collect()) == [3, 4]
+    assert sorted(r.doc_id for r in D.clean(docs, frame, shortest=3).collect()) == [2, 3, 4]
+
+
+def test_several_blocks_hold_one_broadcast(spark, documents, clashing, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK_CHARS", 300)
+    rows = items()
+    frame = spark.createDataFrame(rows, "item_id long, text string")
+    docs = documents(corpus(), clashing)
+    twice = docs.select("*", docs["lang"].alias("Lang"))
+    kept = D.clean(twice, frame)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    clean = {d for d, t in corpus() if not brute.contaminated(t, rows)}
+    assert kept.columns == twice.columns
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == clean
