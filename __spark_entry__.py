@@ -11,6 +11,7 @@ from collections.abc import Callable
 from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 from pathlib import Path
+from uuid import uuid4
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -21,7 +22,8 @@ from pyspark.sql import types as T  # noqa: E402
 import oracles  # noqa: E402
 from ledgerlake import schemas  # noqa: E402
 from ledgerlake.operators import gold, interface, quality, references, silver  # noqa: E402
-from ledgerlake.plans import buckets, pipeline, snapshots  # noqa: E402
+from ledgerlake.operators.joins import join_dimension  # noqa: E402
+from ledgerlake.plans import buckets, pipeline, snapshots, statistics  # noqa: E402
 from ledgerlake.plans.registry import HISTORICAL, REGISTRY, Options  # noqa: E402
 from ledgerlake.session import scratch_path  # noqa: E402
 from ledgerlake.sources import files, jdbc, sample  # noqa: E402
@@ -294,6 +296,27 @@ def _published_twice(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(".".join(name))
 
 
+def _wealthy_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of customers with high balances; the catalog's histogram decides the join."""
+    tables = Tables(spark, folder)
+    schema, name = "statistics", f"customer_{uuid4().hex}"
+    interface.publish(
+        tables.source("customer"), scratch_path(spark, "customer"), catalog_name=(schema, name)
+    )
+    statistics.analyze(spark, schema, name, ["c_custkey", "c_acctbal"])
+    wealthy = spark.table(f"{schema}.{name}").filter("c_acctbal >= 9000")
+    with statistics.used(spark):
+        joined = join_dimension(
+            tables.source("orders").select("o_orderkey", "o_custkey"),
+            wealthy.select("c_custkey", "c_nationkey"),
+            {"o_custkey": "c_custkey"},
+            "inner",
+        )
+    return joined.groupBy(F.col("c_nationkey").alias("nation_key")).agg(
+        F.count("o_orderkey").alias("orders"), F.count_distinct("o_custkey").alias("customers")
+    )
+
+
 def _published_view(spark: SparkSession, folder: str) -> DataFrame:
     report = interface.daily_sales_report(Tables(spark, folder).sales())
     interface.publish_view(report, "daily_sales_report")
@@ -404,6 +427,7 @@ def queries() -> dict[str, Query]:
         "dim_part_read": _read("dim_part"),
         "wide_order_details_read": _persisted("wide_order_details"),
         "published_finance_dashboard": _published_dashboard,
+        "statistics_wealthy_orders": _wealthy_orders,
         "published_twice": _published_twice,
         "published_sales_view": _published_view,
         "daily_sales_group_count": _modelled(_sales_groups),

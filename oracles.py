@@ -531,5 +531,11 @@ def build() -> dict[str, str]:
         "persisted_daily_sales_metrics": _lines_query(sales_read),
         "persisted_daily_sales_report": _lines_query(sales_report),
         "persisted_supply_chain_dashboard": _query(supply_chain, "fct"),
+        "statistics_wealthy_orders": """
+            SELECT c_nationkey AS nation_key, count(*) AS orders,
+                   count(DISTINCT o_custkey) AS customers
+            FROM orders JOIN customer ON o_custkey = c_custkey
+            WHERE c_acctbal >= 9000
+            GROUP BY c_nationkey""",
         "published_twice": _lines_query(_finance(_FRENCH)),
     }
