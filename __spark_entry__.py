@@ -23,7 +23,7 @@ import oracles  # noqa: E402
 from ledgerlake import schemas  # noqa: E402
 from ledgerlake.operators import gold, interface, quality, references, silver  # noqa: E402
 from ledgerlake.operators.joins import join_dimension  # noqa: E402
-from ledgerlake.plans import buckets, pipeline, snapshots, statistics  # noqa: E402
+from ledgerlake.plans import buckets, clustering, pipeline, snapshots, statistics  # noqa: E402
 from ledgerlake.plans.registry import HISTORICAL, REGISTRY, Options  # noqa: E402
 from ledgerlake.session import scratch_path  # noqa: E402
 from ledgerlake.sources import files, jdbc, sample  # noqa: E402
@@ -231,7 +231,8 @@ def _key_ranges(spark: SparkSession, folder: str) -> DataFrame:
     """Rows in each range of equal row counts, as a scan of the lines over JDBC would split."""
     lines = sample.load(spark, folder, "lineitem").select("l_orderkey")
     lines.createOrReplaceTempView("lines_to_split")
-    sql = jdbc.histogram_sql("lines_to_split", "l_orderkey", 16)
+    (cuts,) = clustering.bucket_bounds(lines, ("l_orderkey",))
+    sql = jdbc.histogram_sql("lines_to_split", "l_orderkey", 16, cuts)
     histogram = [(r["part"], r["low"], r["n"]) for r in spark.sql(sql).collect()]
     found = jdbc.range_predicates("l_orderkey", histogram)
     meets = F.array(*[F.expr(p) for p in found])

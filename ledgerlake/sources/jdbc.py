@@ -6,7 +6,7 @@ import logging
 import os
 import random
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 from typing import TypeVar
@@ -117,11 +117,15 @@ def _literal(value: object) -> str:
     return str(value)
 
 
-def histogram_sql(table: str, column: str, ranges: int) -> str:
+def histogram_sql(table: str, column: str, ranges: int, cuts: Sequence[object] = ()) -> str:
     """Ranges of equal row counts: number, smallest key and rows of each; 0 are rows without key.
 
-    The source sorts its keys, for which it may use their index, and sends a row per range.
+    The source sorts its keys, for which it may use their index, and sends a row per range. An
+    engine of many tasks without an index takes ``cuts``, some keys in ascending order: it sorts
+    the slices between them each by itself instead of all keys at once. Cuts change no result.
     """
+    if cuts:
+        return _sliced_histogram_sql(table, column, ranges, list(cuts))
     known = f"CASE WHEN {column} IS NULL THEN 0 ELSE 1 END"
     return (
         f"SELECT h.part, MIN(h.k) AS low, COUNT(*) AS n FROM (SELECT {column} AS k, {known}"
@@ -130,6 +134,46 @@ def histogram_sql(table: str, column: str, ranges: int) -> str:
     )
 
 
+def _sliced_histogram_sql(table: str, column: str, ranges: int, cuts: list) -> str:
+    """Keys are counted first, so that one with many rows is a row like any other.
+
+    The rows of the slices before make a place within a slice one in the whole table.
+    """
+    slices = _slice_sql(column, cuts, 0)
+    parts = " UNION ALL ".join(f"SELECT {i} AS part" for i in range(1, ranges + 1))
+    return (
+        f"WITH counted AS (SELECT slice, k, COUNT(*) AS n FROM (SELECT {column} AS k,"
+        f" {slices} AS slice FROM {table}) keyed GROUP BY slice, k),"
+        " sizes AS (SELECT slice, SUM(n) AS n FROM counted WHERE k IS NOT NULL GROUP BY slice),"
+        " earlier AS (SELECT slice, SUM(n) OVER (ORDER BY slice) - n AS n,"
+        " SUM(n) OVER () AS total FROM sizes),"
+        " placed AS (SELECT c.k, c.n, e.total, e.n + SUM(c.n) OVER (PARTITION BY c.slice"
+        " ORDER BY c.k) AS last FROM counted c JOIN earlier e ON c.slice = e.slice"
+        " WHERE c.k IS NOT NULL),"
+        # the row that begins a part: the first parts have one more where rows are left over
+        " begun AS (SELECT p.part, s.total, CAST(FLOOR(s.total / "
+        f"{ranges}) AS BIGINT) AS size, s.total % {ranges} AS over"
+        f" FROM ({parts}) p CROSS JOIN (SELECT SUM(n) AS total FROM sizes) s),"
+        " starts AS (SELECT part, (part - 1) * size"
+        " + CASE WHEN part - 1 < over THEN part - 1 ELSE over END + 1 AS at,"
+        " size + CASE WHEN part <= over THEN 1 ELSE 0 END AS n FROM begun)"
+        " SELECT s.part, p.k AS low, s.n FROM starts s JOIN placed p"
+        " ON s.at <= p.last AND s.at > p.last - p.n WHERE s.n > 0"
+        " UNION ALL SELECT 0 AS part, MIN(k) AS low, SUM(n) AS n FROM counted WHERE k IS NULL"
+        " HAVING COUNT(*) > 0"
+    )
+
+
+def _slice_sql(column: str, cuts: list, first: int) -> str:
+    """The number of cuts that are at most the key, by halving them."""
+    if not cuts:
+        return str(first)
+    middle = len(cuts) // 2
+    below = _slice_sql(column, cuts[:middle], first)
+    above = _slice_sql(column, cuts[middle + 1 :], first + middle + 1)
+    return f"CASE WHEN {column} < {_literal(cuts[middle])} THEN {below} ELSE {above} END"
+
+
 def range_predicates(column: str, histogram: list[tuple[int, object, int]]) -> list[str]:
     """Conditions, each true for the rows of one range; every row meets exactly one.
 
