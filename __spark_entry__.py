@@ -204,8 +204,9 @@ def _fct_bucketed(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "buckets")
     schema = f"buckets_{path.rpartition('-')[2]}"
     plain = pipeline.sample_source(spark, folder)
+    n_buckets = buckets.number_of(plain("lineitem"), least=8)
     for table in ("orders", "lineitem"):
-        buckets.store(plain(table), schema, table, f"{path}/{table}", 8)
+        buckets.store(plain(table), schema, table, f"{path}/{table}", n_buckets)
     source = buckets.source(spark, schema, plain)
     return silver.fct_orders(source("orders"), source("lineitem"))
 

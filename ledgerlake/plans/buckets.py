@@ -25,6 +25,15 @@ def number_for(input_bytes: int, bucket_bytes: int = BUCKET_BYTES) -> int:
     return 1 << max(0, -(-input_bytes // bucket_bytes) - 1).bit_length()
 
 
+def number_of(df: DataFrame, bucket_bytes: int = BUCKET_BYTES, least: int = 1) -> int:
+    """The number of buckets for a table's rows, from their count and their width by its schema.
+
+    Files say too little: rows grow several times over when a task sorts them.
+    """
+    width = df._jdf.schema().defaultSize()
+    return max(least, number_for(df.count() * width, bucket_bytes))
+
+
 def _name(schema: str, table: str) -> str:
     return f"`{schema}`.`{table}`"
 

@@ -88,3 +88,26 @@ def test_stored_again_and_failing(spark, tables, tmp_path, schema):
 def test_numbers():
     sizes = [0, 1, 256 << 20, (256 << 20) + 1, 3 << 30, 100 << 40]
     assert [buckets.number_for(n) for n in sizes] == [1, 1, 1, 2, 16, 1 << 19]
+
+
+def test_number_of_buckets_grows_with_the_rows(spark):
+    wide = "id", *[f"cast(id AS string) AS s{i}" for i in range(4)]
+    few, many = (spark.range(n).selectExpr(*wide) for n in (1_000, 16_000))
+    width = few._jdf.schema().defaultSize()
+    assert buckets.number_of(few, 1_000 * width) == 1
+    assert buckets.number_of(many, 1_000 * width) == 16
+    assert buckets.number_of(few, 1_000 * width, least=8) == 8
+    assert buckets.number_of(few.limit(0)) == 1
+
+
+def test_bucketed_query_takes_its_buckets_from_the_rows(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    seen = []
+    store = buckets.store
+    monkeypatch.setattr(
+        buckets, "number_of", lambda df, least: seen.append(df.count()) or max(least, 16)
+    )
+    monkeypatch.setattr(buckets, "store", lambda *a: seen.append(a[-1]) or store(*a))
+    entry.queries()["fct_orders_bucketed"](spark, "/root/testdata/sf0.001").count()
+    assert seen[0] > 0 and seen[1:] == [16, 16]
