@@ -8,13 +8,19 @@ would leave the others spread over all files.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bits of a bucket number, and so the logarithm of a column's buckets.
 BITS = 8
+#: Bytes of a range's rows in memory.
+RANGE_BYTES = 128 << 20
 PLACE = "_place_on_curve"
+RANGE = "_range_of_curve"
 ORDERED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -60,15 +66,44 @@ def placed(df: DataFrame, by: tuple[str, ...], bounds: list[list], bits: int = B
     return bucketed.select("*", place.alias(PLACE)).drop(*numbers)
 
 
+def _cuts(keys: DataFrame, by: tuple[str, ...], bounds: list[list], parts: int, bits: int) -> list:
+    """Places that cut the curve into ``parts`` ranges of about equal row counts."""
+    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    found = placed(keys, by, bounds, bits).agg(F.percentile_approx(PLACE, shares, 100 * parts))
+    return found.first()[0] or []
+
+
+def _range(place: Column, cuts: list, spread: Column) -> Column:
+    """The number of a place's range; one that holds several cuts is spread over its ranges."""
+    known = sorted(set(cuts))
+    if not known:
+        return F.lit(0)
+    upto = F.array(F.lit(0), *[F.lit(bisect_right(cuts, cut)) for cut in known])
+    nth = _bucket(place, known)
+    last, before = F.get(upto, nth), F.get(upto, nth - 1)
+    is_cut = F.get(F.array(*[F.lit(cut) for cut in known]), nth - 1) == place
+    return F.when(is_cut, before + F.pmod(spread, last - before + 1)).otherwise(last).cast("int")
+
+
 def clustered(
     df: DataFrame, by: tuple[str, ...], parts: int | None = None, bits: int = BITS
 ) -> DataFrame:
     """The same rows in ranges of the curve, sorted along it; a range becomes a file.
 
     Rows of one place on the curve are told apart by a hash, so a value that many rows share is
-    spread over several ranges. The quantiles take one more pass over ``df``.
+    spread over several ranges. One more pass over ``df`` computes only the columns of the curve;
+    the quantiles that cut them, and then the curve, are taken from what it keeps. Without
+    ``parts`` a range has about ``RANGE_BYTES`` of rows, as wide as the schema says.
     """
-    keys = [F.col(PLACE), F.xxhash64(*[F.col(c) for c in df.columns])]
-    rows = placed(df, by, bucket_bounds(df, by, bits), bits)
-    ranged = rows.repartitionByRange(*([parts] if parts else []), *keys)
+    keys = df.select(*by).persist(StorageLevel.DISK_ONLY)
+    try:
+        bounds = bucket_bounds(keys, by, bits)
+        if parts is None:
+            parts = max(1, -(-keys.count() * df._jdf.schema().defaultSize() // RANGE_BYTES))
+        cuts = _cuts(keys, by, bounds, parts, bits) if parts > 1 else []
+    finally:
+        keys.unpersist()
+    number = _range(F.col(PLACE), cuts, F.xxhash64(*[F.col(c) for c in df.columns]))
+    rows = placed(df, by, bounds, bits).withColumn(RANGE, number)
+    ranged = rows.repartitionById(parts, RANGE).drop(RANGE)
     return ranged.sortWithinPartitions(PLACE, *by).drop(PLACE)

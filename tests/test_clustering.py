@@ -61,6 +61,30 @@ def test_a_hot_customer_is_spread(fact, tmp_path):
     assert len(sizes) == 16 and max(r["count"] for r in sizes) < 2 * 40_000 / 16
 
 
+def test_all_columns_are_computed_once(spark, fact, tmp_path):
+    """Neither the quantiles nor the ranges need more of a row than the columns of the curve."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    dear = fact.select("order_date", "customer_key").mapInArrow(
+        count, "order_date date, customer_key long"
+    )
+    key = F.monotonically_increasing_id().alias("key")
+    rows = fact.select(key, "order_date", "customer_key").join(
+        dear.select(F.monotonically_increasing_id().alias("key2"), F.lit(1).alias("dear")),
+        F.col("key") == F.col("key2"),
+    )
+    clustering.clustered(rows, ("order_date", "customer_key"), parts=8).write.parquet(
+        f"{tmp_path}/once"
+    )
+    # once for the columns of the curve and once for the rows
+    assert seen.value == 2 * 40_000
+
+
 @pytest.mark.parametrize("bits", [1, 3])
 def test_places_interleave_the_buckets(spark, bits):
     n = 1 << bits
