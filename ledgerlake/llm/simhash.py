@@ -17,8 +17,8 @@ text's words but not with their number of bits.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from itertools import accumulate, chain
+from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate, chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,8 @@ BITS = 64
 #: Widths of the bands, which add up to all bits. One is left out of each variant, so more bands
 #: mean longer variants, fewer chance collisions and more rows.
 BANDS = (22, 21, 21)
+#: Parts of a fingerprint of which close ones share half: twice as many as bits may differ.
+BLOCKS = 2 * RADIUS
 #: Where a key holds its band's number: above every variant and below the sign.
 BAND_AT = 60
 #: Groups up to this size are compared pair by pair, in one go.
@@ -68,6 +70,16 @@ def fingerprint(text: bytes, width: int = SHINGLE) -> int:
     return int(np.packbits(2 * set_bits > n, bitorder="little").view("<u8")[0])
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The SimHash of given 64-bit hashes: the bits that are set in over half of them."""
+    set_bits = np.zeros(BITS, dtype=np.int64)
+    for first in range(0, len(hashes), PIECE):
+        piece = hashes[first : first + PIECE].astype("<u8").view(np.uint8).reshape(-1, 8)
+        bits = np.unpackbits(piece, axis=1, bitorder="little")
+        set_bits += bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * set_bits > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def _fingerprints(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,7 +208,23 @@ def link_group(prints: np.ndarray, key: int) -> list[tuple[int, int]]:
     )
 
 
-def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def close_members(prints: np.ndarray, key: int) -> list[tuple[int, int]]:
+    """Links that join all members of any group that chains of close pairs join."""
+    n = len(prints)
+
+    def pairs() -> Iterator[tuple[int, int]]:
+        for i in range(n - 1):
+            apart = np.bitwise_count(prints[i + 1 :] ^ prints[i])
+            for j in np.flatnonzero(apart <= RADIUS).tolist():
+                yield i, i + 1 + j
+
+    return _forest(n, pairs())
+
+
+def _link(
+    batches: Iterator[pa.RecordBatch],
+    link_group: Callable[[np.ndarray, int], list[tuple[int, int]]] = link_group,
+) -> Iterator[pa.RecordBatch]:
     """Links within each group of a partition that is sorted by key."""
 
     def linked(keys: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
@@ -247,6 +275,40 @@ def links(prints: DataFrame) -> DataFrame:
     )
 
 
+def _block_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each fingerprint under every choice of half its blocks, the other bits left out."""
+    edges = [BITS * i // BLOCKS for i in range(BLOCKS + 1)]
+    blocks = [(1 << high) - (1 << low) for low, high in zip(edges, edges[1:], strict=False)]
+    masks = np.array(
+        [sum(chosen) for chosen in combinations(blocks, BLOCKS - RADIUS)], dtype=np.uint64
+    )
+    for batch in batches:
+        prints = batch.column(0).to_numpy().view(np.uint64)
+        keys = (prints[:, None] & masks).ravel()
+        own = np.repeat(prints, len(masks))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys.view(np.int64)), pa.array(own.view(np.int64))], ["key", "fp"]
+        )
+
+
+def block_links(prints: DataFrame) -> DataFrame:
+    """``links`` with a sixth of the rows shuffled, for fingerprints that rarely agree in part.
+
+    Three differing bits leave three of six blocks alike, so close fingerprints meet under the
+    blocks that they share, and are compared there bit by bit.
+    """
+    return (
+        prints.mapInArrow(_block_keys, "key long, fp long")
+        .repartition("key")
+        .sortWithinPartitions("key")
+        .mapInArrow(_block_link, "a long, b long")
+    )
+
+
+def _block_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _link(batches, close_members)
+
+
 def near_duplicates(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     """doc_id, ``fp`` and ``component_id``, the smallest id reachable over close fingerprints.
 
