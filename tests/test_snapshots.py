@@ -1,6 +1,8 @@
 import os
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import RUN_TS, rows_of
 
@@ -30,6 +32,15 @@ def test_stamp_is_one_literal(tables):
     assert got.select("etl_inserted").distinct().count() == 1
 
 
+def test_files_are_compressed_with_zstd(store):
+    files = list(Path(store).rglob("*.parquet"))
+    assert files
+    for file in files:
+        meta = pq.ParquetFile(file).metadata
+        groups = [meta.row_group(i) for i in range(meta.num_row_groups)]
+        assert {g.column(0).compression for g in groups} <= {"ZSTD"}
+
+
 def test_latest_is_the_last_written(spark, store):
     assert snapshots.latest(spark, store) == micros(RUN_TS)
     assert snapshots.read(spark, store, SCHEMA).count() == 3
