@@ -2,7 +2,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import AS_OF, rows_of
+from conftest import AS_OF, frame, rows_of
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import gold, interface, silver
@@ -110,6 +110,48 @@ def test_wide_from_sources_is_the_same(edge_tables, part_only):
     assert rows_of(direct) == rows_of(wide)
 
 
+@pytest.mark.parametrize("part_only", [False, True])
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_suppliers_joined_last_change_nothing(
+    spark, setting, edge_tables, tmp_path, part_only, threshold
+):
+    """Repeated suppliers, parts and offers, offers of unknown parts and null keys included."""
+    odd = dict(edge_tables)
+    nameless = frame(spark, "supplier", [(70, 20)]).withColumn("s_suppkey", F.lit(None))
+    odd["supplier"] = odd["supplier"].union(frame(spark, "supplier", [(71, 10)])).union(nameless)
+    odd["part"] = odd["part"].union(frame(spark, "part", [(504, 20, "S"), (None, 5, "T")]))
+    odd["partsupp"] = odd["partsupp"].union(
+        frame(spark, "partsupp", [(504, 71, 4, 8), (999, 71, 1, 1), (999, 71, 2, 2),
+                                  (501, 88, 5, 6), (None, 71, 1, 1), (502, None, 1, 1)])
+    )
+    odd["lineitem"] = odd["lineitem"].union(
+        frame(spark, "lineitem", [
+            (1001, 999, 71, 3, 1, 10, 0.0, 0.0, 5, 9, 8),
+            (1001, 501, 88, 4, 1, 10, 0.0, 0.0, 5, 9, 8),
+            (1002, 504, 71, 5, 1, 10, 0.0, 0.0, 5, 9, 8),
+            (1002, None, 71, 6, 1, 10, 0.0, 0.0, 5, 9, 8),
+            (1003, 502, None, 7, 1, 10, 0.0, 0.0, 5, 9, 8),
+        ])
+    )
+    for name, rows in odd.items():  # files have a size that can be below the threshold
+        rows.write.parquet(f"{tmp_path}/{name}")
+        odd[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    model = Model(odd)
+    setting("spark.sql.autoBroadcastJoinThreshold", threshold)
+    wide = model.wide(part_only)
+    direct = gold.wide_order_details_from_sources(
+        odd["orders"], odd["lineitem"], model.customers,
+        silver.dim_part(odd["part"], odd["partsupp"]), part_only, model.suppliers,
+    )
+    assert direct.columns == wide.columns
+    assert direct.dtypes == wide.dtypes
+    assert text_of(direct) == text_of(wide)
+
+
+def text_of(df):
+    return sorted(repr(tuple(row)) for row in df.collect())
+
+
 def test_weights_equal_the_fan_out(edge_tables):
     model, t = Model(edge_tables), edge_tables
     assert rows_of(model.finance_direct(t["partsupp"])) == rows_of(model.finance(part_only=True))

@@ -92,3 +92,16 @@ def test_the_lazy_plan_is_the_registered_one(spark):
     plan = plan_of(spark, "lazy_pipeline_finance")
     assert "ps_partkey" not in plan and "p_partkey" not in plan
     assert plan.count("FileScan") == plan_of(spark, "finance_metrics").count("FileScan")
+
+
+def test_wide_rows_are_shuffled_narrow(spark, setting):
+    """Suppliers fit a broadcast and are joined last; what follows from other columns is not sent."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "12000")
+    lines = plan_of(spark, "wide_order_details").splitlines()
+    sent = [lines[i + 1] for i, x in enumerate(lines) if "Exchange hashpartitioning" in x]
+    assert any("l_shipdate#" in x and "part_name#" in x for x in sent)
+    for name in (
+        "wholesale_price", "category", "packaging", "supplier_name",
+        "supplier_account_balance", "manufacturing_country", "manufacturing_region",
+    ):
+        assert not any(f"{name}#" in x for x in sent), name
