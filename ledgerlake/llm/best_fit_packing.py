@@ -11,8 +11,9 @@ per length, make that a number over the whole corpus, and a table of runs (which
 length lie in which sequences, where) turns it into a sequence and an offset. Texts are read and
 encoded once; of the pieces only narrow columns are shuffled, spread over tasks and lengths.
 
-Words between ASCII white space are encoded one by one and remembered, which gives the ids of the
-whole text: no rule of the tokenizer looks across white space.
+Words between ASCII white space are encoded one by one, which gives the ids of the whole text: no
+rule of the tokenizer looks across white space. Latin words are put in lower case and parted here,
+for all texts of a batch at once; their parts and the other words are encoded once and remembered.
 
 Defined results: a null text is empty and gives the end id alone. Every row is a document, with
 its id, null or repeated, carried along. A document longer than a sequence is cut into full pieces
@@ -22,8 +23,10 @@ rows. Only id and text are read.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+import struct
+from collections.abc import Iterable, Iterator
+from itertools import compress
+from string import ascii_letters
 
 import numpy as np
 import public_tokenizers
@@ -35,32 +38,96 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import WhitespaceSplit
 
-from ledgerlake.llm.shared import ship, stored
+from ledgerlake.llm.shared import SPACE_BYTES, ship, stored
 
 MODEL = public_tokenizers.path("word_bpe_49k.json")
 SIZE = 2048
 #: The id that ends a document.
 END = 0
-#: Words that a task remembers, and as many older ones.
+#: Parts that a task remembers, and as many older ones.
 HELD = 1 << 18
-#: Bytes of texts that are split into words at once; a longer text is split alone.
+#: Bytes of texts that are split into parts at once; a longer text is split alone.
 AT_ONCE = 4 << 20
-
-#: Words of Latin letters and ASCII, in UTF-8: no normal form changes them, and lower case is
-#: per letter.
-_LATIN = re.compile(
-    rb"(?:[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\xbf])+"
-)
-#: How the tokenizer parts such words once they are in lower case; a new line is between words.
-_PARTS = re.compile(
-    "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u017f]+|[0-9]|\n|[^a-z0-9\n\u00df-\u017f]+"
-)
-#: A special token's string may begin here.
-_SPECIAL = b"<|"
+#: Parts that are encoded together.
+TOGETHER = 1024
+
+#: Kinds of bytes. The letters are those of two bytes, too: U+00C0 to U+017F, which no normal form
+#: changes and whose lower case is per letter, but for three; words with others are not Latin.
+_SPACE, _LETTER, _DIGIT, _MARK, _OTHER = range(5)
+#: Signs for multiplication and division, and a capital whose lower case is two letters.
+_NO_LETTERS = "\u00d7\u00f7\u0130"
 #: The end of the last token of a part.
 _LAST = "</w>"
-#: Words that are encoded together.
-TOGETHER = 4096
+
+
+def _kinds() -> np.ndarray:
+    kinds = np.full(256, _OTHER, dtype=np.uint8)
+    kinds[33:127] = _MARK
+    kinds[list(b"0123456789")] = _DIGIT
+    kinds[list(ascii_letters.encode())] = _LETTER
+    kinds[0x80:0xC0] = kinds[0xC3:0xC6] = _LETTER
+    kinds[list(SPACE_BYTES)] = _SPACE
+    return kinds
+
+
+_KINDS = _kinds()
+_LOWER = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
+#: Lower case of the letters of two bytes, counted from the first; -1 for none.
+_LOWER_PAIR = np.array(
+    [-1 if chr(c) in _NO_LETTERS else ord(chr(c).lower()) - 0xC0 for c in range(0xC0, 0x180)]
+)
+
+
+def _shortened(low: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where 's, 't, 're, 've, 'm, 'll and 'd begin and end; other marks before make them none."""
+    at = np.flatnonzero(low == ord("'"))
+    at = at[kind[at - 1] != _MARK]
+    one, two = low[at + 1], low[at + 2]
+    short = np.isin(one, list(b"stmd"))
+    long = (np.isin(one, list(b"rv")) & (two == ord("e"))) | ((one == two) & (one == ord("l")))
+    return at[short | long], np.concatenate([at[short] + 2, at[long] + 3])
+
+
+def _parts(data: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Parts of words, as the tokenizer parts them; where they begin; which are whole words.
+
+    Latin words are parted into shortened forms and runs of letters and of marks, in lower case,
+    and single digits. Other words stay whole, as they are. ``data`` ends with two spaces of any
+    kind.
+    """
+    data.decode()  # Fails on what is not UTF-8.
+    raw = np.frombuffer(data, dtype=np.uint8)
+    kind, low = _KINDS[raw], _LOWER[raw]
+    pair = np.flatnonzero((raw >= 0xC3) & (raw <= 0xC5))
+    lower = _LOWER_PAIR[(raw[pair] - 0xC3) * 64 + raw[pair + 1] % 64]
+    low[pair], low[pair + 1] = 0xC3 + lower // 64, 0x80 + lower % 64
+    begins = kind == _DIGIT
+    begins[0] = True
+    begins[1:] |= kind[1:] != kind[:-1]
+    marks, ends = _shortened(low, kind)
+    begins[marks + 1] = False
+    begins[ends] = True
+    special = np.flatnonzero((raw[:-1] == ord("<")) & (raw[1:] == ord("|")))
+    odd = kind == _OTHER
+    odd[special] = odd[pair[lower < 0]] = True
+    whole = np.zeros(len(raw), dtype=bool)
+    if odd.any():
+        edges = np.append(0, np.flatnonzero(kind == _SPACE))
+        place = np.flatnonzero(np.logical_or.reduceat(odd, edges))
+        first = edges[place] + (place > 0)
+        step = np.zeros(len(raw), dtype=np.int8)
+        step[first], step[edges[place + 1]] = 1, -1
+        whole = np.cumsum(step, dtype=np.int8).astype(bool)
+        low[whole] = raw[whole]
+        begins[whole] = False
+        begins[first] = True
+    at = np.flatnonzero(begins)
+    buffers = [None, pa.py_buffer(np.append(at, len(raw))), pa.py_buffer(low)]
+    all_ = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), buffers)
+    filled = kind[at] != _SPACE
+    at = at[filled]
+    return all_.filter(pa.array(filled)), at, whole[at]
+
 
 PIECES = "doc_id long, piece int, start long, length int, ids binary, task int, nth long"
 
@@ -75,7 +142,8 @@ def _byte_letters() -> dict[str, str]:
 class Encoder:
     """Ids of texts as bytes, four to an id, little-endian.
 
-    Of the words met, those of the last while are remembered, and older ones that were asked for.
+    Of the parts met (see ``_parts``), those of the last while are remembered, and older ones that
+    were asked for.
     """
 
     def __init__(self, model: str):
@@ -86,44 +154,53 @@ class Encoder:
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith(_LAST)]] = True
         self.letters = _byte_letters()
-        self.words: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode Latin words together: parted and spelled here, merged by the library."""
-        parts = _PARTS.findall(b"\n".join(words).decode().lower())
-        spelled = " ".join(parts).encode().decode("latin-1")
+    def _merge(self, parts: list[bytes]) -> None:
+        """Encode parts of Latin words together: spelled here, merged by the library."""
+        spelled = b" ".join(parts).decode("latin-1")
         for byte, letter in self.letters.items():
             spelled = spelled.replace(byte, letter)
         encoded = self.merges.encode_batch_fast([spelled], add_special_tokens=False)[0]
         ids = np.array(encoded.ids, dtype="<u4")
-        part_ends = np.flatnonzero(self.last[ids]) + 1
-        between = np.fromiter((p == "\n" for p in parts), dtype=bool, count=len(parts))
-        n_parts = np.cumsum(~between)[np.r_[between[1:], True]]
-        ends = (4 * part_ends[n_parts - 1]).tolist()
+        ends = 4 * (np.flatnonzero(self.last[ids]) + 1)
         data, start = ids.tobytes(), 0
-        for word, end in zip(words, ends, strict=True):
-            self.words[word] = data[start:end]
+        for part, end in zip(parts, ends.tolist(), strict=True):
+            self.known[part] = data[start:end]
             start = end
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.words) > HELD:
-            self.words, self.older = {}, self.words
-        split = [t.split() for t in texts]
-        new: set[bytes] = set()
-        for words in split:
-            new.update(words)
-        new.difference_update(self.words)
-        known = new.intersection(self.older)
-        self.words.update(zip(known, map(self.older.__getitem__, known), strict=True))
-        new.difference_update(known)
-        latin = [w for w in new if _LATIN.fullmatch(w) and _SPECIAL not in w]
+    def _unknown(self, parts: Iterable[bytes]) -> list[bytes]:
+        """The parts that are to be encoded; older ones are remembered anew."""
+        new = [p for p in parts if p not in self.known]
+        if not self.older:
+            return new
+        self.known.update((p, self.older[p]) for p in new if p in self.older)
+        return [p for p in new if p not in self.known]
+
+    def _learn(self, parts: list[bytes], whole: np.ndarray) -> None:
+        """Encode the parts that are not known; ``whole`` marks the words that are not Latin."""
+        latin = self._unknown(compress(parts, (~whole).tolist()))
         for at in range(0, len(latin), TOGETHER):
-            self._learn(latin[at : at + TOGETHER])
-        for word in new.difference(latin):
+            self._merge(latin[at : at + TOGETHER])
+        for word in self._unknown(compress(parts, whole.tolist())):
             ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            self.words[word] = np.array(ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        if len(self.known) > HELD:
+            self.known, self.older = {}, self.known
+        parts, at, whole = _parts(b"\n".join([*texts, b"\n"]))
+        coded = parts.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        once = np.zeros(len(distinct), dtype=bool)
+        once[coded.indices.to_numpy()] = whole
+        self._learn(distinct, once)
+        known = pa.array([self.known[p] for p in distinct], pa.large_binary())
+        ends = np.searchsorted(at, np.cumsum([len(t) + 1 for t in texts], dtype=np.int64))
+        bounds = pa.array(np.append(0, ends), pa.int32())
+        ids = pa.ListArray.from_arrays(bounds, known.take(coded.indices))
+        return pc.binary_join(ids, pa.scalar(b"", pa.large_binary())).to_pylist()
 
 
 def _in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -70,6 +70,46 @@ def test_forgetting_changes_nothing(monkeypatch):
             assert [*got, 0] == ids_of(text)
 
 
+class Counted:
+    """The library's tokenizer; keeps the parts that it is asked to merge."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.parts = tokenizer, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.parts += " ".join(texts).split()
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_a_part_is_merged_once():
+    """Words with a part in common, in other letters or with other marks, have it merged once."""
+    encoder = packing.Encoder(packing.MODEL)
+    encoder.merges = Counted(encoder.merges)
+    texts = ["Heinea heinea, (heinea) HEINEA! heinea's", "", 'heinea. "heinea" heinea-heinea']
+    got = [encoder.encode([t.encode()])[0] for t in texts]
+    parts = ["heinea", ",", "(", ")", "!", "'s", ".", '"', "-"]
+    assert sorted(encoder.merges.parts) == sorted(parts)
+    for text, ids in zip(texts, got, strict=True):
+        assert [*np.frombuffer(ids, dtype="<u4").tolist(), 0] == ids_of(text)
+
+
+ODD = "'s't'r'e'vlmd  \n.,5ÀéßĴŸſŉ×÷İ́<|>\x1f\x00\x7f’日SLŁ"
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(ODD), max_size=30), max_size=6))
+def test_parts_of_several_texts(texts):
+    got = ENCODER.encode([t.encode() for t in texts])
+    assert [[*np.frombuffer(g, dtype="<u4").tolist(), 0] for g in got] == list(map(ids_of, texts))
+
+
+def test_every_letter_of_two_bytes(encoder):
+    texts = [f"a{chr(c)}b {chr(c)}{chr(c)}'s" for c in range(0x80, 0x250)]
+    got = encoder.encode([t.encode() for t in texts])
+    for text, ids in zip(texts, got, strict=True):
+        assert [*np.frombuffer(ids, dtype="<u4").tolist(), 0] == ids_of(text)
+
+
 def best_two(counts, room):
     pairs = [(a + b, a, b) for a in counts for b in counts
              if a >= b and a + b <= room and counts[a] and counts[b] and (a != b or counts[a] > 1)]
