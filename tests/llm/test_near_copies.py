@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as P
-from ledgerlake.llm import near_copies
+from ledgerlake.llm import near_copies, simhash
 
 
 def shingle_set(text):
@@ -200,3 +200,16 @@ def test_the_stage_takes_simhash_candidates(spark, documents, monkeypatch):
     docs = [(1, " ".join(text)), (2, " ".join([*text[:-1], "end"])), (3, " ".join(other))]
     kept = P.near_copies(spark, documents(docs), "")
     assert {r.doc_id for r in kept.collect()} == {1, 3} and seen
+
+
+def test_close_fingerprints_meet_by_ball_hashing(spark, documents, monkeypatch):
+    """The stage links fingerprints through op4's variants; without them close ones stay apart."""
+    rng = random.Random(11)
+    text = [f"w{rng.randrange(900)}" for _ in range(3000)]
+    docs = documents([(1, " ".join(text)), (2, " ".join([*text[:-1], "end"]))])
+    known = near_copies._texts(docs).mapInArrow(near_copies._nodes, near_copies.NODES)
+    prints = [r.fp for r in known.collect()]
+    assert 0 < ((prints[0] ^ prints[1]) & (1 << 64) - 1).bit_count() <= 3
+    assert near_copies.simhash_pairs(known).count() == 1
+    monkeypatch.setattr(simhash, "_emit", lambda batches: iter(()))
+    assert near_copies.simhash_pairs(known).count() == 0
