@@ -9,6 +9,7 @@ from ledgerlake import schemas
 from ledgerlake.operators import quality
 from ledgerlake.plans import pipeline, registry, snapshots
 from ledgerlake.plans.registry import HISTORICAL, Options
+from ledgerlake.session import DROP_SHUFFLES
 
 OPTIONS = Options(as_of=AS_OF)
 
@@ -305,3 +306,57 @@ def test_tbl_and_sample_sources(spark, edge_tables, tmp_path):
     assert source("region").count() == 0
     sample = pipeline.sample_source(spark, "/root/testdata/sf0.001")
     assert sample("partsupp").count() > 0
+
+
+@pytest.mark.parametrize("part_only", [False, True])
+def test_the_wide_table_is_stored_in_parts(spark, source, tmp_path, monkeypatch, part_only):
+    """Parts hold the rows of the whole, each once, and the checks count them all."""
+    options = Options(part_only=part_only, as_of=AS_OF)
+    lines = source("lineitem")
+    no_part = lines.limit(1).withColumn("l_partkey", F.lit(None).cast("bigint"))
+    no_part = no_part.withColumn("l_linenumber", F.lit(9)).select(*lines.columns)
+    twice = lines.unionByName(no_part.to(lines.schema)).unionByName(lines.limit(2))
+    rows = twice.collect()
+    schema = lines.schema
+
+    def asked(table):
+        return spark.createDataFrame(rows, schema) if table == "lineitem" else source(table)
+
+    parts, stage = {}, snapshots.stage
+
+    def staged(df, path, *rest):
+        parts[path.rpartition("/")[2]] = 1 + len(rest[-1])
+        return stage(df, path, *rest)
+
+    monkeypatch.setattr(snapshots, "stage", staged)
+    suites = quality.SUITES | {"wide_order_details": quality.Suite(None, ("order_key",))}
+
+    def kept(folder):
+        results = str(tmp_path / f"{folder}-checks")
+        got = pipeline.run(
+            spark, "wide_order_details", asked, str(tmp_path / folder), options, run_ts=RUN_TS,
+            suites=suites, results_path=results,
+        )
+        checked = quality.read_results(spark, results).filter("table = 'wide_order_details'")
+        return rows_of(got), [r["row_count"] for r in checked.collect()]
+
+    whole = kept("whole")
+    assert parts["wide_order_details"] == 1
+    monkeypatch.setattr(pipeline, "PART_BYTES", 1)
+    assert kept("parts") == whole
+    assert parts["wide_order_details"] == pipeline.MOST_PARTS
+    assert {n for table, n in parts.items() if table != "wide_order_details"} == {1}
+    assert whole[1] == [len(whole[0])]
+
+
+def test_shuffle_files_go_with_the_table_they_made(spark, tables, tmp_path):
+    seen = []
+
+    def source(table):
+        seen.append(spark.conf.get(DROP_SHUFFLES))
+        return tables[table]
+
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    pipeline.run(spark, "fct_orders", source, str(tmp_path), run_ts=RUN_TS)
+    assert seen == ["true", "true"]
+    assert spark.conf.get(DROP_SHUFFLES, None) == before
